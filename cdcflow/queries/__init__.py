@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cdcflow.queries import lv1
+from cdcflow.queries import lv1, scalars
 
-_MODULES = [lv1]
+_MODULES = [lv1, scalars]
 
 
 def all_queries() -> dict:

@@ -52,7 +52,7 @@ def name(x: str) -> str:
     t = jtrim(x)
     sq = f"replace(regexp_replace({t}, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'), '/', ',')"
     # all parts single chars <=> every space-separated token has length <= 1
-    all_single = f"list_bool_and(list_transform(string_split({sq}, ' '), p -> length(p) <= 1))"
+    all_single = f"list_bool_and(list_transform(string_split({sq}, ' '), lambda p: length(p) <= 1))"
     glued = (
         f"(CASE WHEN position(' ' IN {sq}) = 0 THEN {sq} "
         f"WHEN {all_single} THEN replace({sq}, ' ', '') ELSE split_part({sq}, ' ', 1) END)"
