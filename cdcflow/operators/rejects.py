@@ -110,3 +110,37 @@ def stamp_processed_at(
 def drop_nulls(df: DataFrame, value_col: str) -> DataFrame:
     """Drop rows whose mapped value is NULL (the mapper produced nothing)."""
     return df.where(F.col(value_col).isNotNull())
+
+
+# Header names added to dead letters (fixed values).
+HEADER_TOPIC = "original.topic"
+HEADER_MESSAGE = "exception.message"
+HEADER_TYPE = "array<struct<key:string,value:binary>>"
+
+
+def dead_letters(
+    df: DataFrame,
+    value_col: str,
+    decoded_col: str,
+    topic: str,
+    message: str = "could not decode the record value",
+    headers_col: str | None = "headers",
+) -> DataFrame:
+    """Rows whose value did not decode, kept raw for a dead-letter sink.
+
+    ``decoded_col`` is the result of a PERMISSIVE decoder (``try_parse_json``,
+    ``from_avro`` with ``mode=PERMISSIVE``): NULL for a non-NULL value means
+    the bytes were undecodable.  Key, value and the original headers pass
+    through unchanged, with ``original.topic`` and ``exception.message``
+    headers appended.  Processing of the other rows is unaffected.
+    """
+    bad = df.where(F.col(value_col).isNotNull() & F.col(decoded_col).isNull())
+    extra = F.array(
+        F.struct(F.lit(HEADER_TOPIC).alias("key"), F.encode(F.lit(topic), "UTF-8").alias("value")),
+        F.struct(F.lit(HEADER_MESSAGE).alias("key"), F.encode(F.lit(message), "UTF-8").alias("value")),
+    )
+    if headers_col and headers_col in df.columns:
+        current = F.coalesce(F.col(headers_col).cast(HEADER_TYPE), F.array().cast(HEADER_TYPE))
+    else:
+        current = F.array().cast(HEADER_TYPE)
+    return bad.withColumn("headers", F.concat(current, extra)).drop(decoded_col)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cdcflow.queries import lv1, scalars
+from cdcflow.queries import envelopes, lv1, scalars
 
-_MODULES = [lv1, scalars]
+_MODULES = [lv1, scalars, envelopes]
 
 
 def all_queries() -> dict:

@@ -211,7 +211,7 @@ EVENT_VALUE = (
 
 
 def event_feed_sql() -> str:
-    c1 = ", ".join(f"{e.format(ts_us=DUCK_TS_US.format(c='ts'))} AS {n}" for n, e in EVENT_COLS)
+    c1 = ", ".join(f"{e.replace("{ts_us}", DUCK_TS_US.format(c="ts"))} AS {n}" for n, e in EVENT_COLS)
     return f"(SELECT *, {EVENT_VALUE} AS value, CAST(user_id AS STRING) AS key FROM (SELECT {c1} FROM events) e1)"
 
 
@@ -222,5 +222,5 @@ def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read(spark, sf_dir, "events")
-    e = ev.selectExpr(*[f"{x.format(ts_us=SPARK_TS_US.format(c='ts'))} AS {n}" for n, x in EVENT_COLS])
+    e = ev.selectExpr(*[f"{x.replace("{ts_us}", SPARK_TS_US.format(c="ts"))} AS {n}" for n, x in EVENT_COLS])
     return e.selectExpr("*", f"{EVENT_VALUE} AS value", "CAST(user_id AS STRING) AS key")
