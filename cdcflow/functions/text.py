@@ -43,6 +43,17 @@ def java_trim(c: Column | str) -> Column:
     return F.btrim(as_col(c), F.lit(_TRIM_CHARS))
 
 
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    Multi-step cleansers reference earlier steps inside CASE branches, where
+    Spark does no common-subexpression elimination; inlining them would grow
+    the expression (and its generated code) multiplicatively.  A one-element
+    ``transform`` binds the step to a variable instead.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _blank_to_null(c: Column) -> Column:
     return F.when(c.isNull() | (c == ""), F.lit(None).cast("string"))
 
@@ -109,24 +120,35 @@ def clean_name(c: Column | str) -> Column:
     6. trim.
     """
     x = as_col(c)
-    t = java_trim(x)
-    squeezed = F.regexp_replace(F.regexp_replace(t, JAVA_SPACE + "+", " "), "/", ",")
-    # parts are separated by single spaces, so "every part has length <= 1"
-    # is "no two adjacent non-space characters".
-    glued = F.when(~squeezed.contains(" "), squeezed).when(
-        ~squeezed.rlike("[^ ][^ ]"), F.regexp_replace(squeezed, " ", "")
-    ).otherwise(F.substring_index(squeezed, " ", 1))
-    step2 = F.when(t.rlike("[a-zA-Z]"), t).otherwise(glued)
-    step3 = F.when(step2.contains(","), F.substring_index(step2, ",", 1)).otherwise(
-        F.substring_index(x, "(", 1)
+
+    def from_trimmed(t: Column) -> Column:
+        squeezed = F.regexp_replace(F.regexp_replace(t, JAVA_SPACE + "+", " "), "/", ",")
+        # parts are separated by single spaces, so "every part has length <= 1"
+        # is "no two adjacent non-space characters".
+        glued = _let(
+            squeezed,
+            lambda sq: F.when(~sq.contains(" "), sq)
+            .when(~sq.rlike("[^ ][^ ]"), F.regexp_replace(sq, " ", ""))
+            .otherwise(F.substring_index(sq, " ", 1)),
+        )
+        step2 = F.when(t.rlike("[a-zA-Z]"), t).otherwise(glued)
+        return _let(
+            step2,
+            lambda s2: F.when(s2.contains(","), F.substring_index(s2, ",", 1)).otherwise(F.substring_index(x, "(", 1)),
+        )
+
+    def name_chars(s3: Column) -> Column:
+        kept = F.regexp_replace(s3, f"[^{LETTER_CLASS} ]", "")
+        upper = _let(kept, lambda k: F.when(k.rlike("[a-z]"), java_trim(F.upper(k))).otherwise(k))
+        no_space = _let(upper, lambda u: F.when(u.rlike("[가-힣]"), F.regexp_replace(u, " ", "")).otherwise(u))
+        return F.when(s3.rlike(f"[{LETTER_CLASS}]"), no_space).otherwise(s3)
+
+    step3 = _let(java_trim(x), from_trimmed)
+    step4 = _let(step3, name_chars)
+    step5 = _let(
+        step4,
+        lambda s4: F.when((java_trim(s4) == "") | s4.rlike(f"^[^{LETTER_CLASS} ]+$"), F.lit(NAME_FALLBACK)).otherwise(s4),
     )
-    kept = F.regexp_replace(step3, f"[^{LETTER_CLASS} ]", "")
-    upper = F.when(kept.rlike("[a-z]"), java_trim(F.upper(kept))).otherwise(kept)
-    no_space = F.when(upper.rlike("[가-힣]"), F.regexp_replace(upper, " ", "")).otherwise(upper)
-    step4 = F.when(step3.rlike(f"[{LETTER_CLASS}]"), no_space).otherwise(step3)
-    step5 = F.when(
-        (java_trim(step4) == "") | step4.rlike(f"^[^{LETTER_CLASS} ]+$"), F.lit(NAME_FALLBACK)
-    ).otherwise(step4)
     return _blank_to_null(x).otherwise(java_trim(step5))
 
 

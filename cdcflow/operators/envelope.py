@@ -48,8 +48,12 @@ def unwrap_json(
     """Unwrap JSON change envelopes (text) into ``data`` VARIANT + ``__op``."""
     src = drop_tombstones(df, value_col)
     raw = F.col(value_col)
-    root = F.try_parse_json(raw)
-    src = src.withColumn("_root", root)
+    # Parse once per row behind a generator.  A filter on anything derived
+    # from ``_root`` (the success/reject split) cannot be pushed below a
+    # generator output, so Catalyst cannot inline the parse into every
+    # reference of the filter condition (filters get no common-subexpression
+    # elimination, so each copy would re-parse the text).
+    src = src.select("*", F.explode(F.array(F.try_parse_json(raw))).alias("_root"))
     root = F.col("_root")
     payload = json_value(root, "payload")
     has_payload = payload.isNotNull() & ~F.is_variant_null(payload)

@@ -35,7 +35,8 @@ def materialized(spark: SparkSession, key: tuple, build) -> DataFrame:
     """
     k = (spark.sparkContext.applicationId, *key)
     if k not in _MATERIALIZED:
-        _MATERIALIZED[k] = cut_lineage(build())
+        # Spread the feed like a topic with one partition per task slot.
+        _MATERIALIZED[k] = cut_lineage(build().repartition(spark.sparkContext.defaultParallelism))
     return _MATERIALIZED[k]
 
 
