@@ -21,12 +21,16 @@ def dedupe_reference(
     ref: DataFrame, key_cols: Sequence[str], value_col: str, order_col: str | None = None
 ) -> DataFrame:
     """One row per key.  "First match" is made deterministic: the value of the
-    smallest ``order_col`` (or the smallest value when no order is given).
+    smallest ``order_col``, ties broken by the smallest value (or simply the
+    smallest value when no order is given).
 
     This is a hash aggregate with map-side partial aggregation, so a hot key
     is collapsed before the shuffle.
     """
-    picked = F.min_by(F.col(value_col), F.col(order_col)) if order_col else F.min(F.col(value_col))
+    if order_col:
+        picked = F.min_by(F.col(value_col), F.struct(F.col(order_col), F.col(value_col)))
+    else:
+        picked = F.min(F.col(value_col))
     return ref.where(F.col(value_col).isNotNull()).groupBy(*key_cols).agg(picked.alias(value_col))
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cdcflow.queries import envelopes, lv1, scalars
+from cdcflow.queries import envelopes, lv1, mappings, scalars
 
-_MODULES = [lv1, scalars, envelopes]
+_MODULES = [lv1, scalars, envelopes, mappings]
 
 
 def all_queries() -> dict:

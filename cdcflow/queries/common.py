@@ -24,15 +24,30 @@ def now_col() -> Column:
     return F.timestamp_millis(F.lit(NOW_MS))
 
 
-def context(spark: SparkSession, sf_dir: str, with_addresses: bool = False) -> Context:
-    tables = {"USERS": fixtures.users_table(spark, sf_dir)}
-    if with_addresses:
-        from cdcflow.queries.fixtures import address_reference
+def context(spark: SparkSession, sf_dir: str) -> Context:
+    """Reference tables are bound lazily (a plan is only built when used)."""
+    from cdcflow.queries.mappings import address_reference
 
-        tables["ADDRESSES"] = address_reference(spark, sf_dir)
+    tables = _LazyTables(
+        {"USERS": lambda: fixtures.users_table(spark, sf_dir), "ADDRESSES": lambda: address_reference(spark, sf_dir)}
+    )
     return Context(spark=spark, tables=tables, protect_key=SAMPLE_KEY, now=now_col(), as_of=AS_OF)
 
 
+class _LazyTables(dict):
+    def __init__(self, makers: dict):
+        super().__init__()
+        self._makers = makers
+
+    def __contains__(self, name) -> bool:
+        return name in self._makers or super().__contains__(name)
+
+    def __getitem__(self, name):
+        if not super().__contains__(name):
+            self[name] = self._makers[name]()
+        return super().__getitem__(name)
+
+
 def definition(group: str, name: str) -> dict:
     for d in spec.load()[group]:
         if d["name"] == name:

@@ -15,13 +15,16 @@ USER_OUT = [
 ]
 
 
+def _refined_users(spark: SparkSession, sf_dir: str) -> build.Routed:
+    defn = definition("lv1", "Lv1SamplePipeline")
+    feed = fixtures.user_feed(spark, sf_dir, protect_key=SAMPLE_KEY).select("key", "value")
+    return build.route(build.refine(feed, defn, context(spark, sf_dir)), defn)
+
+
 def refine_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: user change envelopes -> unwrap -> map/cleanse/lookup/reveal ->
     stamp -> route -> keyed silver records (ciphertext column left out)."""
-    defn = definition("lv1", "Lv1SamplePipeline")
-    feed = fixtures.user_feed(spark, sf_dir, protect_key=SAMPLE_KEY).select("key", "value")
-    routed = build.route(build.refine(feed, defn, context(spark, sf_dir)), defn)
-    return routed.success.select(*USER_OUT)
+    return _refined_users(spark, sf_dir).success.select(*USER_OUT)
 
 
 def _user_oracle() -> str:
