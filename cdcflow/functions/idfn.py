@@ -84,8 +84,8 @@ def birth_from_resno(c: Column | str) -> Column:
 def decode_sequence_b64(c: Column | str) -> Column:
     """Base64 big-endian unsigned integer -> its decimal text; NULL/empty/bad -> ``''``.
 
-    Arbitrary length, computed natively: the bytes are folded into an array of
-    base-1e9 limbs (``acc * 256 + byte`` with carry), then printed.
+    Arbitrary length without a UDF: values longer than 15 bytes are folded into
+    an array of base-1e9 limbs (``acc * 256 + byte`` with carry), then printed.
     """
     x = as_col(c)
     raw = F.when(x.rlike(BASE64_SHAPE), F.try_to_binary(x, F.lit("base64")))
@@ -111,8 +111,20 @@ def decode_sequence_b64(c: Column | str) -> Column:
         F.transform(rev, lambda v, i: F.when(i == 0, v.cast("string")).otherwise(F.lpad(v.cast("string"), 9, "0"))),
         "",
     )
-    empty_bytes = F.when(F.length(h) == 0, F.lit("0"))
-    out = F.when(raw.isNull(), F.lit("")).otherwise(F.coalesce(empty_bytes, text))
+    # Short values (the usual case) stay on native expressions: ``conv`` reads
+    # up to 8 bytes as an unsigned 64-bit number; up to 15 bytes fit a
+    # DECIMAL(38,0) as high * 2^64 + low.  Only longer values use the fold.
+    n = F.length(h)
+    low = F.conv(F.substring(h, -16, 16), 16, 10).cast("decimal(38,0)")
+    high = F.conv(h.substr(F.lit(1), n - 16), 16, 10).cast("decimal(38,0)")
+    two64 = F.lit("18446744073709551616").cast("decimal(38,0)")
+    by_len = (
+        F.when(n == 0, F.lit("0"))
+        .when(n <= 16, F.conv(h, 16, 10))
+        .when(n <= 30, (high * two64 + low).cast("decimal(38,0)").cast("string"))
+        .otherwise(text)
+    )
+    out = F.when(raw.isNull(), F.lit("")).otherwise(by_len)
     return F.when(x.isNull() | (x == ""), F.lit("")).otherwise(out)
 
 

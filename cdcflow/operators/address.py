@@ -88,13 +88,15 @@ def prefix_summary(reference: DataFrame, search_col: str = "search_text") -> Dat
 def match_addresses(
     df: DataFrame,
     input_fields: Sequence[str],
-    reference: DataFrame,
+    reference: DataFrame | None = None,
     search_col: str = "search_text",
     op_col: str = "__op",
     keep: Sequence[str] = (),
+    summary: DataFrame | None = None,
 ) -> DataFrame:
     """Match every input row; rows with an empty keyword or a delete op are dropped.
 
+    ``summary`` may be a prepared ``prefix_summary`` (computed once per run).
     Output: ``key`` (= the keyword), ``full_address``, ``road_address``,
     ``zipcode``, ``city``, ``district``, ``town``, ``juso_quality``,
     ``juso_result_count``, ``juso_matched_keyword``, ``__op`` and ``keep``.
@@ -111,7 +113,8 @@ def match_addresses(
 
     # The result depends on the keyword only: match each distinct keyword once.
     kws = src.select("full_address").distinct().withColumn("_norm", normalize_keyword(F.col("full_address")))
-    summary = prefix_summary(reference, search_col)
+    if summary is None:
+        summary = prefix_summary(reference, search_col)
     tried = kws.select("full_address", F.inline(_prefixes(F.col("_norm"))))
     hits = tried.join(summary, on="prefix", how="inner")
     best = hits.groupBy("full_address").agg(

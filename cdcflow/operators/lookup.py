@@ -34,6 +34,14 @@ def dedupe_reference(
     return ref.where(F.col(value_col).isNotNull()).groupBy(*key_cols).agg(picked.alias(value_col))
 
 
+def prepare_reference(ref: DataFrame, ref_keys: Sequence[str], value_col: str, order_col: str | None = None) -> DataFrame:
+    """Reference side of ``lookup``: text keys, one row per key."""
+    cols = [F.col(k).cast("string").alias(k) for k in ref_keys] + [F.col(value_col)]
+    if order_col:
+        cols.append(F.col(order_col))
+    return dedupe_reference(ref.select(*cols), ref_keys, value_col, order_col)
+
+
 def lookup(
     df: DataFrame,
     keys: Sequence[Column],
@@ -42,20 +50,17 @@ def lookup(
     value_col: str,
     output: str,
     order_col: str | None = None,
+    prepared: bool = False,
 ) -> DataFrame:
     """Add ``output`` = ``ref.value_col`` of the row whose ``ref_keys`` equal ``keys``.
 
     Key values are compared as text (the original binds them as strings).
-    A NULL key never matches.
+    A NULL key never matches.  ``prepared=True`` means ``ref`` already is the
+    output of ``prepare_reference`` (e.g. cached once by a ``Context``).
     """
     if len(keys) != len(ref_keys):
         raise ValueError("keys and ref_keys differ in length")
-    small = dedupe_reference(
-        ref.select(*[F.col(k).cast("string").alias(k) for k in ref_keys], F.col(value_col), *([F.col(order_col)] if order_col else [])),
-        ref_keys,
-        value_col,
-        order_col,
-    )
+    small = ref if prepared else prepare_reference(ref, ref_keys, value_col, order_col)
     tmp = [f"_lk_{output}_{i}" for i in range(len(keys))]
     right = small.select(*[F.col(k).alias(t) for k, t in zip(ref_keys, tmp)], F.col(value_col).alias(output))
     left = df.select("*", *[k.cast("string").alias(t) for k, t in zip(keys, tmp)])

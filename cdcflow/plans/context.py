@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -23,7 +25,29 @@ class Context:
     now: _dt.datetime | None = None
     as_of: _dt.date | None = None
 
+    prepared: dict[str, DataFrame] = field(default_factory=dict)
+
     def table(self, name: str) -> DataFrame:
         if name not in self.tables:
             raise KeyError(f"reference table {name!r} is not bound in the context")
         return self.tables[name]
+
+    def reference(self, key: str, name: str, prepare: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """A reference table prepared once per context (deduplicated, summarised).
+
+        The result is persisted and materialised, so (a) a streaming run reuses
+        it across micro-batches instead of re-reading the source every batch,
+        and (b) the planner sees its real size: it is broadcast only when under
+        ``spark.sql.autoBroadcastJoinThreshold``, joined by shuffle otherwise.
+        Lost cache blocks are recomputed from the source.
+        """
+        if key not in self.prepared:
+            df = prepare(self.table(name)).persist(StorageLevel.MEMORY_AND_DISK)
+            df.count()
+            self.prepared[key] = df
+        return self.prepared[key]
+
+    def release(self) -> None:
+        for df in self.prepared.values():
+            df.unpersist()
+        self.prepared.clear()

@@ -24,14 +24,21 @@ def now_col() -> Column:
     return F.timestamp_millis(F.lit(NOW_MS))
 
 
+_CONTEXTS: dict[tuple, Context] = {}
+
+
 def context(spark: SparkSession, sf_dir: str) -> Context:
-    """Reference tables are bound lazily (a plan is only built when used)."""
+    """One context per application and table set, so prepared reference
+    tables are shared by all queries.  Tables are bound lazily."""
     from cdcflow.queries.mappings import address_reference
 
-    tables = _LazyTables(
-        {"USERS": lambda: fixtures.users_table(spark, sf_dir), "ADDRESSES": lambda: address_reference(spark, sf_dir)}
-    )
-    return Context(spark=spark, tables=tables, protect_key=SAMPLE_KEY, now=now_col(), as_of=AS_OF)
+    k = (spark.sparkContext.applicationId, sf_dir)
+    if k not in _CONTEXTS:
+        tables = _LazyTables(
+            {"USERS": lambda: fixtures.users_table(spark, sf_dir), "ADDRESSES": lambda: address_reference(spark, sf_dir)}
+        )
+        _CONTEXTS[k] = Context(spark=spark, tables=tables, protect_key=SAMPLE_KEY, now=now_col(), as_of=AS_OF)
+    return _CONTEXTS[k]
 
 
 class _LazyTables(dict):

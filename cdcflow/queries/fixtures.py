@@ -20,7 +20,17 @@ DUCK_TS_US = "epoch_us({c})"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the driver's tables.
+
+    A scan with fewer splits than task slots (a small single-row-group file)
+    is spread round-robin so per-row work uses every core; a large table
+    already has more splits than slots and is read as is (no shuffle).
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    slots = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        df = df.repartition(slots)
+    return df
 
 
 _MATERIALIZED: dict[tuple, DataFrame] = {}
