@@ -109,3 +109,18 @@ def read_jdbc_table(
             numPartitions=num_partitions or spark.sparkContext.defaultParallelism, properties=properties or {},
         )
     return spark.read.jdbc(url, table, properties=properties or {})
+
+
+def decode_avro_value(df: DataFrame, avro_schema_json: str, value_col: str = "value", out: str = "value") -> DataFrame:
+    """Decode Avro bytes into a struct envelope with ``from_avro`` (PERMISSIVE:
+    undecodable bytes become NULL, see ``rejects.dead_letters``).
+
+    Needs the ``spark-avro`` package on the class path; it is not bundled here,
+    so the import is checked at call time.
+    """
+    try:
+        from pyspark.sql.avro.functions import from_avro
+    except ImportError as e:  # pragma: no cover - depends on the installation
+        raise RuntimeError("Avro decoding needs the spark-avro package") from e
+    decoded = from_avro(F.col(value_col), avro_schema_json, {"mode": "PERMISSIVE"})
+    return df.withColumn("_raw_value", F.col(value_col)).withColumn(out, decoded)

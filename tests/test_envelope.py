@@ -93,3 +93,17 @@ def test_dead_letters(spark):
     assert len(dlq) == 1
     assert [h["key"] for h in dlq[0]["headers"]] == ["original.topic", "exception.message"]
     assert bytes(dlq[0]["headers"][0]["value"]).decode() == "bronze.x"
+
+
+def test_format_switch_struct_source(spark):
+    """inputFormat AVRO (any case) selects the struct envelope reader."""
+    df = spark.createDataFrame(
+        [("U1", ("c", None, ("U1", "Kim", "a@b.co", "01012345678", "Y", 1704067200000)))],
+        "key string, value struct<op:string, before:struct<id:string,name:string,email:string,phone_number:string,"
+        "active_yn:string,created_at:bigint>, after:struct<id:string,name:string,email:string,phone_number:string,"
+        "active_yn:string,created_at:bigint>>",
+    )
+    defn = dict(_lv1(), inputFormat="avro")
+    row = build.route(build.refine(df, defn, _ctx(spark)), defn).success.collect()[0]
+    assert (row["user_id"], row["phone"], row["is_active"], row["created_at"], row["__op"]) == (
+        "U1", "010-1234-5678", True, 1704067200000, "c")
