@@ -36,10 +36,10 @@ def json_text(data: Column | str, field: str) -> Column:
     """Text of one field under the value-to-text rule (see module doc)."""
     data = as_col(data)
     text = F.try_variant_get(data, variant_path(field), "string")
-    # Only values whose text starts like a container pay for the type check.
-    maybe_container = text.startswith("{") | text.startswith("[")
-    is_container = F.schema_of_variant(json_value(data, field)).rlike("^(OBJECT|ARRAY)")
-    return F.when(maybe_container & is_container, F.lit("")).otherwise(text)
+    # Only values whose text starts like a container pay for the type probe.
+    v = json_value(data, field)
+    is_container = F.when(text.startswith("{"), json_is_object(v)).when(text.startswith("["), _is_array(v))
+    return F.when(F.coalesce(is_container, F.lit(False)), F.lit("")).otherwise(text)
 
 
 def json_is_number(data: Column | str, field: str) -> Column:
@@ -54,6 +54,18 @@ def json_is_null_or_missing(data: Column | str, field: str) -> Column:
     return v.isNull() | F.is_variant_null(v)
 
 
+# Casting a VARIANT to a one-field struct succeeds for any JSON object (the
+# field is simply absent) and fails for every other value; the ``try_`` form
+# turns the failure into NULL.  This avoids walking the whole value the way
+# ``schema_of_variant`` does.
+_OBJECT_PROBE = "struct<__cdcflow_probe:int>"
+_ARRAY_PROBE = "array<variant>"
+
+
 def json_is_object(v: Column) -> Column:
     """True when a VARIANT value is a JSON object."""
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    return F.try_variant_get(v, "$", _OBJECT_PROBE).isNotNull()
+
+
+def _is_array(v: Column) -> Column:
+    return F.try_variant_get(v, "$", _ARRAY_PROBE).isNotNull()

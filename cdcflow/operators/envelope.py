@@ -56,16 +56,19 @@ def unwrap_json(
     src = src.select("*", F.explode(F.array(F.try_parse_json(raw))).alias("_root"))
     root = F.col("_root")
     payload = json_value(root, "payload")
-    has_payload = payload.isNotNull() & ~F.is_variant_null(payload)
+    has_payload = F.coalesce(payload.isNotNull() & ~F.is_variant_null(payload), F.lit(False))
     op = F.coalesce(json_text(payload, "op"), F.lit(DEFAULT_OP))
-    is_delete = op == DELETE_OP
-    image = F.when(is_delete, json_value(payload, "before")).otherwise(json_value(payload, "after"))
-    out = (
-        src.withColumn("_has_payload", F.coalesce(has_payload, F.lit(False)))
-        .withColumn("__op", F.when(F.col("_has_payload"), op).otherwise(json_text(root, "__op")))
-        .withColumn("_image", F.when(F.col("_has_payload"), image))
-        .withColumn("data", F.when(F.col("_has_payload"), F.col("_image")).otherwise(root))
+    image = F.when(op == DELETE_OP, json_value(payload, "before")).otherwise(json_value(payload, "after"))
+    # The envelope fields go behind a second one-row generator for the same
+    # reason: the pushed-down reject test then reads attributes.
+    envelope_fields = F.struct(
+        has_payload.alias("_has_payload"),
+        F.when(has_payload, op).otherwise(json_text(root, "__op")).alias("__op"),
+        F.when(has_payload, image).alias("_image"),
+        json_is_object(image).alias("_image_is_object"),
     )
+    out = src.select("*", F.inline(F.array(envelope_fields)))
+    out = out.withColumn("data", F.when(F.col("_has_payload"), F.col("_image")).otherwise(root))
     image_name = F.when(F.col("__op") == DELETE_OP, F.lit("before")).otherwise(F.lit("after"))
     out = add_reject(out, root.isNull(), reject(raw, PARSE_FAILED, CTX_JSON, now))
     out = add_reject(
@@ -75,10 +78,10 @@ def unwrap_json(
     )
     out = add_reject(
         out,
-        F.col("_has_payload") & F.col("_image").isNotNull() & ~json_is_object(F.col("_image")),
+        F.col("_has_payload") & F.col("_image").isNotNull() & ~F.col("_image_is_object"),
         reject(raw, F.concat(F.lit("JSON parsing failed: "), image_name, F.lit(" image is not an object")), CTX_JSON, now),
     )
-    out = out.drop("_root", "_has_payload", "_image")
+    out = out.drop("_root", "_has_payload", "_image", "_image_is_object")
     return out if keep_value else out.drop(value_col)
 
 
