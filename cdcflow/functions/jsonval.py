@@ -8,7 +8,8 @@ Value-to-text rule (what every text rule sees):
 
 * missing field or JSON ``null``   -> NULL
 * string                           -> the string as is
-* number / boolean                 -> its text (``123``, ``1.5``, ``true``)
+* number / boolean                 -> its text (``123``, ``1.5``, ``true``);
+                                     fractions print as doubles (``100.50`` -> ``100.5``)
 * object / array                   -> ``''`` (the empty string, not the JSON)
 """
 
@@ -39,7 +40,16 @@ def json_text(data: Column | str, field: str) -> Column:
     # Only values whose text starts like a container pay for the type probe.
     v = json_value(data, field)
     is_container = F.when(text.startswith("{"), json_is_object(v)).when(text.startswith("["), _is_array(v))
-    return F.when(F.coalesce(is_container, F.lit(False)), F.lit("")).otherwise(text)
+    # A JSON number with a fraction is a double to the original reader, so it
+    # prints like Java's Double.toString ("100.50" -> "100.5"); VARIANT keeps it
+    # as a DECIMAL.  Only text shaped like a decimal pays for the type check.
+    is_decimal = text.rlike(r"^-?[0-9]+\.[0-9]+$") & F.schema_of_variant(v).startswith("DECIMAL")
+    as_double_text = F.try_variant_get(v, "$", "double").cast("string")
+    return (
+        F.when(F.coalesce(is_container, F.lit(False)), F.lit(""))
+        .when(F.coalesce(is_decimal, F.lit(False)), as_double_text)
+        .otherwise(text)
+    )
 
 
 def json_is_number(data: Column | str, field: str) -> Column:

@@ -167,10 +167,14 @@ def test_decode_sequence(spark):
 
 
 def test_json_text_value_rule(spark):
-    df = spark.createDataFrame([('{"s":"x","n":12,"d":1.5,"b":true,"o":{"k":1},"a":[1],"z":null,"a.b":"dot"}',)], "v string")
+    df = spark.createDataFrame(
+        [('{"s":"x","n":12,"d":1.5,"b":true,"o":{"k":1},"a":[1],"z":null,"a.b":"dot","t":100.50,"ts":"100.50","e":1e10,'
+          '"big":123456789012345678901234567890}',)], "v string")
     d = F.parse_json("v")
-    row = df.select(*[jsonval.json_text(d, f).alias(f) for f in ["s", "n", "d", "b", "o", "a", "z", "missing", "a.b"]]).collect()[0]
-    assert list(row) == ["x", "12", "1.5", "true", "", "", None, None, "dot"]
+    names = ["s", "n", "d", "b", "o", "a", "z", "missing", "a.b", "t", "ts", "e", "big"]
+    row = df.select(*[jsonval.json_text(d, f).alias(f) for f in names]).collect()[0]
+    assert list(row) == ["x", "12", "1.5", "true", "", "", None, None, "dot", "100.5", "100.50", "1.0E10",
+                         "123456789012345678901234567890"]
 
 
 def test_format_template(spark):

@@ -39,3 +39,23 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "user_id" in df.columns
+
+
+TIME_SENSITIVE = ["refine_users", "parse_iso_instant", "parse_epoch_or_iso", "normalize_epoch", "refine_birth",
+                  "contract_date_millis", "stamp_processed_at", "map_json_timestamp", "lookup_enrich_compound"]
+
+
+@pytest.mark.parametrize("conf", [{"spark.sql.session.timeZone": "Asia/Seoul"}, {"spark.sql.ansi.enabled": "false"}])
+def test_results_do_not_depend_on_session_settings(spark, con, conf):
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        for name in TIME_SENSITIVE:
+            df = entry.queries()[name](spark, SF_SMALL)
+            res = con.execute(entry.oracle_sql()[name])
+            dnames = [d[0] for d in res.description]
+            assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(dnames, res.fetchall()), name
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
