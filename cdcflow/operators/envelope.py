@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cdcflow.functions.jsonval import json_is_object, json_text, json_value
-from cdcflow.operators.rejects import CTX_JSON, CTX_STRUCT, add_reject, reject
+from cdcflow.operators.rejects import CTX_JSON, add_reject, reject
 
 DEFAULT_OP = "c"
 DELETE_OP = "d"
