@@ -165,7 +165,7 @@ class Mapping:
 
     def __init__(self, name: str, schema: T.StructType | str, rules: Sequence[Rule]):
         self.name = name
-        self.schema = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+        self.schema = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
         self.rules = list(rules)
         declared = set(self.schema.fieldNames())
         for r in self.rules:

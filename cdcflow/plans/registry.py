@@ -49,6 +49,6 @@ def get_schema(name: str, group: str | None = None) -> T.StructType:
         if k in _SCHEMAS:
             st = _SCHEMAS[k]
             if isinstance(st, str):
-                st = _SCHEMAS[k] = T._parse_datatype_string(st)
+                st = _SCHEMAS[k] = T.StructType.fromDDL(st)
             return st
     raise KeyError(f"schema {name!r} not found (group {group!r})")

@@ -141,11 +141,12 @@ def undecodable_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- struct (decoded record) envelopes from orders ---------------------------
 
 ORDER_OP = "CASE o_orderkey % 5 WHEN 0 THEN 'c' WHEN 1 THEN 'u' WHEN 2 THEN 'd' WHEN 3 THEN NULL ELSE 'd' END"
+ORDER_TOMBSTONE = "o_orderkey % 13 = 0"  # which derived records carry a NULL value
 
 
 def cdc_struct_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = fixtures.read(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey", "o_custkey", "o_orderstatus", f"{ORDER_OP} AS op", "o_orderkey % 5 AS kind", "o_orderkey % 13 = 0 AS tomb"
+        "o_orderkey", "o_custkey", "o_orderstatus", f"{ORDER_OP} AS op", "o_orderkey % 5 AS kind", f"{ORDER_TOMBSTONE} AS tomb"
     )
     image = F.struct("o_orderkey", "o_custkey", "o_orderstatus")
     before = F.when(F.col("kind") == 2, image)  # kind 4: a delete without its before image
@@ -167,20 +168,29 @@ SELECT o_orderkey,
        CASE WHEN kind = 4 THEN NULL ELSE o_orderstatus END AS status,
        CASE WHEN kind = 4 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS custkey,
        CASE WHEN kind = 4 THEN 'missing before image' END AS reason
-FROM (SELECT *, {ORDER_OP} AS op, o_orderkey % 5 AS kind FROM orders) o
-WHERE NOT (o_orderkey % 13 = 0)
+FROM (SELECT *, {ORDER_OP} AS op, o_orderkey % 5 AS kind, {ORDER_TOMBSTONE} AS tombstone FROM orders) o
+WHERE NOT tombstone  -- tombstones (NULL values) are dropped
 """
 
 
+EVENT_TOMBSTONE = "event_id % 89 = 0"  # which derived records carry a NULL value
+
+
 def flat_source_non_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = fixtures.read(spark, sf_dir, "events")
-    rec = F.when(F.col("event_id") % 89 != 0, F.struct("event_id", "event_type", "value"))
+    rec = F.when(~F.expr(EVENT_TOMBSTONE), F.struct("event_id", "event_type", "value"))
     topic = ev.select(F.col("user_id").cast("string").alias("key"), rec.alias("value"))
     flat = build.normalize_source(topic, {"group": "lv2"}, context(spark, sf_dir))
     return flat.select("key", "event_id", "event_type")
 
 
-FLAT_ORACLE = "SELECT CAST(user_id AS VARCHAR) AS key, event_id, event_type FROM events WHERE event_id % 89 <> 0"
+FLAT_ORACLE = f"""
+SELECT key, event_id, event_type FROM (
+  SELECT CAST(user_id AS VARCHAR) AS key, event_id, event_type,
+         CASE WHEN {EVENT_TOMBSTONE} THEN NULL ELSE struct_pack(event_id, event_type, value) END AS value
+  FROM events) t
+WHERE value IS NOT NULL
+"""
 
 
 # --- DuckDB oracle: the envelope rules over the same text --------------------
