@@ -58,7 +58,14 @@ def read_topic(spark: SparkSession, topic: str, bindings: dict, streaming: bool
             "headers", "timestamp", "topic", "partition", "offset",
         )
     if streaming:
-        schema = b.schema if b.schema is not None else spark.read.format(b.format).options(**b.options).load(b.path).schema
+        schema = b.schema
+        if schema is None:
+            try:
+                schema = spark.read.format(b.format).options(**b.options).load(b.path).schema
+            except Exception as e:  # noqa: BLE001
+                raise ValueError(
+                    f"topic {topic!r}: no data at {b.path} to take a schema from; declare 'schema' in its binding"
+                ) from e
         return spark.readStream.format(b.format).schema(schema).options(**b.options).load(b.path)
     return spark.read.format(b.format).options(**b.options).load(b.path)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cdcflow.plans import build, spec
 from cdcflow.queries import common, fixtures
 from cdcflow.queries.mappings import address_reference
-from cdcflow.sources import TopicBinding, read_topic
+from cdcflow.sources import TopicBinding, read_topic, write_topic
 from cdcflow.streaming import run_spec, start_pipeline, supervise
 from conftest import SF_SMALL
 
@@ -82,3 +82,37 @@ def test_supervise_restarts_then_finishes(spark, scratch):
     supervise(spark, {"lv1": lambda: start_pipeline(spark, lv1, ctx, b, ck, trigger={"availableNow": True})}, poll_seconds=0.5)
     assert read_topic(spark, "silver.sample_user", b).count() > 0
     _ = address_reference  # the api stage's reference set is bound lazily in the context
+
+
+def test_cli_runs_a_spec_once(spark, scratch):
+    import yaml
+
+    from cdcflow import cli
+
+    b = _bindings(scratch)
+    fixtures.user_feed(spark, SF_SMALL, protect_key=common.SAMPLE_KEY).select("key", "value").write.parquet(
+        b["bronze.sample_user"].path
+    )
+    users = os.path.join(scratch, "users")
+    fixtures.users_table(spark, SF_SMALL).write.parquet(users)
+    addresses = os.path.join(scratch, "addresses")
+    address_reference(spark, SF_SMALL).write.parquet(addresses)
+    # a second channel's silver topic, produced elsewhere
+    lv1 = spec.load()["lv1"][0]
+    ctx = common.context(spark, SF_SMALL)
+    feed = fixtures.user_feed(spark, SF_SMALL, protect_key=common.SAMPLE_KEY).select("key", "value")
+    other = build.route(build.refine(feed, lv1, ctx), lv1).success.limit(20)
+    write_topic(other, "silver.sample_user-2", b, batch_id=0, writer="other")
+    conf = {
+        "checkpoint": os.path.join(scratch, "_cli_ck"),
+        "topics": {n: {"format": "parquet", "path": t.path} for n, t in b.items()},
+        "tables": {"USERS": {"path": users}, "ADDRESSES": {"path": addresses}},
+    }
+    path = os.path.join(scratch, "bindings.yml")
+    with open(path, "w") as fh:
+        yaml.safe_dump(conf, fh)
+    cli.main(["run", "--bindings", path, "--once"])
+    n = read_topic(spark, "silver.sample_user", b).count()
+    assert n > 0
+    assert read_topic(spark, "gold.sample_union", b).count() == n + 20
+    assert read_topic(spark, "silver.address_search", b).count() > 0
