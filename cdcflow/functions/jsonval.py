@@ -42,8 +42,8 @@ def json_text(data: Column | str, field: str) -> Column:
     is_container = F.when(text.startswith("{"), json_is_object(v)).when(text.startswith("["), _is_array(v))
     # A JSON number with a fraction is a double to the original reader, so it
     # prints like Java's Double.toString ("100.50" -> "100.5"); VARIANT keeps it
-    # as a DECIMAL.  Only text shaped like a decimal pays for the type check.
-    is_decimal = text.rlike(r"^-?[0-9]+\.[0-9]+$") & F.schema_of_variant(v).startswith("DECIMAL")
+    # as a DECIMAL.  Only text with a dot pays for the (scalar) type check.
+    is_decimal = F.when(text.contains("."), F.schema_of_variant(v).startswith("DECIMAL"))
     as_double_text = F.try_variant_get(v, "$", "double").cast("string")
     return (
         F.when(F.coalesce(is_container, F.lit(False)), F.lit(""))
