@@ -232,8 +232,8 @@ REFINE_BIRTH = ScalarQuery(
     "orders",
     {"id": "o_orderkey", "input": _BIRTH},
     "birth",
-    lambda c: timefn.refine_birth(c, AS_OF),
-    lambda x: duck.refine_birth(x, AS_OF_SQL),
+    lambda c: timefn.refine_birth(c, AS_OF).cast("string"),  # ISO text: engine-neutral for the value hash
+    lambda x: f"CAST({duck.refine_birth(x, AS_OF_SQL)} AS VARCHAR)",
 )
 REFINE_BIRTH_DAYS = ScalarQuery(
     "orders",
