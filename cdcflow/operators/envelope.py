@@ -48,27 +48,28 @@ def unwrap_json(
     """Unwrap JSON change envelopes (text) into ``data`` VARIANT + ``__op``."""
     src = drop_tombstones(df, value_col)
     raw = F.col(value_col)
-    # Parse once per row behind a generator.  A filter on anything derived
-    # from ``_root`` (the success/reject split) cannot be pushed below a
-    # generator output, so Catalyst cannot inline the parse into every
-    # reference of the filter condition (filters get no common-subexpression
-    # elimination, so each copy would re-parse the text).
-    src = src.select("*", F.explode(F.array(F.try_parse_json(raw))).alias("_root"))
+    # Each derived VARIANT (document, payload, chosen image) is produced once
+    # per row as the output of a one-element ``explode``.  Catalyst cannot push
+    # a filter on a generator's output below the generator, so the success /
+    # reject split is evaluated on these attributes instead of being inlined
+    # down to the text (filters get no common-subexpression elimination: each
+    # inlined copy would re-parse the JSON or re-walk the document).
+    def once(df_: DataFrame, col: Column, name: str) -> DataFrame:
+        return df_.select("*", F.explode(F.array(col)).alias(name))
+
+    src = once(src, F.try_parse_json(raw), "_root")
     root = F.col("_root")
-    payload = json_value(root, "payload")
+    src = once(src, json_value(root, "payload"), "_payload")
+    payload = F.col("_payload")
     has_payload = F.coalesce(payload.isNotNull() & ~F.is_variant_null(payload), F.lit(False))
     op = F.coalesce(json_text(payload, "op"), F.lit(DEFAULT_OP))
     image = F.when(op == DELETE_OP, json_value(payload, "before")).otherwise(json_value(payload, "after"))
-    # The envelope fields go behind a second one-row generator for the same
-    # reason: the pushed-down reject test then reads attributes.
-    envelope_fields = F.struct(
-        has_payload.alias("_has_payload"),
-        F.when(has_payload, op).otherwise(json_text(root, "__op")).alias("__op"),
-        F.when(has_payload, image).alias("_image"),
-        json_is_object(image).alias("_image_is_object"),
+    src = once(src, F.when(has_payload, image), "_image")
+    out = (
+        src.withColumn("_has_payload", has_payload)
+        .withColumn("__op", F.when(F.col("_has_payload"), op).otherwise(json_text(root, "__op")))
+        .withColumn("data", F.when(F.col("_has_payload"), F.col("_image")).otherwise(root))
     )
-    out = src.select("*", F.inline(F.array(envelope_fields)))
-    out = out.withColumn("data", F.when(F.col("_has_payload"), F.col("_image")).otherwise(root))
     image_name = F.when(F.col("__op") == DELETE_OP, F.lit("before")).otherwise(F.lit("after"))
     out = add_reject(out, root.isNull(), reject(raw, PARSE_FAILED, CTX_JSON, now))
     out = add_reject(
@@ -78,10 +79,10 @@ def unwrap_json(
     )
     out = add_reject(
         out,
-        F.col("_has_payload") & F.col("_image").isNotNull() & ~F.col("_image_is_object"),
+        F.col("_has_payload") & F.col("_image").isNotNull() & ~json_is_object(F.col("_image")),
         reject(raw, F.concat(F.lit("JSON parsing failed: "), image_name, F.lit(" image is not an object")), CTX_JSON, now),
     )
-    out = out.drop("_root", "_has_payload", "_image", "_image_is_object")
+    out = out.drop("_root", "_payload", "_has_payload", "_image")
     return out if keep_value else out.drop(value_col)
 
 
