@@ -19,17 +19,20 @@ SPARK_TS_US = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', {
 DUCK_TS_US = "epoch_us({c})"
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """One of the driver's tables.
 
-    A scan with fewer splits than task slots (a small single-row-group file)
-    is spread round-robin so per-row work uses every core; a large table
-    already has more splits than slots and is read as is (no shuffle).
+    ``spread=True`` is for scans followed by heavy per-row work: a scan with
+    fewer splits than task slots (a small single-row-group file) is spread
+    round-robin so every core works; a large table already has more splits
+    than slots and is read as is (no shuffle).  Small dimension tables that
+    only feed joins are never spread.
     """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        df = df.repartition(slots)
+    if spread:
+        slots = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < slots:
+            df = df.repartition(slots)
     return df
 
 

@@ -46,7 +46,7 @@ class ScalarQuery:
         return [f"{e.replace('{ts_us}', ts)} AS {n}" for n, e in self.cols.items()]
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        src = read(spark, sf_dir, self.table).selectExpr(*self._exprs(SPARK_TS_US.format(c="ts")))
+        src = read(spark, sf_dir, self.table, spread=True).selectExpr(*self._exprs(SPARK_TS_US.format(c="ts")))
         return src.select(*self.cols.keys(), self.spark_fn(*[F.col(a) for a in self.args]).alias(self.out))
 
     def oracle(self) -> str:
@@ -58,7 +58,7 @@ def _union_query(parts: list[ScalarQuery], spark_fn, duck_fn, out: str, args=("i
     """Several ScalarQuery inputs (same column names) unioned, then one function."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        dfs = [read(spark, sf_dir, p.table).selectExpr(*p._exprs("")) for p in parts]
+        dfs = [read(spark, sf_dir, p.table, spread=True).selectExpr(*p._exprs("")) for p in parts]
         src = dfs[0]
         for d in dfs[1:]:
             src = src.unionByName(d)
@@ -81,12 +81,12 @@ _EMAIL_VARIANTS = (
 
 
 def clean_email_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select(
+    docs = read(spark, sf_dir, "documents", spread=True).select(
         F.lit("doc").alias("src"),
         F.col("doc_id").alias("id"),
         F.explode(F.expr(f"regexp_extract_all(text, {EMAIL_CANDIDATE}, 0)")).alias("input"),
     )
-    cust = read(spark, sf_dir, "customer").selectExpr("'cust' AS src", "c_custkey AS id", f"{_EMAIL_VARIANTS} AS input")
+    cust = read(spark, sf_dir, "customer", spread=True).selectExpr("'cust' AS src", "c_custkey AS id", f"{_EMAIL_VARIANTS} AS input")
     src = docs.unionByName(cust)
     return src.select("src", "id", "input", text.clean_email(F.col("input")).alias("email"))
 
@@ -275,7 +275,7 @@ _SEQ_HEX = (
 
 
 def decode_sequence_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read(spark, sf_dir, "orders").selectExpr("o_orderkey AS id", f"{_SEQ_HEX} AS hx", "o_orderkey % 6 AS kind")
+    o = read(spark, sf_dir, "orders", spread=True).selectExpr("o_orderkey AS id", f"{_SEQ_HEX} AS hx", "o_orderkey % 6 AS kind")
     b64 = (
         F.when(F.col("kind") == 4, F.lit("!!not base64!!"))
         .when(F.col("kind") == 5, F.lit(None).cast("string"))
