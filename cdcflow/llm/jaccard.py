@@ -1,8 +1,9 @@
 """N-gram Jaccard self-join with count-vector R-trees.
 
 Every text is a set of five-word shingles (64-bit hashes); texts with the same
-set are one class.  A class is also a point: its shingles hashed into ``GROUPS``
-groups and counted.  Two sets overlap by at most the sum of the coordinate
+set are one class.  A class is also a point: its shingles hashed into groups (a
+power of two, about a quarter of its size) and counted; halves of a point add up
+to a coarser one, so points of different sizes compare.  Two sets overlap by at most the sum of the coordinate
 minima of their points, and a box of an R-tree by at most the sum of minima with
 the box's upper corner, so whole boxes are ruled out by the threshold.
 
@@ -10,8 +11,9 @@ the box's upper corner, so whole boxes are ruled out by the threshold.
    (a bounded list) for a rare-first order.
 2. ``routes``: a linked pair shares one of each side's leading shingles (the
    first ``n - ceil(3n/4) + 1`` in that order), so leading shingles are dealt by
-   hash and meet.  Pairs of small meetings are kept when the count bound and the
-   sizes allow a link; large meetings give a star, never all pairs.
+   hash and meet.  Of a small meeting the pairs that bound and sizes allow are
+   kept; a middling one is an R-tree over its points that gives a forest of such
+   pairs; a large one gives a star.  Never all pairs.
 3. Components of those candidate links are the parts to index.  A part is cut
    into tiles of at most ``TILE`` classes; each tile (with a few shared hubs of
    the part) is one R-tree, its surviving pairs verified on the whole sets.
@@ -37,12 +39,13 @@ from cdcflow.llm.graph import components
 from cdcflow.llm.store import stage
 from cdcflow.llm.words import Words, chunks, mix
 
-GROUPS = 64          # coordinates of a point
+FEWEST, MOST = 64, 1 << 16  # coordinates of a point
 TILE = 96            # classes in one R-tree
 LEAF = 8             # points in an R-tree leaf
 HUBS = 8             # classes of a part that every tile sees
-HEAVY = 1 << 16      # most frequent shingles that are moved behind all others
-SMALL = 16           # a meeting up to this size gives its pairs, a larger one a star
+HEAVY = 1 << 17      # most frequent shingles that are moved behind all others
+SMALL = 8            # a meeting up to this size gives its pairs
+MIDDLE = 256         # one up to this size is an R-tree, a larger one a star
 FLUSH = 1 << 20      # routed shingles a task holds
 
 
@@ -67,6 +70,34 @@ def _sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
             yield a + d, s
 
 
+def group_counts(s: np.ndarray) -> np.ndarray:
+    """The point of a set: its shingles per group."""
+    groups = min(MOST, max(FEWEST, 1 << (len(s) // 4).bit_length()))
+    return np.bincount((s & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+
+
+def pack_counts(c: np.ndarray) -> bytes:
+    """Bytes of a point, led by the size of its numbers."""
+    top = c.max()
+    kind = 1 if top < 256 else 2 if top < 65536 else 4
+    return bytes([kind]) + c.astype(f"<u{kind}").tobytes()
+
+
+def unpack_counts(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, f"<u{packed[0]}", offset=1).astype(np.int64)
+
+
+def folded(c: np.ndarray, groups: int) -> np.ndarray:
+    """A point with fewer groups."""
+    return c if len(c) == groups else c.reshape(-1, groups).sum(0)
+
+
+def count_bound(a: np.ndarray, b: np.ndarray) -> int:
+    """Most shingles that sets with these points can share."""
+    groups = min(len(a), len(b))
+    return int(np.minimum(folded(a, groups), folded(b, groups)).sum())
+
+
 def class_key(s: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
@@ -84,14 +115,14 @@ def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
         def heavy(docs):
             t, c = np.unique(np.concatenate(seen), return_counts=True)
-            keep = c >= max(4, docs // 256)
+            keep = c >= max(4, docs // 512)
             tokens.append(t[keep])
             uses.append(c[keep])
 
         for _, s in _sets(batch.column(1)):
             n.append(len(s))
             keys.append(class_key(s) if len(s) else None)
-            counts.append(np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype("<u4").tobytes() if len(s) else None)
+            counts.append(pack_counts(group_counts(s)) if len(s) else None)
             seen.append(s)
             held += len(s)
             if held >= FLUSH:
@@ -188,50 +219,66 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     t, o = t[fresh], o[fresh]
     first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
     size = np.diff(np.concatenate([first, [len(t)]]))
-    made: dict[bool, list[np.ndarray]] = {True: [], False: []}
-    big = np.repeat(size, size) > SMALL
-    if big.any():
-        pivot = np.repeat(o[first], size)
-        made[True].append(np.stack([pivot, o], 1)[big & (pivot != o)])
+    # meetings of the same members are one
+    sums = np.add.reduceat(mix(o.view(np.uint64)), first)
+    _, once = np.unique(np.stack([sums, size.astype(np.uint64)], 1), axis=0, return_index=True)
+    kept = np.zeros(len(first), bool)
+    kept[once] = True
+    every = np.repeat(size, size)
+    keep = np.repeat(kept, size)
+    pivot = np.repeat(o[first], size)
+    pairs = [np.stack([pivot, o], 1)[keep & (every > MIDDLE) & (pivot != o)]]
     for m in range(2, SMALL + 1):
-        f = first[size == m]
+        f = first[(size == m) & kept]
         if len(f):
             block = o[f[:, None] + np.arange(m)]
             i, j = np.triu_indices(m, 1)
-            made[False].append(np.stack([block[:, i].ravel(), block[:, j].ravel()], 1))
-    for star, parts in made.items():
-        if parts:
-            pairs = np.concatenate(parts)
-            pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
-            pairs = pairs[np.concatenate([[True], (np.diff(pairs, axis=0) != 0).any(1)])]
-            for k in range(0, len(pairs), 1 << 16):
-                part = pairs[k : k + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(part[:, 0]), pa.array(part[:, 1]), pa.array(np.full(len(part), star))], names=["a", "b", "star"])
+            pairs.append(np.stack([block[:, i].ravel(), block[:, j].ravel()], 1))
+    made = [(x, kind) for x, kind in ((pairs[0], STAR), (np.concatenate(pairs[1:]) if pairs[1:] else pairs[0][:0], PAIR)) if len(x)]
+    for i, (x, kind) in enumerate(made):
+        x = x[np.lexsort((x[:, 1], x[:, 0]))]
+        made[i] = (x[np.concatenate([[True], (np.diff(x, axis=0) != 0).any(1)])], kind)
+    middle = keep & (every > SMALL) & (every <= MIDDLE)
+    if middle.any():
+        made.append((np.stack([t.view(np.int64), o], 1)[middle], MEMBER))
+    for x, kind in made:
+        for k in range(0, len(x), 1 << 16):
+            part = x[k : k + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part[:, 0]), pa.array(part[:, 1]), pa.array(np.full(len(part), kind, np.int32))], names=["a", "b", "kind"])
+
+
+PAIR, STAR, MEMBER = 0, 1, 2  # two classes, two classes, a meeting and a class
 
 
 def _bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs that the sum of coordinate minima and the sizes leave; stars stay whole."""
+    """Pairs that the sum of coordinate minima and the sizes leave."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        n1, n2 = (batch.column(c).to_numpy() for c in ("n1", "n2"))
-        c1, c2 = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(-1, GROUPS) for c in ("c1", "c2"))
-        fits = linked(np.minimum(c1, c2).sum(1, dtype=np.int64), n1, n2) | batch.column("star").to_numpy(zero_copy_only=False)
-        yield batch.filter(pa.array(fits)).select(["a", "b"])
+        n1, n2, c1, c2 = (batch.column(c).to_pylist() for c in ("n1", "n2", "c1", "c2"))
+        fits = [a * 75 <= b * 100 and b * 75 <= a * 100 and linked(count_bound(unpack_counts(x), unpack_counts(y)), a, b)
+                for a, b, x, y in zip(n1, n2, c1, c2)]
+        yield batch.filter(pa.array(fits, pa.bool_())).select(["a", "b"])
+
+
+def _meeting_forest(table: pa.Table) -> pa.Table:
+    """A forest of the pairs of one meeting that the bound leaves."""
+    keys = table.column("key").to_pylist()
+    tree = RTree([unpack_counts(c) for c in table.column("counts").to_pylist()], np.array(table.column("n").to_pylist(), np.int64))
+    links = tree.forest(lambda q, r: True)
+    return pa.table({"a": pa.array([keys[x] for x, _ in links], pa.int64()), "b": pa.array([keys[y] for _, y in links], pa.int64())})
 
 
 class RTree:
     """Packed R-tree over group-count points: sorted by size then leading
-    coordinates, ``LEAF`` points a leaf, upper corners as boxes."""
-
-    def __init__(self, sets: list[np.ndarray]):
-        self.sets = sets
-        self.n = np.array([len(s) for s in sets], np.int64)
-        pts = np.stack([np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS) for s in sets])
-        self.order = np.lexsort((*pts.T[:4], self.n))
-        self.points = pts
-        sorted_pts, sorted_n = pts[self.order], self.n[self.order]
-        cut = np.arange(0, len(sets), LEAF)
+    coordinates, ``LEAF`` points a leaf, upper corners as boxes.  Boxes are over
+    the coarsest members' groups; pairs are compared by their own."""
+
+    def __init__(self, full: list[np.ndarray], n: np.ndarray):
+        groups = min(map(len, full))
+        points = np.stack([folded(c, groups) for c in full])
+        self.full, self.points, self.n = full, points, n
+        self.order = np.lexsort((*points.T[:4], n))
+        sorted_pts, sorted_n = points[self.order], n[self.order]
+        cut = np.arange(0, len(n), LEAF)
         self.levels = []
         hi, lo_n, hi_n = np.maximum.reduceat(sorted_pts, cut), np.minimum.reduceat(sorted_n, cut), np.maximum.reduceat(sorted_n, cut)
         self.levels.append((hi, lo_n, hi_n))
@@ -257,6 +304,28 @@ class RTree:
         inter = np.minimum(self.points[rows], point).sum(1)
         return rows[linked(inter, n, self.n[rows]) & (rows != q)]
 
+    def forest(self, verify, labels: list[int] | None = None) -> list[tuple[int, int]]:
+        """A spanning forest of the pairs that the bound leaves and ``verify`` confirms; members
+        of one label count as joined, and pairs already joined are not looked at again."""
+        up = list(range(len(self.n)))
+
+        def root(x: int) -> int:
+            while up[x] != x:
+                up[x] = up[up[x]]
+                x = up[x]
+            return x
+
+        first: dict[int, int] = {}
+        for i, label in enumerate(labels or []):
+            up[root(i)] = root(first.setdefault(label, i))
+        links = []
+        for q in range(len(up)):
+            for r in self.near(q).tolist():
+                if r > q and (x := root(q)) != (y := root(r)) and linked(count_bound(self.full[q], self.full[r]), self.n[q], self.n[r]) and verify(q, r):
+                    up[x] = y
+                    links.append((q, r))
+        return links
+
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
     if len(a) > len(b):
@@ -268,58 +337,31 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def tile_links(keys: list[int], sets: list[np.ndarray], labels: list[int] | None = None) -> list[tuple[int, int]]:
-    """A spanning forest of the verified links among ``keys``; members that share a label count as joined."""
-    tree = RTree(sets)
-    up = list(range(len(keys)))
-
-    def root(x: int) -> int:
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
-    if labels is not None:
-        seen: dict[int, int] = {}
-        for i, lab in enumerate(labels):
-            up[root(i)] = root(seen.setdefault(lab, i))
-    links = []
-    for q in range(len(keys)):
-        for r in tree.near(q).tolist():
-            if r > q and (x := root(q)) != (y := root(r)) and linked(overlap(sets[q], sets[r]), len(sets[q]), len(sets[r])):
-                up[x] = y
-                links.append((keys[q], keys[r]))
-    return links
+    """A spanning forest of the verified links among ``keys``."""
+    tree = RTree([group_counts(s) for s in sets], np.array([len(s) for s in sets], np.int64))
+    same = lambda q, r: linked(overlap(sets[q], sets[r]), len(sets[q]), len(sets[r]))
+    return [(keys[q], keys[r]) for q, r in tree.forest(same, labels)]
 
 
 def _link_table(table: pa.Table) -> pa.Table:
-    keys = table.column("key").to_pylist()
-    at = {k: i for i, k in reversed(list(enumerate(keys)))}  # a hub may come twice
-    rows = sorted(at.values())
-    sets = [np.frombuffer(table.column("tokens")[i].as_buffer(), np.uint64) for i in rows]
-    labels = [table.column("label")[i].as_py() for i in rows] if "label" in table.column_names else None
-    links = tile_links([keys[i] for i in rows], sets, labels)
+    """Links of one tile; rows are ``key, text`` and maybe ``label``.  Rows whose text has
+    another class key (an id may have several texts) and repeated rows drop out."""
+    asked = table.column("key").to_pylist()
+    known = table.column("label").to_pylist() if "label" in table.column_names else None
+    keys, sets, labels, seen = [], [], [], set()
+    at = 0
+    for text in table.column("text").chunks:
+        for i, s in _sets(text):
+            if (key := asked[at + i]) not in seen and class_key(s) == key:
+                seen.add(key)
+                keys.append(key)
+                sets.append(s)
+                labels.append(known[at + i] if known else None)
+        at += len(text)
+    links = tile_links(keys, sets, labels if known else None) if len(keys) > 1 else []
     return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
 
-def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sets of the texts whose class key is the one asked for (an id may have several texts)."""
-    def out(keys, rows):
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(rows, pa.binary())], names=["key", "tokens"])
-
-    for batch in batches:
-        asked, keys, rows, held = batch.column(0).to_pylist(), [], [], 0
-        for i, s in _sets(batch.column(1)):
-            if class_key(s) == asked[i]:
-                keys.append(asked[i])
-                rows.append(s.tobytes())
-                held += s.nbytes
-            if held > FLUSH * 8:
-                yield out(keys, rows)
-                keys, rows, held = [], [], 0
-        if keys:
-            yield out(keys, rows)
-
-
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id``: one row per row of ``docs``."""
     spark = docs.sparkSession
@@ -336,29 +378,31 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     while buckets < 4 * int(spark.conf.get("spark.sql.shuffle.partitions")):
         buckets *= 2
     routed = d.select("text").mapInArrow(_router(heavy, rank, buckets), "bucket long, tokens binary, keys binary")
-    met = stage(routed.repartition("bucket").mapInArrow(_meet, "a long, b long, star boolean"), "meetings")
-    cand = met.groupBy("a", "b").agg(F.max("star").alias("star"))
+    met = stage(routed.repartition("bucket").mapInArrow(_meet, "a long, b long, kind int"), "meetings")
 
     classes = stage(points.where("key IS NOT NULL").groupBy("key").agg(
         F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("counts").alias("counts")), "classes")
     left = classes.select(F.col("key").alias("a"), F.col("n").alias("n1"), F.col("counts").alias("c1"))
     right = classes.select(F.col("key").alias("b"), F.col("n").alias("n2"), F.col("counts").alias("c2"))
-    edges = cand.join(left, "a").join(right, "b").select("a", "b", "star", "n1", "c1", "n2", "c2").mapInArrow(_bound, "a long, b long")
+    pairs = met.where(F.col("kind") == PAIR).select("a", "b").distinct()
+    pairs = pairs.join(left, "a").join(right, "b").select("a", "b", "n1", "c1", "n2", "c2").mapInArrow(_bound, "a long, b long")
+    seated = met.where(F.col("kind") == MEMBER).select(F.col("a").alias("meeting"), F.col("b").alias("key")).join(classes, "key")
+    forests = seated.select("meeting", "key", "n", "counts").groupBy("meeting").applyInArrow(_meeting_forest, "a long, b long")
+    stars = met.where(F.col("kind") == STAR).select("a", "b")
+    edges = stage(pairs.union(forests).union(stars).distinct(), "candidates")
     parts = components(edges).select(F.col("v").alias("key"), F.col("label").alias("part"))
 
     # tiles: a part's classes dealt by hash into ceil(size / TILE) groups
     sizes = parts.groupBy("part").agg(F.count("*").alias("m")).withColumn("tiles", F.ceil(F.col("m") / TILE))
     placed = stage(parts.join(sizes, "part").withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")))
                    .join(classes.select("key", "doc"), "key"), "parts")
-    chosen = placed.select(F.col("doc").alias("doc_id"), "key")
-    sets = stage(d.join(chosen, "doc_id").select("key", "text").mapInArrow(_set_rows, "key long, tokens binary"), "sets")
-
     hubs = (placed.where("tiles > 1").groupBy("part", "tiles")
             .agg(F.slice(F.array_sort(F.collect_set(F.when(F.pmod(F.xxhash64("key", F.lit(1)), F.greatest(F.lit(1), F.floor(F.col("m") / (4 * HUBS)))) == 0, F.col("key")))), 1, HUBS).alias("hub")))
     hub_rows = (hubs.withColumn("tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
                 .select("part", "tile", F.explode("hub").alias("key")))
-    seats = placed.select("part", "tile", "key").unionByName(hub_rows).distinct()
-    tiled = seats.join(sets, "key").select("part", "tile", "key", "tokens")
+    homes = placed.select("key", F.col("doc").alias("doc_id"))
+    seats = placed.select("part", "tile", "key").unionByName(hub_rows).distinct().join(homes, "key")
+    tiled = d.join(seats, "doc_id").select("part", "tile", "key", "text")
     found = stage(tiled.groupBy("part", "tile").applyInArrow(_link_table, "a long, b long"), "found")
 
     links = found
@@ -372,7 +416,8 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                  .select(F.col("x.part").alias("part"), F.col("x.tile").alias("t1"), F.col("y.tile").alias("t2")))
         pairs = stage(pairs, "tile-pairs")
         ends = pairs.select("part", "t1", "t2", F.explode(F.array("t1", "t2")).alias("tile"))
-        both = ends.join(lab, ["part", "tile"]).join(sets, "key").select("part", "t1", "t2", "key", "tokens", "label")
+        both = (ends.join(lab, ["part", "tile"]).join(homes, "key").join(d, "doc_id")
+                .select("part", "t1", "t2", "key", "text", "label"))
         links = stage(found.unionByName(both.groupBy("part", "t1", "t2").applyInArrow(_link_table, "a long, b long")), "links")
 
     final = components(links).select(F.col("v").alias("key"), "label")
