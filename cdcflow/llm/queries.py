@@ -10,6 +10,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cdcflow.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents")).drop("ids")
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cdcflow.llm.pii import fit, scan
+
+    docs = table(spark, sf_dir, "documents")
+    return scan(docs, fit(docs)).drop("redacted")
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cdcflow.llm.jaccard import jaccard_classes
 
@@ -24,6 +37,8 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op6_pii": op6_pii,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_quality_rules": op8_quality_rules,
 }
