@@ -428,3 +428,14 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     firsts = stage(firsts, "firsts")
     return (points.join(firsts, "key", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")))
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` per component, the one with the least id, with all columns.
+
+    Rows that repeat an id stay once; rows without an id stay all.
+    """
+    found = stage(jaccard_classes(docs, id_col, text_col), "components")
+    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
+    named = docs.join(first, docs[id_col].cast("long") == F.col("__keep"), "left_semi").dropDuplicates([id_col])
+    return named.unionByName(docs.where(F.col(id_col).isNull()))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cdcflow.llm.store import stage
+from cdcflow.llm.store import carried, stage
 from cdcflow.llm.words import Words, chunks, mix, text_buffers
 
 ALPHA = 0.02           # largest share of good rows a rule may reject in a stratum
@@ -36,7 +36,6 @@ SYMBOLS = b"#*$%&|<>"
 SPACES = " \t\n\v\f\r"
 
 SIGNALS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-SIGNAL_SCHEMA = "doc_id long, stratum string, n_lines long, n_upper long, " + ", ".join(f"{s} long" for s in SIGNALS)
 
 _SYMBOL = np.zeros(256, np.int64)
 _SYMBOL[list(SYMBOLS)] = 1
@@ -78,35 +77,40 @@ def line_counts(text: str) -> tuple[int, int]:
     return len(lines), len(lines) - len(set(lines))
 
 
+MEASURED = ["n_lines", "n_upper", *SIGNALS]
+
+
+def measure(column: pa.Array) -> list[pa.Array]:
+    """The integer signals of a batch of texts, in the order of ``MEASURED``."""
+    out: dict[str, list[np.ndarray]] = {k: [] for k in MEASURED}
+
+    def per_text(flags, offsets):
+        total = np.concatenate([[0], np.cumsum(flags)])
+        return total[offsets[1:]] - total[offsets[:-1]]
+
+    for _, _, data, offsets in chunks(column):
+        w = Words(data, offsets)
+        out["n_words"].append(w.count)
+        out["word_chars"].append(per_text(_POINT[data] & ~_SPACE[data], offsets))
+        out["n_symbols"].append(per_text(_SYMBOL[data], offsets))
+        out["n_upper"].append(per_text(_UPPER[data], offsets))
+        out["n_repeat_words"].append(repeat_words(w))
+        raw = data.tobytes()
+        lines = [line_counts(raw[x:y].decode()) for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+        out["n_lines"].append(np.array([x for x, _ in lines], np.int64))
+        out["n_dup_lines"].append(np.array([y for _, y in lines], np.int64))
+    return [pa.array(np.concatenate(v).astype(np.int64) if v else np.zeros(0, np.int64)) for v in out.values()]
+
+
 def _signals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        column = batch.column(2)
-        out = {k: [] for k in ("n_lines", "n_upper", *SIGNALS)}
-
-        def per_text(flags, offsets):
-            total = np.concatenate([[0], np.cumsum(flags)])
-            return total[offsets[1:]] - total[offsets[:-1]]
-
-        for a, b, data, offsets in chunks(column):
-            w = Words(data, offsets)
-            out["n_words"].append(w.count)
-            out["word_chars"].append(per_text(_POINT[data] & ~_SPACE[data], offsets))
-            out["n_symbols"].append(per_text(_SYMBOL[data], offsets))
-            out["n_upper"].append(per_text(_UPPER[data], offsets))
-            out["n_repeat_words"].append(repeat_words(w))
-            raw = data.tobytes()
-            lines = [line_counts(raw[x:y].decode()) for x, y in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-            out["n_lines"].append(np.array([x for x, _ in lines], np.int64))
-            out["n_dup_lines"].append(np.array([y for _, y in lines], np.int64))
-        cols = [batch.column(0), batch.column(1)]
-        cols += [pa.array(np.concatenate(v).astype(np.int64) if v else np.zeros(0, np.int64)) for v in out.values()]
-        yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "stratum", *out])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *measure(batch.column(2))], names=["doc_id", "stratum", *MEASURED])
 
 
 def signals(docs: DataFrame, stratum: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of signals per row of ``docs``."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(stratum.cast("string"), F.lit("")).alias("stratum"), F.col(text_col).cast("string").alias("text"))
-    return d.mapInArrow(_signals, SIGNAL_SCHEMA)
+    return d.mapInArrow(_signals, "doc_id long, stratum string, " + ", ".join(f"{m} long" for m in MEASURED))
 
 
 def base_failed() -> Column:
@@ -185,17 +189,36 @@ def pooled(docs: DataFrame, column: str = "lang", strata: int = STRATA) -> Colum
     return F.when(F.col(column).isin(names), F.col(column)).otherwise(F.lit("")) if names else F.lit("")
 
 
-def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """``doc_id``, signals, ``base_failed``, ``failed_rules`` and ``kept``: a row per row of ``docs``."""
-    sig = stage(signals(docs, pooled(docs, stratum)), "signals")
-    cut = cutoffs(sig, labels, alpha, delta)
+def verdict(cut: dict[tuple[str, str], int]) -> list[Column]:
+    """The name of each rule whose cutoff a row of signals reaches."""
     failed = []
     for name, value in rules().items():
-        mine = {s: c for (s, r), c in cut.items() if r == name}
         hit = F.lit(False)
-        for s, c in mine.items():
-            hit = hit | ((F.col("stratum") == s) & (value >= c))
+        for (s, r), c in sorted(cut.items()):
+            if r == name:
+                hit = hit | ((F.col("stratum") == s) & (value >= c))
         failed.append(F.when(hit, F.lit(name)))
-    failed_rules = F.array_compact(F.array(*failed))
-    return (sig.withColumn("base_failed", base_failed()).withColumn("failed_rules", failed_rules)
-            .withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)))
+    return failed
+
+
+def judged(sig: DataFrame, cut: dict[tuple[str, str], int]) -> DataFrame:
+    out = sig.withColumn("base_failed", base_failed()).withColumn("failed_rules", F.array_compact(F.array(*verdict(cut))))
+    return out.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
+
+
+def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """``doc_id``, signals, ``base_failed``, ``failed_rules`` and ``kept``: a row per row of ``docs``."""
+    sig = stage(signals(docs, pooled(docs, stratum)), "signals")
+    return judged(sig, cutoffs(sig, labels, alpha, delta))
+
+
+def keep(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with all their columns.
+
+    Texts are read twice, so they are neither joined nor written in between.
+    """
+    pool = pooled(docs, stratum)
+    cut = cutoffs(stage(signals(docs, pool), "signals"), labels, alpha, delta)
+    rows = carried(docs, lambda b: [b.column(0), *measure(b.column(1))], "stratum string, " + ", ".join(f"{m} long" for m in MEASURED),
+                   F.coalesce(pool.cast("string"), F.lit("")).alias("stratum"), F.col("text").cast("string").alias("text"))
+    return judged(rows, cut).where("kept").select("row.*")

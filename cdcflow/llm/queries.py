@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Shares of all words per labelled domain that op4 mixes to.
+MIX_WEIGHTS = {"good": 0.92, "low": 0.06, "toxic": 0.02}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -16,6 +20,16 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents")).drop("ids")
 
 
+def op4_mix_to_target_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cdcflow.llm.mixing import by_weight, mix
+
+    labels = table(spark, sf_dir, "labels")
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "low").when(F.col("quality") == 1, "good")
+    out = mix(table(spark, sf_dir, "documents"), labels.select("doc_id", domain.alias("domain")), by_weight(MIX_WEIGHTS))
+    return out.select("doc_id", "n_tokens", F.map_from_arrays("domains", "posterior").alias("p"), "rate", "copies").select(
+        "doc_id", "n_tokens", *[F.col("p").getItem(d).alias(f"p_{d}") for d in sorted(MIX_WEIGHTS)], "rate", "copies")
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cdcflow.llm.pii import fit, scan
 
@@ -37,6 +51,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_mix_to_target_weights": op4_mix_to_target_weights,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_pii": op6_pii,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,

@@ -18,3 +18,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def carried(docs: DataFrame, run, fields: str, *inputs) -> DataFrame:
+    """``row`` (all columns of ``docs`` as a struct, whatever their names) plus ``fields``
+    that ``run`` computes: it maps a record batch of ``inputs`` to a list of arrays."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    added = T.StructType.fromDDL(fields)
+    names = ["row", *added.names]
+
+    def each(batches):
+        for batch in batches:
+            part = pa.RecordBatch.from_arrays(batch.columns[1:], names=batch.schema.names[1:])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *run(part)], names=names)
+
+    given = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), *inputs)
+    return given.mapInArrow(each, T.StructType([T.StructField("row", given.schema["row"].dataType), *added.fields]))
