@@ -14,6 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cdcflow.llm.topk import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cdcflow.llm.packing import pack
 
@@ -50,11 +56,35 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *SIGNALS, "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cdcflow.llm.langid import fit, identify
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    return identify(docs, fit(docs, ~held_out), F.col("doc_id"), held_out.alias("held_out"))
+
+
 QUERIES = {
+    "op2_exact_top_k": op2_exact_top_k,
     "op4_mix_to_target_weights": op4_mix_to_target_weights,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_pii": op6_pii,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_quality_rules": op8_quality_rules,
+    "op9_language_id": op9_language_id,
+}
+ORACLE: dict[str, str] = {
+    "op2_exact_top_k": """
+WITH ok AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, d.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM ok q JOIN ok d ON q.vec_id <> d.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
+""",
 }
-ORACLE: dict[str, str] = {}

@@ -115,13 +115,13 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(column: pa.Array, max_bytes: int = CHUNK_BYTES):
+def chunks(column: pa.Array, max_bytes: int = CHUNK_BYTES, max_rows: int = 1 << 14):
     """``(row_from, row_to, bytes, offsets)`` over groups of rows of about
     ``max_bytes`` (a longer text comes alone); bounds the working memory."""
     data, offsets = text_buffers(column)
     n, a = len(offsets) - 1, 0
     while a < n:
         b = int(np.searchsorted(offsets, offsets[a] + max_bytes, "right")) - 1
-        b = min(n, max(b, a + 1))
+        b = min(n, max(b, a + 1), a + max_rows)
         yield a, b, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
         a = b
