@@ -64,6 +64,25 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, fit(docs, ~held_out), F.col("doc_id"), held_out.alias("held_out"))
 
 
+#: A conversation whose texts are made of the template's own strings.
+PROBE = "VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)"
+
+
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cdcflow.llm import chat
+
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    rows = rows.unionByName(spark.sql(f"SELECT * FROM {PROBE}"))
+    tree = F.coalesce(F.col("conv_id").cast("string"), F.lit("none"))
+    made = chat.conversations(chat.chain(rows, tree, [F.col("turn"), F.col("role"), F.col("text")]))
+    read = made.select(F.expr("try_cast(tree AS BIGINT)").alias("conv_id"), "formatted", "loss", chat.turns(F.col("formatted")).alias("turns"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return (read.withColumn("learnt", chat.learnt(F.col("formatted"), F.col("loss")))
+            .select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+                    F.length("learnt").cast("long").alias("loss_chars"), F.sha2(F.col("learnt"), 256).alias("loss_sha256"),
+                    F.length("formatted").cast("long").alias("formatted_chars")))
+
+
 QUERIES = {
     "op2_exact_top_k": op2_exact_top_k,
     "op4_mix_to_target_weights": op4_mix_to_target_weights,
@@ -72,6 +91,7 @@ QUERIES = {
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
+    "op10_chat_formatting": op10_chat_formatting,
 }
 ORACLE: dict[str, str] = {
     "op2_exact_top_k": """
