@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cdcflow.llm.store import ship
+
 
 #: Shares of all words per labelled domain that op4 mixes to.
 MIX_WEIGHTS = {"good": 0.92, "low": 0.06, "toxic": 0.02}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cdcflow.llm.substring import repeated_passages
+
+    return repeated_passages(table(spark, sf_dir, "documents"))
 
 
 def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,6 +92,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_exact_top_k": op2_exact_top_k,
     "op4_mix_to_target_weights": op4_mix_to_target_weights,
     "op3_best_fit_packing": op3_best_fit_packing,
