@@ -44,6 +44,13 @@ def op4_mix_to_target_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_tokens", *[F.col("p").getItem(d).alias(f"p_{d}") for d in sorted(MIX_WEIGHTS)], "rate", "copies")
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cdcflow.llm.secret_scan import fit, scan
+
+    docs = table(spark, sf_dir, "documents")
+    return scan(docs, fit(docs))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cdcflow.llm.pii import fit, scan
 
@@ -96,6 +103,7 @@ QUERIES = {
     "op2_exact_top_k": op2_exact_top_k,
     "op4_mix_to_target_weights": op4_mix_to_target_weights,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op5_secret_scan": op5_secret_scan,
     "op6_pii": op6_pii,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_quality_rules": op8_quality_rules,
