@@ -12,8 +12,8 @@ the box's upper corner, so whole boxes are ruled out by the threshold.
 2. ``routes``: a linked pair shares one of each side's leading shingles (the
    first ``n - ceil(3n/4) + 1`` in that order), so leading shingles are dealt by
    hash and meet.  Of a small meeting the pairs that bound and sizes allow are
-   kept; a middling one is an R-tree over its points that gives a forest of such
-   pairs; a large one gives a star.  Never all pairs.
+   kept; a middling one is an R-tree over its points that gives the components
+   of such pairs; a large one gives a star.  Never all pairs.
 3. Components of those candidate links are the parts to index.  A part is cut
    into tiles of at most ``TILE`` classes; each tile (with a few shared hubs of
    the part) is one R-tree, its surviving pairs verified on the whole sets.
@@ -260,7 +260,7 @@ def _bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _meeting_forest(table: pa.Table) -> pa.Table:
-    """A forest of the pairs of one meeting that the bound leaves."""
+    """What the pairs of one meeting that the bound leaves connect, as stars."""
     keys = table.column("key").to_pylist()
     tree = RTree([unpack_counts(c) for c in table.column("counts").to_pylist()], np.array(table.column("n").to_pylist(), np.int64))
     links = tree.forest(lambda q, r: True)
@@ -305,8 +305,8 @@ class RTree:
         return rows[linked(inter, n, self.n[rows]) & (rows != q)]
 
     def forest(self, verify, labels: list[int] | None = None) -> list[tuple[int, int]]:
-        """A spanning forest of the pairs that the bound leaves and ``verify`` confirms; members
-        of one label count as joined, and pairs already joined are not looked at again."""
+        """The pairs that the bound leaves and ``verify`` confirms, as a star over each component they
+        make; members of one label count as joined, and pairs already joined are not looked at again."""
         up = list(range(len(self.n)))
 
         def root(x: int) -> int:
@@ -318,13 +318,17 @@ class RTree:
         first: dict[int, int] = {}
         for i, label in enumerate(labels or []):
             up[root(i)] = root(first.setdefault(label, i))
-        links = []
+        joined = set()
         for q in range(len(up)):
             for r in self.near(q).tolist():
                 if r > q and (x := root(q)) != (y := root(r)) and linked(count_bound(self.full[q], self.full[r]), self.n[q], self.n[r]) and verify(q, r):
                     up[x] = y
-                    links.append((q, r))
-        return links
+                    joined.add(q)
+        touched, hub, star = {root(q) for q in joined}, {}, []
+        for i in range(len(up)):
+            if (x := root(i)) in touched and hub.setdefault(x, i) != i:
+                star.append((hub[x], i))
+        return star
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -337,7 +341,7 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def tile_links(keys: list[int], sets: list[np.ndarray], labels: list[int] | None = None) -> list[tuple[int, int]]:
-    """A spanning forest of the verified links among ``keys``."""
+    """The verified links among ``keys``, as stars."""
     tree = RTree([group_counts(s) for s in sets], np.array([len(s) for s in sets], np.int64))
     same = lambda q, r: linked(overlap(sets[q], sets[r]), len(sets[q]), len(sets[r]))
     return [(keys[q], keys[r]) for q, r in tree.forest(same, labels)]
@@ -418,7 +422,9 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ends = pairs.select("part", "t1", "t2", F.explode(F.array("t1", "t2")).alias("tile"))
         both = (ends.join(lab, ["part", "tile"]).join(homes, "key").join(d, "doc_id")
                 .select("part", "t1", "t2", "key", "text", "label"))
-        links = stage(found.unionByName(both.groupBy("part", "t1", "t2").applyInArrow(_link_table, "a long, b long")), "links")
+        more = both.groupBy("part", "t1", "t2").applyInArrow(_link_table, "a long, b long")
+        known = joined.select(F.col("label").alias("a"), F.col("key").alias("b"))
+        links = stage(known.unionByName(more), "links")
 
     final = components(links).select(F.col("v").alias("key"), "label")
     placed2 = classes.select("key", "doc").join(final, "key")
