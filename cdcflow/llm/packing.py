@@ -17,8 +17,10 @@ Special-token strings in a text are ordinary text.
 from __future__ import annotations
 
 import functools
+import json
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +34,7 @@ from cdcflow.llm.store import stage
 SEQ_LEN = 1024
 EOS = 2
 SHARD = 16384
-CACHE = 400_000       # words a worker remembers; forgotten and learned again beyond
+CACHE = 400_000       # words in each of the two generations that a worker remembers
 
 # The byte-level alphabet of GPT-2-style files: printable bytes stand for
 # themselves, the others for the code points from 256 on.
@@ -44,7 +46,8 @@ class Encoder:
     """``ids(text)`` as little-endian uint32 bytes, equal to the tokenizer's own.
 
     Pieces of a text are independent of one another, so ids are remembered per
-    space-delimited word; unseen words go through the file's BPE model.
+    space-delimited word; unseen words go through the file's BPE model.  Two
+    generations of words are held; the older is dropped when the newer is full.
     """
 
     def __init__(self, path: str):
@@ -55,44 +58,82 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tok = Tokenizer.from_file(path if os.path.sep in path else public_tokenizers.path(path))
         self.tok.encode_special_tokens = True
-        self.model = self.tok.model
+        self.merge = self._merger()
         self.pieces = regex.compile(public_tokenizers.PATTERN).findall
         # white space that does not stand alone between words, and controls on which regex libraries differ
         self.runs = regex.compile(r"\s\s|^\s|\s$").search
         self.controls = regex.compile("[\x1c-\x1f\x85]").search
-        self.piece_ids: dict[str, bytes] = {}
-        self.word_ids: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.line = self.piece("\n")
+
+    def _merger(self):
+        """Ids of a piece's bytes.  Where the file numbers its tokens in merge order, a
+        rank-based encoder over the file's own vocabulary gives the same ids sooner."""
+        import tiktoken
+
+        merges = json.loads(self.tok.to_str())["model"]["merges"]
+        vocab = self.tok.get_vocab()
+        ids = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in merges]
+        plain = {c: b for b, c in _BYTES.items()}
+        if ids == sorted(set(ids)) and all(c in vocab and vocab[c] < ids[0] for c in plain):
+            special = set(t.content for t in self.tok.get_added_tokens_decoder().values())
+            ranks = {bytes(map(plain.__getitem__, t)): i for t, i in vocab.items() if t not in special}
+            return tiktoken.Encoding("file", pat_str=r".+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+        model = self.tok.model.tokenize
+        return lambda raw: [t.id for t in model("".join(map(_BYTES.__getitem__, raw)))]
 
     def piece(self, p: str) -> bytes:
-        got = self.piece_ids.get(p)
+        return array("I", self.merge(p.encode())).tobytes()
+
+    def mark(self, c: str) -> bytes:
+        """Ids of a character that follows a word."""
+        got = self.marks.get(c)
         if got is None:
-            text = "".join(map(_BYTES.__getitem__, p.encode()))
-            got = np.array([t.id for t in self.model.tokenize(text)], "<u4").tobytes()
-            if len(self.piece_ids) >= CACHE:
-                self.piece_ids.clear()
-            if len(p) < 64:
-                self.piece_ids[p] = got
+            got = b"".join(map(self.piece, self.pieces("a" + c)[1:]))
+            if len(self.marks) < 4096:
+                self.marks[c] = got
         return got
 
-    def word(self, w: str) -> bytes:
-        """A word with the space before it."""
-        got = self.piece(" " + w) if w.isalpha() else b"".join(map(self.piece, self.pieces(" " + w)))
-        if len(self.word_ids) >= CACHE:
-            self.word_ids.clear()
-        if len(w) < 64:
-            self.word_ids[w] = got
+    def learn(self, key: str) -> bytes:
+        """Ids of a word with the space before it; of one without, for a key that starts with a space."""
+        got = self.old.get(key)
+        if got is None:
+            if key.isalpha():
+                got = self.piece(" " + key)
+            elif key[:-1].isalpha() and not key[-1].isspace():  # a word and one mark
+                got = self.word(key[:-1]) + self.mark(key[-1])
+            else:
+                got = self.split(key[1:] if key[:1] == " " else " " + key)
+        if len(self.new) >= CACHE:
+            self.old, self.new = self.new, {}
+        if len(key) < 64:
+            self.new[key] = got
         return got
 
+    def split(self, text: str) -> bytes:
+        return b"".join(map(self.piece, self.pieces(text)))
+
+    def word(self, key: str) -> bytes:
+        return self.new.get(key) or self.learn(key)
+
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
         if self.controls(text):
             return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if self.runs(text):
-            return b"".join(map(self.piece, self.pieces(text)))
-        first, *rest = text.split(" ")
-        known, word = self.word_ids.get, self.word
-        return b"".join([*map(self.piece, self.pieces(first)), *[known(w) or word(w) for w in rest]])
+            word = self.word  # pieces with the space before them are words
+            return b"".join([word(p[1:]) if p[0] == " " and p[1:].isalpha() else word(" " + p) if not p.isspace() else self.piece(p) for p in self.pieces(text)])
+        out = []
+        known, learn, line = self.new.get, self.learn, self.line
+        for part in text.split("\n"):
+            first, *rest = part.split(" ")
+            out += (line, self.word(" " + first))
+            known = self.new.get
+            out += [known(w) or learn(w) for w in rest]
+        return b"".join(out[1:])
 
 
 @functools.cache

@@ -123,5 +123,21 @@ s AS (
   FROM ok q JOIN ok d ON q.vec_id <> d.vec_id WHERE q.vec_id % 50 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
+""",
+    "op10_chat_formatting": """
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t AS (
+  SELECT *, length(role || text) + length(regexp_replace(role || text, '[^<\\[\\\\]', '', 'g')) AS escaped FROM r),
+g AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS learnt,
+         sum(escaped + length('<s>') + length('[/INST]') + length('</s>')) AS formatted_chars
+  FROM t GROUP BY conv_id)
+SELECT conv_id, CAST(n_turns AS BIGINT) AS n_turns, sha256(said) AS turns_sha256, CAST(length(learnt) AS BIGINT) AS loss_chars,
+       sha256(learnt) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM g
 """,
 }

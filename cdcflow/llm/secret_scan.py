@@ -34,6 +34,7 @@ SAMPLE_DOCS = 20_000       # documents that findings are taken from, about
 SAMPLE_FINDINGS = 20_000   # findings fitted on, at most
 DICTIONARY_DOCS = 500      # documents whose words make the dictionary, about
 DICTIONARY = 4_000         # words it holds, at most
+LEAST = 5                  # findings of either kind below which nothing is fitted
 KEEP = 0.5                 # forest score from which a candidate stands
 
 # Fixed patterns of key formats and telling names.
@@ -152,7 +153,7 @@ def fit(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_i
     rows = some.mapInArrow(learn, "x array<double>, secret long").limit(SAMPLE_FINDINGS).collect()
     rows.sort(key=lambda r: (r["secret"], r["x"]))
     y = np.array([r["secret"] for r in rows], float)
-    if len(set(y)) < 2:
+    if min((y == 1).sum(), (y == 0).sum()) < LEAST:
         return None
     x = np.array([r["x"] for r in rows])
     # secrets are rare: repeat them so that both kinds weigh alike
