@@ -8,10 +8,10 @@ sample.  The bindings file maps logical names to Spark sources:
     checkpoint: /shared/checkpoints/cdcflow     # optional; else spark.checkpoint.dir
     protect_key_conf: cdcflow.protect.key       # session conf holding the AES key
     topics:
-      bronze.sample_user: {format: kafka, options: {kafka.bootstrap.servers: "host:9092"}}
-      silver.sample_user: {format: parquet, path: /lake/silver/sample_user}
+      changes.customer: {format: kafka, options: {kafka.bootstrap.servers: "host:9092"}}
+      refined.customer: {format: parquet, path: /lake/refined/customer}
     tables:
-      USERS: {format: jdbc, options: {url: "jdbc:...", dbtable: USERS}}
+      USERS: {format: jdbc, url: "jdbc:...", table: USERS, partition_column: N, lower_bound: 0, upper_bound: 1000000, num_partitions: 32}
       ADDRESSES: {format: parquet, path: /lake/ref/addresses}
 """
 
@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import argparse
 import os
+import signal
+import threading
 
 import yaml
 from pyspark.sql import SparkSession
@@ -26,26 +28,24 @@ from pyspark.sql import SparkSession
 from cdcflow.plans import spec as spec_mod
 from cdcflow.plans.context import Context
 from cdcflow.session import CHECKPOINT_CONF
-from cdcflow.sources.topics import TopicBinding
+from cdcflow.sources.topics import TopicBinding, read_jdbc_table
 from cdcflow.streaming.runner import GROUP_ORDER, start_pipeline, supervise
 
 
-class _Tables(dict):
-    """Reference tables read on first use."""
+def _reader(spark: SparkSession, c: dict):
+    """A function that reads a reference table as it is when called.
 
-    def __init__(self, spark: SparkSession, conf: dict):
-        super().__init__()
-        self._spark, self._conf = spark, conf
+    ``format: jdbc`` with ``url`` and ``table`` reads parallel ranges of
+    ``partition_column`` (``lower_bound``, ``upper_bound``, ``num_partitions``).
+    """
+    def read():
+        if c.get("format") == "jdbc" and "url" in c:
+            ranges = {k: c.get(k) for k in ("partition_column", "lower_bound", "upper_bound", "num_partitions")}
+            return read_jdbc_table(spark, c["url"], c["table"], c.get("options"), **ranges)
+        reader = spark.read.format(c.get("format", "parquet")).options(**c.get("options", {}))
+        return reader.load(c["path"]) if c.get("path") else reader.load()
 
-    def __contains__(self, name) -> bool:
-        return name in self._conf or super().__contains__(name)
-
-    def __getitem__(self, name):
-        if not super().__contains__(name):
-            c = self._conf[name]
-            reader = self._spark.read.format(c.get("format", "parquet")).options(**c.get("options", {}))
-            self[name] = reader.load(c["path"]) if c.get("path") else reader.load()
-        return super().__getitem__(name)
+    return read
 
 
 def run(args: argparse.Namespace) -> None:
@@ -57,7 +57,12 @@ def run(args: argparse.Namespace) -> None:
         raise SystemExit(f"set 'checkpoint' in the bindings or {CHECKPOINT_CONF}")
     bindings = {name: TopicBinding(**b) for name, b in (conf.get("topics") or {}).items()}
     key_conf = conf.get("protect_key_conf", "cdcflow.protect.key")
-    ctx = Context(spark=spark, tables=_Tables(spark, conf.get("tables") or {}), protect_key=spark.conf.get(key_conf, None))
+    tables = {name: _reader(spark, c) for name, c in (conf.get("tables") or {}).items()}
+    ctx = Context(spark=spark, tables=tables, protect_key=spark.conf.get(key_conf, None), refresh_seconds=conf.get("refresh_seconds", 0))
+    stop = threading.Event()
+    for sig in (signal.SIGTERM, signal.SIGINT):
+        if threading.current_thread() is threading.main_thread():
+            signal.signal(sig, lambda *_: stop.set())
     defs = spec_mod.load(args.spec)
     trigger = {"availableNow": True} if args.once else None
     root = os.path.join(checkpoint, "queries")
@@ -73,9 +78,9 @@ def run(args: argparse.Namespace) -> None:
         if args.once:
             # drain level by level: a level's input topics are the previous level's output
             for g in GROUP_ORDER:
-                supervise(spark, starters([g]), max_restarts=args.max_restarts, poll_seconds=1.0)
+                supervise(spark, starters([g]), poll_seconds=1.0, max_restarts=3 if args.max_restarts is None else args.max_restarts, stop=stop)
         else:
-            supervise(spark, starters(GROUP_ORDER), max_restarts=args.max_restarts)
+            supervise(spark, starters(GROUP_ORDER), max_restarts=args.max_restarts, stop=stop)
     finally:
         ctx.release()
 
@@ -87,7 +92,7 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--spec", default=None, help="pipeline YAML (default: $CDCFLOW_PIPELINES, then the sample)")
     r.add_argument("--bindings", required=True, help="topic/table bindings YAML")
     r.add_argument("--once", action="store_true", help="process what is available, then stop")
-    r.add_argument("--max-restarts", type=int, default=3)
+    r.add_argument("--max-restarts", type=int, default=None, help="failures in a row before giving up (default: never; 3 with --once)")
     args = p.parse_args(argv)
     if args.cmd == "run":
         run(args)

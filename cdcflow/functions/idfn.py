@@ -19,7 +19,7 @@ FEMALE_DIGITS = "2468"
 CENTURY_2000_DIGITS = "3478"
 CENTURY_1800_DIGITS = "90"
 # Valid standard base64 (RFC 4648 alphabet, padding optional, no whitespace).
-BASE64_SHAPE = r"^([A-Za-z0-9+/]{4})*([A-Za-z0-9+/]{2}(==)?|[A-Za-z0-9+/]{3}=?)?$"
+BASE64_SHAPE = r"^([A-Za-z0-9+/]{4})*([A-Za-z0-9+/]{2}(==)?|[A-Za-z0-9+/]{3}=?)?\z"
 # ---------------------------------------------------------------------------
 
 _LIMB = 1_000_000_000  # base of the decimal limbs used by decode_sequence

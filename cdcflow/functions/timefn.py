@@ -28,7 +28,8 @@ PROCESSED_AT_OFFSET_HOURS = 9
 BIRTH_MIN = _dt.date(1900, 1, 1)
 BIRTH_MAX_AGE = 90
 # ISO-8601 instant: date 'T' time with seconds, optional fraction, Z or offset.
-ISO_INSTANT_SHAPE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2}(:\d{2})?)$"
+ISO_INSTANT_SHAPE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2}(:\d{2})?)\z"
+END_OF_DAY = r"T24:00:00(\.0{1,9})?(Z|[+-][0-9:]+)\z"
 # ---------------------------------------------------------------------------
 
 _EPOCH_NTZ = _dt.datetime(1970, 1, 1)
@@ -61,7 +62,9 @@ def parse_instant(c: Column | str) -> Column:
     lenient cast (which would take ``2023-03-15``) out.
     """
     x = F.upper(as_col(c))
-    return F.when(x.rlike(ISO_INSTANT_SHAPE), F.unix_millis(F.try_to_timestamp(x)))
+    midnight = x.rlike(END_OF_DAY)  # hour 24 is the next day's first instant
+    millis = F.unix_millis(F.try_to_timestamp(F.when(midnight, F.replace(x, F.lit("T24:"), F.lit("T00:"))).otherwise(x)))
+    return F.when(x.rlike(ISO_INSTANT_SHAPE), millis + F.when(midnight, F.lit(86_400_000)).otherwise(F.lit(0)))
 
 
 def normalize_epoch_millis(c: Column | str) -> Column:
@@ -82,7 +85,7 @@ def normalize_epoch_millis(c: Column | str) -> Column:
 def parse_timestamp_text(text: Column | str) -> Column:
     """Timestamp from text: all-digit text is an epoch number, else ISO instant."""
     t = as_col(text)
-    digits = t.rlike("^[0-9]+$")
+    digits = t.rlike(r"^[0-9]+\z")
     as_long = t.try_cast("bigint")
     return (
         F.when(t.isNull() | (t == ""), F.lit(None).cast("bigint"))
@@ -140,7 +143,7 @@ def refine_birth_epoch_days(c: Column | str, as_of: Column | _dt.date | None = N
 def contdate_to_millis(c: Column | str) -> Column:
     """``yyyy/MM/dd`` (exact widths, lenient month end) -> UTC midnight millis."""
     x = as_col(c)
-    shaped = x.rlike(r"^\d{4}/\d{2}/\d{2}$")
+    shaped = x.rlike(r"^\d{4}/\d{2}/\d{2}\z")
     d = _safe_date(
         F.substring(x, 1, 4).try_cast("int"), F.substring(x, 6, 2).try_cast("int"), F.substring(x, 9, 2).try_cast("int"), clamp=True
     )

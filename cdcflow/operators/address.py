@@ -116,7 +116,8 @@ def match_addresses(
     if summary is None:
         summary = prefix_summary(reference, search_col)
     tried = kws.select("full_address", F.inline(_prefixes(F.col("_norm"))))
-    hits = tried.join(summary, on="prefix", how="inner")
+    # both joins below take a rebalanced right side, so that AQE can split a hot prefix or address
+    hits = tried.join(summary.hint("rebalance"), on="prefix", how="inner")
     best = hits.groupBy("full_address").agg(
         F.max_by(F.struct(*[c for c in hits.columns if c != "full_address"]), F.col("level")).alias("_best")
     )
@@ -153,7 +154,7 @@ def match_addresses(
         F.coalesce(b["prefix"], F.col("_norm")).alias("juso_matched_keyword"),
     )
     # One result row per keyword, so this join never fans out.
-    return src.join(result, on="full_address", how="left").select(
+    return src.join(result.hint("rebalance"), on="full_address", how="left").select(
         F.col("full_address").alias("key"),
         "full_address",
         *HIT_FIELDS,

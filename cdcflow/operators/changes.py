@@ -34,8 +34,7 @@ def latest_state(
     out = latest.select(*[F.col(f"`{k}`") for k in key_cols], "_last.*")
     if keep_deletes:
         return out
-    op = F.lower(F.col(f"`{op_col}`").cast("string"))
-    return out.where(op.isNull() | (op != DELETE_OP))
+    return live(out, op_col)
 
 
 def apply_changes(
@@ -47,8 +46,21 @@ def apply_changes(
 ) -> DataFrame:
     """Merge a batch of changes into a materialised state (same columns).
 
-    Used per micro-batch in streaming (``foreachBatch``): the new state is the
-    latest change per key over the old state and the batch.
+    The state keeps deleted keys with their order values, so a late, older
+    change cannot bring a key back; read it through ``live``.
     """
     merged = changes if state is None else state.unionByName(changes, allowMissingColumns=True)
-    return latest_state(merged, key_cols, order_cols, op_col)
+    return latest_state(merged, key_cols, order_cols, op_col, keep_deletes=True)
+
+
+def live(state: DataFrame, op_col: str = "__op") -> DataFrame:
+    """The rows of a state that are not deleted."""
+    op = F.lower(F.col(f"`{op_col}`").cast("string"))
+    return state.where(op.isNull() | (op != DELETE_OP))
+
+
+def purge_deletes(state: DataFrame, order_col: str, before, op_col: str = "__op") -> DataFrame:
+    """Forget deletes ordered before ``before``: changes older than that must not arrive any more."""
+    op = F.lower(F.col(f"`{op_col}`").cast("string"))
+    forget = (op == DELETE_OP) & (F.col(f"`{order_col}`") < F.lit(before))
+    return state.where(~F.coalesce(forget, F.lit(False)))

@@ -17,6 +17,11 @@ Semantics:
 * chosen image absent -> reject ``missing <image> image`` (no context);
   image JSON null or not an object -> reject, context ``json_parsing``.
   Deviation: both keep the whole input as payload.
+* a struct value without a ``before`` and an ``after`` field -> reject, context
+  ``avro_processing``.
+* an object with a repeated member name keeps the last one where the session
+  allows it (``spark.sql.variant.allowDuplicateKeys``, set by ``build_session``);
+  otherwise it does not parse.
 """
 
 from __future__ import annotations
@@ -25,9 +30,11 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cdcflow.functions.jsonval import json_is_object, json_text, json_value
-from cdcflow.operators.rejects import CTX_JSON, add_reject, reject
+from cdcflow.functions.timefn import ntz_epoch_micros
+from cdcflow.operators.rejects import CTX_JSON, CTX_STRUCT, add_reject, reject
 
 DEFAULT_OP = "c"
 DELETE_OP = "d"
@@ -86,6 +93,24 @@ def unwrap_json(
     return out if keep_value else out.drop(value_col)
 
 
+def plain(c: Column, kind: T.DataType) -> Column:
+    """A decoded value with times as the record had them: TIMESTAMP as epoch
+    millis, DATE as epoch days, BINARY as text; structs and arrays inside too."""
+    if isinstance(kind, T.TimestampType):
+        return F.unix_millis(c)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.floor(ntz_epoch_micros(c) / F.lit(1000)).cast("bigint")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c)
+    if isinstance(kind, T.BinaryType):
+        return c.cast("string")
+    if isinstance(kind, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*[plain(c[f.name], f.dataType).alias(f.name) for f in kind.fields]))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: plain(x, kind.elementType))
+    return c
+
+
 def unwrap_struct(
     df: DataFrame,
     value_col: str = "value",
@@ -98,10 +123,16 @@ def unwrap_struct(
     """
     src = drop_tombstones(df, value_col)
     v = F.col(value_col)
-    fields = set(src.schema[value_col].dataType.fieldNames())
+    kind = src.schema[value_col].dataType
+    if not isinstance(kind, T.StructType):
+        raise ValueError(f"struct envelopes need a decoded value, not {kind.simpleString()}: bind the topic with value_schema or avro_schema")
+    fields = set(kind.fieldNames())
+    if not fields & {"before", "after"}:
+        bare = src.withColumn("__op", F.lit(None).cast("string")).withColumn("data", F.lit(None).cast("variant"))
+        return add_reject(bare, F.lit(True), reject(F.to_json(v), "Avro processing failed: no before or after image in the record", CTX_STRUCT, now))
     op = F.coalesce(v["op"].cast("string"), F.lit(DEFAULT_OP)) if "op" in fields else F.lit(DEFAULT_OP)
-    before = v["before"] if "before" in fields else F.lit(None)
-    after = v["after"] if "after" in fields else F.lit(None)
+    images = [plain(v[n], kind[n].dataType) if n in fields else F.lit(None) for n in ("before", "after")]
+    before, after = (F.when(v[n].isNotNull(), i) if n in fields else i for n, i in zip(("before", "after"), images))
     out = src.withColumn("__op", op)
     image = F.when(F.col("__op") == DELETE_OP, before).otherwise(after)
     out = out.withColumn("data", F.when(image.isNotNull(), F.to_variant_object(image)))

@@ -207,6 +207,8 @@ class Mapping:
         rec = Record(data=data, columns=cols, params=params or {})
         if payload is None:
             payload = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != REJECT_COL and df.schema[c].dataType.typeName() != "variant"]))
+        elif not isinstance(df.select(payload).schema[0].dataType, T.StringType):
+            payload = F.to_json(payload)  # a decoded record: JSON, not a printed struct
         passthrough = [F.col(f"`{k}`") for k in keep if k in cols and not self.declares(k)]
         rej = F.col(REJECT_COL) if REJECT_COL in cols else F.lit(None)
         mapped_cols = self.columns(rec)  # registers the JSON fields the rules read

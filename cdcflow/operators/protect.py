@@ -2,10 +2,14 @@
 
 Same contract as the original remote crypto service (single and batch calls,
 NULL in -> NULL out, failure -> NULL, batch keeps order and length) but a local
-cipher: AES-GCM, base64 text.  ``deterministic=True`` uses a fixed IV so equal
-plaintexts give equal ciphertexts (joinable tokens); the default random IV is
-the safer choice for storage.  The key comes from the caller or from the
-session conf ``cdcflow.protect.key`` (16, 24 or 32 bytes).
+cipher: AES-GCM, base64 text.  ``deterministic=True`` derives the IV from a keyed
+hash of the plaintext, so equal plaintexts give equal ciphertexts (joinable
+tokens) and different ones never share an IV; the default random IV is the
+safer choice for storage.  ``reveal`` takes the IV from the text.
+
+The key (16, 24 or 32 bytes) is a literal of the plan; ``redact_plans`` hides the
+cipher calls in explain output and plan descriptions.  Whoever can read the
+driver's memory or run code in the session can still read the key.
 """
 
 from __future__ import annotations
@@ -16,20 +20,21 @@ from pyspark.sql import functions as F
 from cdcflow.functions._util import as_col
 
 KEY_CONF = "cdcflow.protect.key"
-_FIXED_IV = "000000000000000000000000"  # 12 zero bytes for deterministic mode
+REDACTION_CONF = "spark.sql.redaction.string.regex"
+REDACTED_CALLS = r"(?i)aes_?(en|de)crypt[^\n]*"
 
 
-def session_key(spark: SparkSession) -> str:
-    key = spark.conf.get(KEY_CONF, None)
-    if not key:
-        raise ValueError(f"set {KEY_CONF} or pass a key")
-    return key
+def redact_plans(spark: SparkSession) -> None:
+    """Hide cipher calls in plan texts, unless the session has a redaction pattern of its own."""
+    if not spark.conf.get(REDACTION_CONF, None):
+        spark.conf.set(REDACTION_CONF, REDACTED_CALLS)
 
 
 def protect(c: Column | str, key: str, deterministic: bool = False) -> Column:
     x = as_col(c).cast("string")
     if deterministic:
-        enc = F.aes_encrypt(x, F.lit(key), F.lit("GCM"), F.lit("DEFAULT"), F.unhex(F.lit(_FIXED_IV)))
+        iv = F.unhex(F.substring(F.sha2(F.concat(F.lit(key), F.lit("\u0000"), x, F.lit("\u0000"), F.lit(key)), 256), 1, 24))
+        enc = F.aes_encrypt(x, F.lit(key), F.lit("GCM"), F.lit("DEFAULT"), iv)
     else:
         enc = F.aes_encrypt(x, F.lit(key), F.lit("GCM"))
     return F.base64(enc)

@@ -107,11 +107,6 @@ def stamp_processed_at(
     return df.withColumn(column, stamp)
 
 
-def drop_nulls(df: DataFrame, value_col: str) -> DataFrame:
-    """Drop rows whose mapped value is NULL (the mapper produced nothing)."""
-    return df.where(F.col(value_col).isNotNull())
-
-
 # Header names added to dead letters (fixed values).
 HEADER_TOPIC = "original.topic"
 HEADER_MESSAGE = "exception.message"

@@ -18,8 +18,10 @@ from cdcflow.operators.mapping import PROCESSED_AT_FIELD
 from cdcflow.plans import registry
 from cdcflow.plans import samples as _samples  # noqa: F401  (registers the sample mappers)
 from cdcflow.plans.context import Context
+from cdcflow.sources.topics import RAW_VALUE
 
 STRUCT_FORMAT = "AVRO"
+TOPIC_COLUMNS = {"key", "value", "headers", "timestamp", "topic", "partition", "offset", "batch_id", "writer", "_raw_value"}
 
 
 def normalize_source(df: DataFrame, defn: dict, ctx: Context) -> DataFrame:
@@ -34,8 +36,11 @@ def normalize_source(df: DataFrame, defn: dict, ctx: Context) -> DataFrame:
         if str(defn.get("inputFormat") or "").upper() == STRUCT_FORMAT:
             return envelope.unwrap_struct(df, now=ctx.now)
         return envelope.unwrap_json(df, now=ctx.now)
+    kind = df.schema["value"].dataType.typeName() if "value" in df.columns else None
+    if kind in ("string", "binary") and set(df.columns) <= TOPIC_COLUMNS:
+        raise ValueError(f"records of {defn.get('sourceTopic')!r} are {kind}: bind the topic with value_schema or avro_schema")
     flat = envelope.drop_tombstones(df, "value")
-    if "value" in flat.columns and flat.schema["value"].dataType.typeName() == "struct":
+    if kind == "struct":
         flat = flat.select("key", "value.*")
     return flat
 
@@ -50,6 +55,23 @@ def refine(df: DataFrame, defn: dict, ctx: Context) -> DataFrame:
     return rejects.stamp_processed_at(mapped, PROCESSED_AT_FIELD in schema.fieldNames(), ctx.now)
 
 
+def undecodable(df: DataFrame, defn: dict) -> tuple[DataFrame, DataFrame | None]:
+    """``(rows to refine, dead letters)`` of a topic that was decoded on reading: values that
+    did not decode leave for the dead-letter topic with their raw value and headers."""
+    if RAW_VALUE not in df.columns:
+        return df, None
+    dead = rejects.dead_letters(df, RAW_VALUE, "value", defn["sourceTopic"]).withColumnRenamed(RAW_VALUE, "value")
+    good = df.where(F.col(RAW_VALUE).isNull() | F.col("value").isNotNull())
+    return good.drop(RAW_VALUE), dead
+
+
+def dead_letter_rejects(dead: DataFrame, defn: dict, ctx: Context) -> DataFrame:
+    """Dead letters as reject records, for a definition without a dead-letter topic."""
+    context = rejects.CTX_STRUCT if str(defn.get("inputFormat") or "").upper() == STRUCT_FORMAT else rejects.CTX_JSON
+    rej = rejects.reject(F.col("value").cast("string"), "could not decode the record value", context, ctx.now)
+    return dead.select(F.col("key").cast("string").alias("key"), rej.alias("r")).select("key", "r.*")
+
+
 @dataclass
 class Routed:
     success: DataFrame  # key + target fields
@@ -68,8 +90,3 @@ def route(refined: DataFrame, defn: dict) -> Routed:
         keyed = keys.struct_key(body, defn.get("primaryKeyFields") or [])
     return Routed(keyed.select("key", *[F.col(f"`{f}`") for f in fields]), bad)
 
-
-def as_topic(df: DataFrame, value_fields: list[str] | None = None) -> DataFrame:
-    """Wrap flat records back into ``key`` + ``value`` struct (a topic's shape)."""
-    fields = value_fields or [c for c in df.columns if c != "key"]
-    return df.select("key", F.struct(*[F.col(f"`{f}`") for f in fields]).alias("value"))

@@ -3,34 +3,50 @@
 from __future__ import annotations
 
 import datetime as _dt
+import threading
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from cdcflow.operators.protect import redact_plans
+
 
 @dataclass
 class Context:
     """What a mapping may need besides the row: reference tables, keys, clock.
 
     ``tables``: reference DataFrames by name (keyed lookups, address sets).
+    A table may be a function that reads it, so that every preparation sees the
+    source as it then is.
     ``protect_key``: AES key for protect/reveal rules.
     ``now`` / ``as_of``: pinned clock for reproducible runs (None = real time).
+    ``refresh_seconds``: age from which ``refresh`` prepares a table anew; 0 means
+    for every micro-batch, None never.
     """
 
     spark: SparkSession | None = None
     tables: dict[str, DataFrame] = field(default_factory=dict)
-    protect_key: str | None = None
+    protect_key: str | None = field(default=None, repr=False)
     now: _dt.datetime | None = None
     as_of: _dt.date | None = None
 
-    prepared: dict[str, DataFrame] = field(default_factory=dict)
+    refresh_seconds: float | None = 0
+
+    prepared: dict[str, tuple[float, DataFrame]] = field(default_factory=dict)
+    _lock: threading.RLock = field(default_factory=threading.RLock, repr=False)
+
+    def __post_init__(self) -> None:
+        if self.protect_key and self.spark is not None:
+            redact_plans(self.spark)
 
     def table(self, name: str) -> DataFrame:
         if name not in self.tables:
             raise KeyError(f"reference table {name!r} is not bound in the context")
-        return self.tables[name]
+        t = self.tables[name]
+        return t() if callable(t) else t
 
     def reference(self, key: str, name: str, prepare: Callable[[DataFrame], DataFrame]) -> DataFrame:
         """A reference table prepared once per context (deduplicated, summarised).
@@ -41,13 +57,26 @@ class Context:
         ``spark.sql.autoBroadcastJoinThreshold``, joined by shuffle otherwise.
         Lost cache blocks are recomputed from the source.
         """
-        if key not in self.prepared:
-            df = prepare(self.table(name)).persist(StorageLevel.MEMORY_AND_DISK)
-            df.count()
-            self.prepared[key] = df
-        return self.prepared[key]
+        with self._lock:  # several queries' threads share one context
+            if key not in self.prepared:
+                df = prepare(self.table(name)).persist(StorageLevel.MEMORY_AND_DISK)
+                df.count()
+                self.prepared[key] = (time.monotonic(), df)
+            return self.prepared[key][1]
+
+    def refresh(self) -> None:
+        """Forget prepared tables older than ``refresh_seconds``; a plan that still uses one
+        reads its source again."""
+        if self.refresh_seconds is None:
+            return
+        with self._lock:
+            for key, (since, df) in list(self.prepared.items()):
+                if time.monotonic() - since >= self.refresh_seconds:
+                    del self.prepared[key]
+                    df.unpersist()
 
     def release(self) -> None:
-        for df in self.prepared.values():
-            df.unpersist()
-        self.prepared.clear()
+        with self._lock:
+            for _, df in self.prepared.values():
+                df.unpersist()
+            self.prepared.clear()

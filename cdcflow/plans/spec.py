@@ -23,13 +23,6 @@ from cdcflow.plans.registry import GROUPS
 
 GROUP_KEYS = {"lv1": "lv1_processors", "api": "api_processors", "lv2": "lv2_processors"}
 CONFIG_PATH_ENV = "CDCFLOW_PIPELINES"
-KNOWN_KEYS = (
-    "name", "sourceTopic", "destinationTopic", "mapperName", "schemaName", "failTopic",
-    "primaryKeyFields", "targetTemplates", "pipelineNamePrefix", "pipelineNameSuffix",
-    "channel", "keyType", "keyFormat", "inputFields", "inputFormat",
-)
-
-
 class SpecError(ValueError):
     pass
 
@@ -43,26 +36,26 @@ def merge(base: dict | None, override: dict | None) -> dict:
     return out
 
 
+def _runs(group: dict):
+    """Every (template, source) of a group that its targets ask for."""
+    named = (group.get("common") or {}).get("targetTemplates")
+    for source in group.get("sources") or []:
+        wanted = source.get("targetTemplates", named)
+        wanted = named if wanted is None else wanted
+        for template in group.get("templates") or []:
+            if wanted is None or template.get("name") in wanted:
+                yield template, source
+
+
 def expand_group(group: dict | None) -> list[dict]:
     """Explicit pipelines plus template x source expansion (before ``common``)."""
     group = group or {}
-    out = [copy.deepcopy(p) for p in (group.get("pipelines") or [])]
-    templates = group.get("templates") or []
-    sources = group.get("sources") or []
-    default_targets = (group.get("common") or {}).get("targetTemplates")
-    for src in sources:
-        targets = src.get("targetTemplates")
-        if targets is None:
-            targets = default_targets
-        for tpl in templates:
-            if targets is not None and tpl.get("name") not in targets:
-                continue
-            gen = merge(tpl, src)
-            prefix, suffix = tpl.get("pipelineNamePrefix"), src.get("pipelineNameSuffix")
-            if prefix is not None and suffix is not None:
-                gen["name"] = prefix + suffix
-            out.append(gen)
-    return out
+    made = [merge(p, None) for p in group.get("pipelines") or []]
+    for template, source in _runs(group):
+        ends = template.get("pipelineNamePrefix"), source.get("pipelineNameSuffix")
+        named = {"name": "".join(ends)} if None not in ends else None
+        made.append(merge(merge(template, source), named))
+    return made
 
 
 def resolve_group(group_type: str, group: dict | None) -> list[dict]:
@@ -84,12 +77,10 @@ _PLACEHOLDER = re.compile(r"\{([^{}]+)\}")
 
 def validate(group_type: str, d: dict) -> None:
     if d.get("name") is None:
-        raise SpecError(f"Pipeline name is missing in group {group_type}")
-    if d.get("sourceTopic") is None:
-        raise SpecError(f"Source topic is missing for pipeline: {d['name']}")
-    for k in ("destinationTopic", "failTopic", "mapperName", "schemaName"):
-        if not d.get(k):
-            raise SpecError(f"{k} is missing for pipeline: {d['name']}")
+        raise SpecError(f"a pipeline of group {group_type} has no name")
+    absent = [k for k in ("sourceTopic", "destinationTopic", "failTopic", "mapperName", "schemaName") if not d.get(k)]
+    if absent:
+        raise SpecError(f"pipeline {d['name']} lacks {', '.join(absent)}")
     pk = d.get("primaryKeyFields")
     if pk is not None and not isinstance(pk, list):
         raise SpecError(f"primaryKeyFields must be a list in pipeline: {d['name']}")
@@ -110,14 +101,35 @@ def check_against_schema(d: dict, field_names: list[str]) -> None:
         raise SpecError(f"Primary key field(s) {missing} not found in schema {d['schemaName']}")
 
 
+def check(defs: dict[str, list[dict]]) -> dict[str, list[dict]]:
+    """Names are unique over all groups (they name queries and checkpoints), mappers and
+    schemas exist, and keys name declared fields."""
+    from cdcflow.plans import registry
+    from cdcflow.plans import samples as _samples  # noqa: F401  (registers the sample mappers)
+
+    seen: set[str] = set()
+    for group, members in defs.items():
+        for d in members:
+            if d["name"] in seen:
+                raise SpecError(f"two pipelines are named {d['name']!r}")
+            seen.add(d["name"])
+            try:
+                registry.get_mapper(group, d["mapperName"])
+                fields = registry.get_schema(d["schemaName"], group).fieldNames()
+            except (KeyError, ValueError) as e:
+                raise SpecError(f"pipeline {d['name']}: {e}") from e
+            check_against_schema(d, fields)
+    return defs
+
+
 def load(text_or_path: str | None = None) -> dict[str, list[dict]]:
     """Parse a spec (YAML text, a path, ``$CDCFLOW_PIPELINES``, or the bundled
-    sample) into resolved definitions per group, in order lv1, api, lv2."""
+    sample when none is named) into resolved, checked definitions per group."""
     raw = _read(text_or_path)
     doc = yaml.safe_load(raw) or {}
     if not isinstance(doc, _Mapping):
         raise SpecError("pipeline spec must be a mapping of groups")
-    return {g: resolve_group(g, doc.get(key)) for g, key in GROUP_KEYS.items()}
+    return check({g: resolve_group(g, doc.get(key)) for g, key in GROUP_KEYS.items()})
 
 
 def _read(text_or_path: str | None) -> str:
@@ -127,11 +139,9 @@ def _read(text_or_path: str | None) -> str:
         from cdcflow.plans.samples import SAMPLE_SPEC
 
         return SAMPLE_SPEC
-    if "\n" not in text_or_path and os.path.exists(text_or_path):
+    if "\n" in text_or_path:
+        return text_or_path
+    if os.path.exists(text_or_path):
         with open(text_or_path, encoding="utf-8") as fh:
             return fh.read()
-    if "\n" not in text_or_path and text_or_path.endswith((".yml", ".yaml")):
-        from cdcflow.plans.samples import SAMPLE_SPEC
-
-        return SAMPLE_SPEC  # missing file falls back to the bundled sample
-    return text_or_path
+    raise SpecError(f"no pipeline spec at {text_or_path!r}")

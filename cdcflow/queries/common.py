@@ -34,27 +34,11 @@ def context(spark: SparkSession, sf_dir: str) -> Context:
 
     k = (spark.sparkContext.applicationId, sf_dir)
     if k not in _CONTEXTS:
-        tables = _LazyTables(
-            {"USERS": lambda: fixtures.users_table(spark, sf_dir), "ADDRESSES": lambda: address_reference(spark, sf_dir)}
-        )
+        tables = {"USERS": lambda: fixtures.users_table(spark, sf_dir), "ADDRESSES": lambda: address_reference(spark, sf_dir)}
         _CONTEXTS[k] = Context(spark=spark, tables=tables, protect_key=SAMPLE_KEY, now=now_col(), as_of=AS_OF)
     return _CONTEXTS[k]
 
 
-class _LazyTables(dict):
-    def __init__(self, makers: dict):
-        super().__init__()
-        self._makers = makers
-
-    def __contains__(self, name) -> bool:
-        return name in self._makers or super().__contains__(name)
-
-    def __getitem__(self, name):
-        if not super().__contains__(name):
-            self[name] = self._makers[name]()
-        return super().__getitem__(name)
-
-
 def definition(group: str, name: str) -> dict:
     for d in spec.load()[group]:
         if d["name"] == name:

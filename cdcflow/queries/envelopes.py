@@ -91,7 +91,7 @@ def cdc_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _refined_events(spark: SparkSession, sf_dir: str):
-    defn = definition("lv1", "Lv1SamplePipeline")
+    defn = definition("lv1", "RefineCustomers")
     feed = fixtures.event_feed(spark, sf_dir).select("key", "value")
     return build.route(build.refine(feed, defn, context(spark, sf_dir)), defn)
 
@@ -225,7 +225,7 @@ def duck_unwrapped() -> str:
 
 
 def _duck_routed() -> str:
-    """Full lv1 refinement over the event feed: unwrap + SampleUser mapping + lookup."""
+    """Full lv1 refinement over the event feed: unwrap + ContactProfile mapping + lookup."""
     jt = duck.json_text
     return f"""
 (SELECT u.*, {jt('data', 'id')} AS r_user_id,

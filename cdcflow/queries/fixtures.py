@@ -13,44 +13,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcflow.session import cut_lineage
-
 SPARK_TS_US = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', {c})"
 DUCK_TS_US = "epoch_us({c})"
 
 
-def read(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """One of the driver's tables.
-
-    ``spread=True`` is for scans followed by heavy per-row work: a scan with
-    fewer splits than task slots (a small single-row-group file) is spread
-    round-robin so every core works; a large table already has more splits
-    than slots and is read as is (no shuffle).  Small dimension tables that
-    only feed joins are never spread.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if spread:
-        slots = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < slots:
-            df = df.repartition(slots)
-    return df
-
-
-_MATERIALIZED: dict[tuple, DataFrame] = {}
-
-
-def materialized(spark: SparkSession, key: tuple, build) -> DataFrame:
-    """A derived feed written once per application (reliable checkpoint).
-
-    A feed stands for a topic or table: a leaf of the plan.  Without the cut,
-    Catalyst would inline the whole derivation into every filter pushed
-    through the refinement.
-    """
-    k = (spark.sparkContext.applicationId, *key)
-    if k not in _MATERIALIZED:
-        # Spread the feed like a topic with one partition per task slot.
-        _MATERIALIZED[k] = cut_lineage(build().repartition(spark.sparkContext.defaultParallelism))
-    return _MATERIALIZED[k]
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the driver's tables."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _j(name: str, expr: str) -> str:
@@ -151,10 +120,6 @@ def user_feed_sql() -> str:
 
 
 def user_feed(spark: SparkSession, sf_dir: str, protect_key: str | None = None) -> DataFrame:
-    return materialized(spark, ("user_feed", sf_dir, protect_key), lambda: _user_feed(spark, sf_dir, protect_key))
-
-
-def _user_feed(spark: SparkSession, sf_dir: str, protect_key: str | None = None) -> DataFrame:
     """Spark side of the user feed: key, value (envelope text) and the derived columns.
 
     With ``protect_key`` the image also carries ``phone_number_enc`` (the phone
@@ -231,10 +196,6 @@ def event_feed_sql() -> str:
 
 def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """key (user id text), value (envelope text or NULL), event_id, op, ts_us, ..."""
-    return materialized(spark, ("event_feed", sf_dir), lambda: _event_feed(spark, sf_dir))
-
-
-def _event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read(spark, sf_dir, "events")
     e = ev.selectExpr(*[f"{x.replace("{ts_us}", SPARK_TS_US.format(c="ts"))} AS {n}" for n, x in EVENT_COLS])
     return e.selectExpr("*", f"{EVENT_VALUE} AS value", "CAST(user_id AS STRING) AS key")

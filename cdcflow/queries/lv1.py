@@ -15,7 +15,7 @@ USER_OUT = [
 
 
 def _refined_users(spark: SparkSession, sf_dir: str) -> build.Routed:
-    defn = definition("lv1", "Lv1SamplePipeline")
+    defn = definition("lv1", "RefineCustomers")
     feed = fixtures.user_feed(spark, sf_dir, protect_key=SAMPLE_KEY).select("key", "value")
     return build.route(build.refine(feed, defn, context(spark, sf_dir)), defn)
 

@@ -198,7 +198,7 @@ def _silver_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def map_cache_entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    defn = definition("lv2", "RedisCH1")
+    defn = definition("lv2", "StampsCustomers")
     routed = build.route(build.refine(_silver_users(spark, sf_dir), defn, context(spark, sf_dir)), defn)
     return routed.success.select(
         "key", "entity_id",
@@ -208,7 +208,7 @@ def map_cache_entry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CACHE_ORACLE = f"""
-SELECT user_id AS key, user_id AS entity_id, 'sample.user:SampleCH-1:' || user_id AS cache_key,
+SELECT user_id AS key, user_id AS entity_id, 'sample.user:customers:' || user_id AS cache_key,
        CAST({PROCESSED_AT_MS} AS BIGINT) AS cache_value
 FROM (SELECT {_SILVER_ID} AS user_id FROM customer) q
 WHERE user_id IS NOT NULL AND {duck.jtrim('user_id')} <> ''
@@ -231,7 +231,7 @@ def union_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two sources x the union template -> one destination, tagged by channel."""
     ctx = context(spark, sf_dir)
     out = None
-    for name, src in (("UnionCH1", _silver_users(spark, sf_dir)), ("UnionCH2", _silver_suppliers(spark, sf_dir))):
+    for name, src in (("ContactsCustomers", _silver_users(spark, sf_dir)), ("ContactsSuppliers", _silver_suppliers(spark, sf_dir))):
         defn = definition("lv2", name)
         ok = build.route(build.refine(src, defn, ctx), defn).success
         out = ok if out is None else out.unionByName(ok, allowMissingColumns=True)
@@ -241,14 +241,14 @@ def union_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 UNION_ORACLE = f"""
-SELECT '{{"channel":"SampleCH-1","user_id":"' || user_id || '"}}' AS key_json, user_id, 'SampleCH-1' AS channel,
+SELECT '{{"channel":"customers","user_id":"' || user_id || '"}}' AS key_json, user_id, 'customers' AS channel,
        {_duck_full_name('first_name', 'last_name')} AS full_name, email AS contact_email,
        CAST(NULL AS VARCHAR) AS contact_phone, CAST(NULL AS VARCHAR) AS __op, CAST({PROCESSED_AT_MS} AS BIGINT) AS __processed_at
 FROM (SELECT {_SILVER_ID} AS user_id, c_name AS first_name, c_mktsegment AS last_name,
              'user' || CAST(c_custkey AS VARCHAR) || '@example.com' AS email FROM customer) c
 WHERE user_id IS NOT NULL
 UNION ALL
-SELECT '{{"channel":"SampleCH-2","user_id":"' || user_id || '"}}', user_id, 'SampleCH-2', {_duck_full_name('first_name', 'NULL')},
+SELECT '{{"channel":"suppliers","user_id":"' || user_id || '"}}', user_id, 'suppliers', {_duck_full_name('first_name', 'NULL')},
        email, NULL, op, CAST({PROCESSED_AT_MS} AS BIGINT)
 FROM (SELECT 'S' || lpad(CAST(s_suppkey AS VARCHAR), 7, '0') AS user_id, s_name AS first_name,
              'contact@' || lower(replace(s_name, '#', '')) || '.com' AS email,

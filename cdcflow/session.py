@@ -7,6 +7,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cdcflow.operators.protect import REDACTED_CALLS, REDACTION_CONF
+
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
@@ -21,6 +23,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.variant.allowDuplicateKeys", "true")
+        .config(REDACTION_CONF, REDACTED_CALLS)
         .config("spark.driver.memory", os.environ.get("CDCFLOW_DRIVER_MEMORY", "8g"))
     )
     spark = b.getOrCreate()

@@ -3,14 +3,21 @@
 A binding says where a topic lives: ``format`` (``kafka``, ``parquet``,
 ``json``, ``delta`` ... anything Spark can read) plus ``path`` and
 ``options``.  Kafka topics yield ``key``/``value`` as text (JSON values) or
-binary (Avro, decoded with ``from_avro`` when the package is on the class
-path); file topics hold ``key`` + ``value`` columns directly.
+binary (Avro); file topics hold ``key`` + ``value`` columns directly.
+
+Decoding happens here and nowhere else: a binding with ``value_schema`` turns
+JSON text values into structs, one with ``avro_schema`` Avro bytes (with
+``from_avro``, when the package is on the class path).  The undecoded value stays
+beside the decoded one as ``_raw_value``; rows that don't decode have a NULL value
+and are told apart from tombstones by it (see ``rejects.dead_letters``).
 
 Start position and delivery: Kafka sources start at ``latest`` unless the
 binding says otherwise (the streaming checkpoint then owns the offsets);
 file sources process files not yet seen by the checkpoint.  Sinks are
-at-least-once for Kafka and exactly-once for files (one folder per
-micro-batch, overwritten on replay).
+at-least-once.  A replayed micro-batch overwrites its folder of a file topic, so
+a reader of the finished topic sees it once, but a streaming reader that had
+already taken the first attempt's files takes the new ones too: order by the
+record's own sequence downstream (``changes.apply_changes`` is unaffected).
 """
 
 from __future__ import annotations
@@ -32,6 +39,8 @@ class TopicBinding:
     options: dict = field(default_factory=dict)
     schema: T.StructType | str | None = None  # required for streaming file sources
     value_format: str = "json"  # kafka only: json text or avro
+    value_schema: T.StructType | str | None = None  # decodes JSON text values
+    avro_schema: str | None = None  # decodes Avro binary values
 
 
 def _binding(bindings: dict, topic: str) -> TopicBinding:
@@ -41,9 +50,37 @@ def _binding(bindings: dict, topic: str) -> TopicBinding:
     return b if isinstance(b, TopicBinding) else TopicBinding(**b)
 
 
+RAW_VALUE = "_raw_value"
+
+
+def decode_json_value(df: DataFrame, schema: T.StructType | str) -> DataFrame:
+    """JSON text values into structs; text that does not fit the schema gives NULL."""
+    fields = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    corrupt = "_corrupt_value"
+    wide = T.StructType([*fields.fields, T.StructField(corrupt, T.StringType())])
+    text = F.col("value").cast("string")
+    read = F.from_json(text, wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    out = df.withColumn(RAW_VALUE, F.col("value")).withColumn("value", read)
+    value = F.struct(*[F.col("value")[f.name].alias(f.name) for f in fields.fields])
+    return out.withColumn("value", F.when(F.col("value").isNotNull() & F.col("value")[corrupt].isNull(), value))
+
+
+def decoded(df: DataFrame, b: TopicBinding) -> DataFrame:
+    """The topic with its values decoded as the binding says; struct values stay."""
+    if "value" not in df.columns or isinstance(df.schema["value"].dataType, T.StructType):
+        return df
+    if b.avro_schema:
+        return decode_avro_value(df, b.avro_schema)
+    return decode_json_value(df, b.value_schema) if b.value_schema else df
+
+
 def read_topic(spark: SparkSession, topic: str, bindings: dict, streaming: bool = False) -> DataFrame:
-    """DataFrame of ``key`` + ``value`` (+ ``headers``/``timestamp`` for Kafka)."""
+    """DataFrame of ``key`` + ``value`` (+ ``headers``/``timestamp`` for Kafka), decoded."""
     b = _binding(bindings, topic)
+    return decoded(_read_raw(spark, topic, b, streaming), b)
+
+
+def _read_raw(spark: SparkSession, topic: str, b: TopicBinding, streaming: bool) -> DataFrame:
     if b.format == KAFKA:
         opts = {"subscribe": topic, "startingOffsets": DEFAULT_STARTING_OFFSETS, "includeHeaders": "true", **b.options}
         reader = spark.readStream if streaming else spark.read
@@ -130,4 +167,4 @@ def decode_avro_value(df: DataFrame, avro_schema_json: str, value_col: str = "va
     except ImportError as e:  # pragma: no cover - depends on the installation
         raise RuntimeError("Avro decoding needs the spark-avro package") from e
     decoded = from_avro(F.col(value_col), avro_schema_json, {"mode": "PERMISSIVE"})
-    return df.withColumn("_raw_value", F.col(value_col)).withColumn(out, decoded)
+    return df.withColumn(RAW_VALUE, F.col(value_col)).withColumn(out, decoded)

@@ -8,12 +8,14 @@ lookup joins) need no streaming state.  The refined micro-batch is persisted
 once and written to both the destination and the fail topic.
 
 A source read by several definitions (fan-out) simply feeds several queries.
-``supervise`` restarts a failed query from its checkpoint.
+``supervise`` restarts a failed query from its checkpoint.  Reference tables are
+prepared again as the context's refresh interval says, by default per micro-batch.
 """
 
 from __future__ import annotations
 
 import logging
+import threading
 import time
 
 from pyspark import StorageLevel
@@ -21,6 +23,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from cdcflow.operators.changes import apply_changes
 from cdcflow.operators.rejects import REJECT_COL
 from cdcflow.plans import build, spec
 from cdcflow.plans.context import Context
@@ -33,7 +36,9 @@ GROUP_ORDER = ("lv1", "api", "lv2")
 
 def process_batch(batch: DataFrame, batch_id: int, defn: dict, ctx: Context, bindings: dict) -> dict:
     """Refine one micro-batch and write successes and rejects; returns counts."""
+    ctx.refresh()
     obs = Observation(f"progress_{defn['name']}_{batch_id}")
+    batch, dead = build.undecodable(batch, defn)
     refined = build.refine(batch, defn, ctx)
     op = F.col("__op") if "__op" in refined.columns else F.lit(None)
     refined = refined.observe(
@@ -50,6 +55,10 @@ def process_batch(batch: DataFrame, batch_id: int, defn: dict, ctx: Context, bin
         routed = build.route(refined, defn)
         write_topic(routed.success, defn["destinationTopic"], bindings, batch_id, defn["name"])
         write_topic(routed.rejects, defn["failTopic"], bindings, batch_id, defn["name"])
+        if dead is not None and defn.get("deadLetterTopic"):
+            write_topic(dead, defn["deadLetterTopic"], bindings, batch_id, defn["name"])
+        elif dead is not None:
+            write_topic(build.dead_letter_rejects(dead, defn, ctx), defn["failTopic"], bindings, batch_id, f"{defn['name']}-undecodable")
         metrics = obs.get
     finally:
         refined.unpersist()
@@ -94,24 +103,74 @@ def run_spec(
     return queries
 
 
-def supervise(spark: SparkSession, starters: dict, max_restarts: int = 3, poll_seconds: float = 5.0) -> None:
-    """Keep queries running: a query that stops with an error is restarted from
-    its checkpoint (up to ``max_restarts`` times); returns when all stopped
-    cleanly.  ``starters`` maps a query name to a zero-argument start function.
+def merge_batch(
+    batch: DataFrame, batch_id: int, path: str, key_cols: list[str], order_cols: list[str], op_col: str = "__op"
+) -> DataFrame:
+    """Merge one micro-batch of changes into the state under ``path``; returns the new state.
+
+    Every batch writes a version of its own from the one before it, so a replayed
+    batch gives the same version again.  Versions before the last may be removed.
     """
+    spark = batch.sparkSession
+    at = lambda n: f"{path}/version={n}"
+    old = spark.read.parquet(at(batch_id - 1)) if batch_id > 0 else None
+    apply_changes(old, batch, key_cols, order_cols, op_col).write.mode("overwrite").parquet(at(batch_id))
+    return spark.read.parquet(at(batch_id))
+
+
+def start_state(
+    spark: SparkSession, topic: str, bindings: dict, path: str, checkpoint: str,
+    key_cols: list[str], order_cols: list[str], op_col: str = "__op", trigger: dict | None = None,
+) -> StreamingQuery:
+    """Keep the latest state per key of a topic of change records (flat or ``value`` structs)."""
+    src = read_topic(spark, topic, bindings, streaming=True)
+    flat = src.where(F.col("value").isNotNull()).select("value.*") if "value" in src.columns else src
+    writer = flat.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        lambda df, n: merge_batch(df, n, path, key_cols, order_cols, op_col) and None
+    )
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def supervise(
+    spark: SparkSession,
+    starters: dict,
+    poll_seconds: float = 5.0,
+    max_restarts: int | None = None,
+    stop: threading.Event | None = None,
+    longest_wait: float = 60.0,
+) -> None:
+    """Keep queries running until all stopped cleanly or ``stop`` is set.
+
+    ``starters`` maps a query name to a zero-argument start function.  A query that
+    fails starts again from its checkpoint, at once and then after doubling waits
+    up to ``longest_wait``; a finished micro-batch resets its wait.  With
+    ``max_restarts`` a query that fails so often in a row without progress raises.
+    Every query still running is stopped on the way out.
+    """
+    stop = stop or threading.Event()
     running = {name: start() for name, start in starters.items()}
-    restarts = dict.fromkeys(starters, 0)
-    while running:
-        for name, q in list(running.items()):
-            if q.isActive:
-                continue
-            err = q.exception()
-            if err is None:
+    failures = dict.fromkeys(starters, 0)
+    due: dict[str, float] = {}
+    try:
+        while (running or due) and not stop.is_set():
+            for name, q in list(running.items()):
+                if q.lastProgress is not None:  # a finished micro-batch
+                    failures[name] = 0
+                if q.isActive:
+                    continue
                 del running[name]
-            elif restarts[name] < max_restarts:
-                restarts[name] += 1
-                log.warning("restarting %s after failure: %s", name, err)
+                if (err := q.exception()) is None:
+                    continue
+                failures[name] += 1
+                if max_restarts is not None and failures[name] > max_restarts:
+                    raise RuntimeError(f"query {name} failed {failures[name]} times in a row") from None
+                wait = 0.0 if failures[name] == 1 else min(longest_wait, 2.0 ** (failures[name] - 2))
+                log.warning("restarting %s in %.0f s after failure: %s", name, wait, err)
+                due[name] = time.monotonic() + wait
+            for name in [n for n, t in due.items() if t <= time.monotonic()]:
+                del due[name]
                 running[name] = starters[name]()
-            else:
-                raise RuntimeError(f"query {name} failed {max_restarts + 1} times") from None
-        time.sleep(poll_seconds)
+            stop.wait(poll_seconds)
+    finally:
+        for q in running.values():
+            q.stop()

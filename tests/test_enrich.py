@@ -78,5 +78,70 @@ def test_latest_state_hot_key(spark):
 def test_apply_changes(spark):
     state = spark.createDataFrame([("a", 1, "c", "x"), ("b", 1, "c", "y")], "key string, seq int, __op string, v string")
     batch = spark.createDataFrame([("a", 2, "d", None), ("c", 2, "c", "z")], "key string, seq int, __op string, v string")
-    out = {r["key"]: r["v"] for r in changes.apply_changes(state, batch, ["key"], ["seq"]).collect()}
-    assert out == {"b": "y", "c": "z"}
+    merged = changes.apply_changes(state, batch, ["key"], ["seq"])
+    assert {r["key"]: r["v"] for r in changes.live(merged).collect()} == {"b": "y", "c": "z"}
+    # an older change that comes late does not bring the deleted key back
+    late = spark.createDataFrame([("a", 1, "u", "old"), ("c", 3, "u", "new")], "key string, seq int, __op string, v string")
+    again = changes.apply_changes(merged, late, ["key"], ["seq"])
+    assert {r["key"]: r["v"] for r in changes.live(again).collect()} == {"b": "y", "c": "new"}
+    kept = {r["key"] for r in changes.purge_deletes(again, "seq", 2).collect()}
+    assert kept == {"a", "b", "c"} and {r["key"] for r in changes.purge_deletes(again, "seq", 3).collect()} == {"b", "c"}
+
+
+def test_lookup_first_null_types_and_skip(spark):
+    ref = spark.createDataFrame([("1", 1.0, 1, None), ("1", 1.0, 2, "second"), ("2", 2.0, 1, "x")], "k string, d double, ord int, v string")
+    df = spark.createDataFrame([(1, "1", False), (2, "2", False), (2, "2", True)], "i int, s string, off boolean")
+    by_number = lookup.lookup(df, [F.col("i")], ref, ["d"], "v", "out", order_col="ord", skip=F.col("off"))
+    assert sorted((r["i"], r["off"], r["out"]) for r in by_number.collect()) == [(1, False, None), (2, False, "x"), (2, True, None)]
+    by_text = lookup.lookup(df, [F.col("s")], ref, ["d"], "v", "out")
+    assert {(r["s"], r["out"]) for r in by_text.where(~F.col("off")).collect()} == {("1", "second"), ("2", "x")}
+
+
+def _skewed(spark, df):
+    """The executed plan with broadcasting off and low skew limits."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = df()
+        out.collect()
+        return out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_hot_lookup_and_address_keys_are_split(spark):
+    hot = spark.range(60000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id AS STRING) END AS k", "id", "repeat('x', 50) AS pad").repartition(12)
+    ref = spark.range(5000).selectExpr("CASE WHEN id = 7 THEN 'hot' ELSE CAST(id AS STRING) END AS k", "CAST(id AS STRING) AS v")
+    assert "skew=true" in _skewed(spark, lambda: lookup.lookup(hot, [F.col("k")], ref, ["k"], "v", "out"))
+    rows = hot.selectExpr("CASE WHEN id % 3 = 0 THEN 'a b c' ELSE concat('a ', k) END AS addr", "concat(id, pad) AS pad")
+    places = spark.range(50).selectExpr("concat('a b ', id) AS search_text", "'r' AS road_address", "'z' AS zipcode", "'c' AS city", "'d' AS district", "'t' AS town")
+    assert "skew=true" in _skewed(spark, lambda: address.match_addresses(rows, ["addr"], places, keep=["pad"]))
+
+
+def test_deterministic_protection_never_shares_an_iv(spark):
+    import base64
+
+    df = spark.range(500).selectExpr("CAST(id AS STRING) AS x")
+    rows = df.select("x", protect.protect("x", KEY, True).alias("c"), protect.reveal(protect.protect("x", KEY, True), KEY).alias("back")).collect()
+    assert len({base64.b64decode(r["c"])[:12] for r in rows}) == 500
+    assert all(r["x"] == r["back"] for r in rows)
+
+
+def test_key_is_not_in_explain_output(spark):
+    import contextlib
+    import io
+
+    from cdcflow.plans.context import Context
+
+    Context(spark=spark, protect_key=KEY)  # redacts
+    df = spark.range(3).select(protect.protect(F.col("id").cast("string"), KEY).alias("c"), protect.reveal(F.lit("x"), KEY).alias("r"))
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("extended")
+        df.explain("formatted")
+    assert KEY not in text.getvalue() and KEY.encode().hex() not in text.getvalue().lower()
+

@@ -13,7 +13,7 @@ NOW_MS = 1_704_067_200_000
 
 def _ctx(spark):
     users = spark.createDataFrame([("USER_001", "900101-1234567")], "ID string, SSN string")
-    return Context(spark=spark, tables={"USERS": users}, now=F.timestamp_millis(F.lit(NOW_MS)))
+    return Context(spark=spark, protect_key="0" * 32, tables={"USERS": users}, now=F.timestamp_millis(F.lit(NOW_MS)))
 
 
 def _feed(spark, rows):

@@ -31,7 +31,7 @@ def test_json_is_parsed_once_even_under_the_success_filter(spark):
 
 def test_prepared_reference_is_broadcast_when_small(spark):
     users = spark.createDataFrame([("U%d" % i, "s%d" % i) for i in range(100)], "ID string, SSN string")
-    ctx = Context(spark=spark, tables={"USERS": users})
+    ctx = Context(spark=spark, tables={"USERS": users}, protect_key="0" * 32)
     lv1 = spec.load()["lv1"][0]
     p = plan_of(build.route(build.refine(_feed(spark), lv1, ctx), lv1).success)
     assert "BroadcastHashJoin" in p and "InMemoryTableScan" in p

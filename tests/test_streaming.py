@@ -13,8 +13,8 @@ from conftest import SF_SMALL
 
 
 def _bindings(root):
-    names = ["bronze.sample_user", "silver.sample_user", "silver.sample_user-2", "silver.address_search",
-             "gold.sample_union", "platinum.sample_redis", "error.lv1", "error.api", "error.lv2"]
+    names = ["changes.customer", "refined.customer", "refined.supplier", "matched.address",
+             "contacts.by_channel", "stamps.by_customer", "rejects.refine", "rejects.match", "rejects.publish"]
     return {n: TopicBinding(format="parquet", path=os.path.join(root, n)) for n in names}
 
 
@@ -22,8 +22,7 @@ def test_stream_matches_batch(spark, scratch):
     ctx = common.context(spark, SF_SMALL)
     b = _bindings(scratch)
     feed = fixtures.user_feed(spark, SF_SMALL, protect_key=common.SAMPLE_KEY).select("key", "value")
-    # two bronze files arrive; the stream picks both up
-    feed.limit(10**9).write.parquet(b["bronze.sample_user"].path)
+    feed.write.parquet(b["changes.customer"].path)
     ckpt = os.path.join(scratch, "_checkpoints")
     qs = run_spec(spark, None, ctx, b, ckpt, trigger={"availableNow": True}, groups=("lv1",))
     for q in qs:
@@ -31,22 +30,22 @@ def test_stream_matches_batch(spark, scratch):
     defs = spec.load()
     lv1 = defs["lv1"][0]
     expected = build.route(build.refine(feed, lv1, ctx), lv1).success
-    got = read_topic(spark, "silver.sample_user", b)
+    got = read_topic(spark, "refined.customer", b)
     assert got.count() == expected.count() > 0
     cols = ["user_id", "email", "phone", "created_at", "__op"]
     assert sorted(got.select("value.*").select(*cols).collect()) == sorted(expected.select(*cols).collect())
 
     # fan-out: the silver topic feeds the address stage and two gold templates
-    spark.read.parquet(b["silver.sample_user"].path).limit(50).write.parquet(b["silver.sample_user-2"].path)
+    spark.read.parquet(b["refined.customer"].path).limit(50).write.parquet(b["refined.supplier"].path)
     qs = run_spec(spark, None, ctx, b, ckpt, trigger={"availableNow": True}, groups=("api", "lv2"))
     for q in qs:
         q.awaitTermination()
     n_silver = got.count()
-    assert read_topic(spark, "gold.sample_union", b).count() == n_silver + 50
-    redis = read_topic(spark, "platinum.sample_redis", b)
+    assert read_topic(spark, "contacts.by_channel", b).count() == n_silver + 50
+    redis = read_topic(spark, "stamps.by_customer", b)
     assert redis.count() == n_silver
     assert redis.where(F.col("key") != F.col("value.entity_id")).count() == 0
-    api = read_topic(spark, "silver.address_search", b)
+    api = read_topic(spark, "matched.address", b)
     assert api.count() > 0
     assert set(r[0] for r in api.select("value.juso_quality").distinct().collect()) <= {"ok", "ambiguous", "not_found"}
 
@@ -54,18 +53,18 @@ def test_stream_matches_batch(spark, scratch):
     qs = run_spec(spark, None, ctx, b, ckpt, trigger={"availableNow": True}, groups=("lv1",))
     for q in qs:
         q.awaitTermination()
-    assert read_topic(spark, "silver.sample_user", b).count() == n_silver
+    assert read_topic(spark, "refined.customer", b).count() == n_silver
 
 
 def test_rejects_reach_fail_topic(spark, scratch):
     ctx = common.context(spark, SF_SMALL)
     b = _bindings(scratch)
-    fixtures.event_feed(spark, SF_SMALL).select("key", "value").write.parquet(b["bronze.sample_user"].path)
+    fixtures.event_feed(spark, SF_SMALL).select("key", "value").write.parquet(b["changes.customer"].path)
     lv1 = spec.load()["lv1"][0]
     q = start_pipeline(spark, lv1, ctx, b, os.path.join(scratch, "_ck"), trigger={"availableNow": True})
     q.awaitTermination()
-    fails = read_topic(spark, "error.lv1", b)
-    ok = read_topic(spark, "silver.sample_user", b)
+    fails = read_topic(spark, "rejects.refine", b)
+    ok = read_topic(spark, "refined.customer", b)
     total = fixtures.event_feed(spark, SF_SMALL).where("value IS NOT NULL").count()
     assert fails.count() > 0 and ok.count() + fails.count() == total
     assert fails.where(F.col("value.reason").isNull()).count() == 0
@@ -75,12 +74,12 @@ def test_supervise_restarts_then_finishes(spark, scratch):
     ctx = common.context(spark, SF_SMALL)
     b = _bindings(scratch)
     fixtures.user_feed(spark, SF_SMALL, protect_key=common.SAMPLE_KEY).select("key", "value").write.parquet(
-        b["bronze.sample_user"].path
+        b["changes.customer"].path
     )
     lv1 = spec.load()["lv1"][0]
     ck = os.path.join(scratch, "_ck")
     supervise(spark, {"lv1": lambda: start_pipeline(spark, lv1, ctx, b, ck, trigger={"availableNow": True})}, poll_seconds=0.5)
-    assert read_topic(spark, "silver.sample_user", b).count() > 0
+    assert read_topic(spark, "refined.customer", b).count() > 0
     _ = address_reference  # the api stage's reference set is bound lazily in the context
 
 
@@ -91,7 +90,7 @@ def test_cli_runs_a_spec_once(spark, scratch):
 
     b = _bindings(scratch)
     fixtures.user_feed(spark, SF_SMALL, protect_key=common.SAMPLE_KEY).select("key", "value").write.parquet(
-        b["bronze.sample_user"].path
+        b["changes.customer"].path
     )
     users = os.path.join(scratch, "users")
     fixtures.users_table(spark, SF_SMALL).write.parquet(users)
@@ -102,17 +101,19 @@ def test_cli_runs_a_spec_once(spark, scratch):
     ctx = common.context(spark, SF_SMALL)
     feed = fixtures.user_feed(spark, SF_SMALL, protect_key=common.SAMPLE_KEY).select("key", "value")
     other = build.route(build.refine(feed, lv1, ctx), lv1).success.limit(20)
-    write_topic(other, "silver.sample_user-2", b, batch_id=0, writer="other")
+    write_topic(other, "refined.supplier", b, batch_id=0, writer="other")
     conf = {
         "checkpoint": os.path.join(scratch, "_cli_ck"),
         "topics": {n: {"format": "parquet", "path": t.path} for n, t in b.items()},
+        "protect_key_conf": "cdcflow.test.key",
         "tables": {"USERS": {"path": users}, "ADDRESSES": {"path": addresses}},
     }
     path = os.path.join(scratch, "bindings.yml")
     with open(path, "w") as fh:
         yaml.safe_dump(conf, fh)
+    spark.conf.set("cdcflow.test.key", common.SAMPLE_KEY)
     cli.main(["run", "--bindings", path, "--once"])
-    n = read_topic(spark, "silver.sample_user", b).count()
+    n = read_topic(spark, "refined.customer", b).count()
     assert n > 0
-    assert read_topic(spark, "gold.sample_union", b).count() == n + 20
-    assert read_topic(spark, "silver.address_search", b).count() > 0
+    assert read_topic(spark, "contacts.by_channel", b).count() == n + 20
+    assert read_topic(spark, "matched.address", b).count() > 0
