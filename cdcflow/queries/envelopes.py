@@ -69,9 +69,7 @@ def cdc_parse_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cdc_drop_tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = fixtures.event_feed(spark, sf_dir)
-    total = feed.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_in"))
-    kept = envelope.drop_tombstones(feed).groupBy("event_type").agg(F.count(F.lit(1)).alias("n_kept"))
-    return total.join(kept, "event_type", "left").select("event_type", "n_in", F.coalesce("n_kept", F.lit(0)).alias("n_kept"))
+    return feed.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_in"), F.count("value").alias("n_kept"))
 
 
 def tombstone_on_delete_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,14 +78,26 @@ def tombstone_on_delete_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("event_id", "key", "__op", F.col("value").isNull().alias("is_tombstone"))
 
 
-def cdc_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Successful changes; those without an id share the NULL key."""
     ok = rejects.successes(_unwrapped(spark, sf_dir))
-    rows = ok.select(
+    return ok.select(
         json_text(F.col("data"), "id").alias("user_id"),
         "event_id", "__op",
         clean_email(json_text(F.col("data"), "email")).alias("email"),
-    ).where(F.col("user_id").isNotNull())
-    return changes.latest_state(rows, ["user_id"], ["event_id"])
+    )
+
+
+def cdc_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changes.latest_state(_changes(spark, sf_dir), ["user_id"], ["event_id"])
+
+
+def cdc_apply_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same changes in three batches that overlap in time, the last batch's first."""
+    state = None
+    for k in (2, 0, 1):
+        state = changes.apply_changes(state, _changes(spark, sf_dir).where(F.col("event_id") % 3 == k), ["user_id"], ["event_id"])
+    return changes.live(state)
 
 
 def _refined_events(spark: SparkSession, sf_dir: str):
@@ -124,11 +134,13 @@ DLQ_TOPIC = "bronze.events"
 
 
 def undecodable_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The route of the running job: decode as the topic is bound, part what did not decode."""
+    from cdcflow.sources.topics import TopicBinding, decoded
+
     ev = fixtures.read(spark, sf_dir, "events").selectExpr(
         "event_id", "CAST(user_id AS STRING) AS key", f"{PROPS_RAW} AS value"
     )
-    decoded = ev.withColumn("_decoded", F.try_parse_json("value"))
-    dlq = rejects.dead_letters(decoded, "value", "_decoded", DLQ_TOPIC)
+    _, dlq = build.undecodable(decoded(ev, TopicBinding(value_schema="k string")), {"sourceTopic": DLQ_TOPIC})
     hdr = F.col("headers")
     return dlq.select(
         "event_id", "key", "value",
@@ -173,6 +185,90 @@ WHERE NOT tombstone  -- tombstones (NULL values) are dropped
 """
 
 
+def cdc_struct_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded records that cannot be refined: no image in the record, or no image fields at all."""
+    o = fixtures.read(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_orderstatus", f"{ORDER_OP} AS op")
+    image = F.when(F.col("o_orderkey") % 2 == 0, F.struct("o_orderkey", "o_orderstatus"))
+    whole = o.select("o_orderkey", F.col("o_orderkey").cast("string").alias("key"), F.struct("op", image.alias("before"), image.alias("after")).alias("value"))
+    bare = o.select("o_orderkey", F.col("o_orderkey").cast("string").alias("key"), F.struct("op", F.col("o_orderstatus").alias("note")).alias("value"))
+    out = None
+    for kind, df in (("whole", whole), ("bare", bare)):
+        bad = rejects.rejects(envelope.unwrap_struct(df, now=now_col()), "key").select(
+            F.lit(kind).alias("kind"), "key", "reason", "error_context", "payload")
+        out = bad if out is None else out.unionByName(bad)
+    return out
+
+
+STRUCT_REJECTS_ORACLE = f"""
+SELECT 'whole' AS kind, CAST(o_orderkey AS VARCHAR) AS key,
+       'missing ' || CASE WHEN op = 'd' THEN 'before' ELSE 'after' END || ' image' AS reason, CAST(NULL AS VARCHAR) AS error_context,
+       CASE WHEN op IS NULL THEN '{{}}' ELSE '{{"op":"' || op || '"}}' END AS payload
+FROM (SELECT *, {ORDER_OP} AS op FROM orders) o WHERE o_orderkey % 2 <> 0
+UNION ALL
+SELECT 'bare', CAST(o_orderkey AS VARCHAR), 'Avro processing failed: no before or after image in the record', 'avro_processing',
+       '{{' || CASE WHEN op IS NULL THEN '' ELSE '"op":"' || op || '",' END || '"note":"' || o_orderstatus || '"}}'
+FROM (SELECT *, {ORDER_OP} AS op FROM orders) o
+"""
+
+
+def struct_timestamp_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times of decoded records read like the raw numbers they stand for."""
+    o = fixtures.read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp_ntz").alias("t"))
+    image = F.struct("o_orderkey", F.col("t").alias("ordered_at"), F.col("t").cast("date").alias("ordered_on"), F.encode(F.lit("bytes"), "UTF-8").alias("raw"))
+    src = o.select("o_orderkey", F.struct(F.lit("c").alias("op"), image.alias("after")).alias("value"))
+    u = envelope.unwrap_struct(src, now=now_col())
+    text = lambda f: json_text(F.col("data"), f)
+    return u.select("o_orderkey", text("ordered_at").cast("bigint").alias("ordered_ms"), text("ordered_on").cast("int").alias("ordered_days"),
+                    text("raw").alias("raw"))
+
+
+STRUCT_TIMES_ORACLE = """
+SELECT o_orderkey, epoch_ms(o_orderdate) AS ordered_ms, CAST(CAST(o_orderdate AS DATE) - DATE '1970-01-01' AS INTEGER) AS ordered_days,
+       'bytes' AS raw
+FROM orders
+"""
+
+
+CHAIN_FIELDS = "user_id string, user_name string, email string, phone string, address string, is_active boolean, created_at bigint, __op string, __processed_at bigint"
+CHAIN_BROKEN = "CAST(substr(user_id, 2) AS BIGINT) % 17 = 0"  # which records arrive cut short
+
+
+def chain_json_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refined users as JSON text topics through the later levels: rows in = successes +
+    rejects + dead letters + the rows that a mapping drops by its rule."""
+    from cdcflow.queries.lv1 import _refined_users
+    from cdcflow.sources.topics import TopicBinding, decoded
+
+    ctx = context(spark, sf_dir)
+    names = [f.split(" ")[0] for f in CHAIN_FIELDS.split(", ")]
+    text = F.to_json(F.struct(*names))
+    topic = _refined_users(spark, sf_dir).success.select(
+        F.col("user_id").alias("key"), F.when(F.expr(CHAIN_BROKEN), F.substring(text, 1, 40)).otherwise(text).alias("value"))
+    binding = TopicBinding(value_schema=CHAIN_FIELDS)
+    out = None
+    for group, name in (("api", "MatchCustomerAddresses"), ("lv2", "ContactsCustomers"), ("lv2", "StampsCustomers")):
+        defn = definition(group, name)
+        good, dead = build.undecodable(decoded(topic, binding), defn)
+        routed = build.route(build.refine(good, defn, ctx), defn)
+        counts = None
+        for what, df in (("in", topic), ("success", routed.success), ("reject", routed.rejects), ("dead", dead)):
+            one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), F.lit(what).alias("what"), "n")
+            counts = one if counts is None else counts.unionByName(one)
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
+def _chain_oracle() -> str:
+    image = "CASE WHEN op = 'd' THEN json_extract(value, '$.payload.before') ELSE json_extract(value, '$.payload.after') END"
+    base = (f"(SELECT op, {duck.address(duck.json_text('img', 'address'))} AS address, c_custkey % 17 = 0 AS broken "
+            f"FROM (SELECT *, {image} AS img FROM {fixtures.user_feed_sql()} f0) f1) f")
+    parts = []
+    for stage, ok in (("MatchCustomerAddresses", "NOT broken AND op <> 'd' AND coalesce(address, '') <> ''"), ("ContactsCustomers", "NOT broken"), ("StampsCustomers", "NOT broken")):
+        for what, cond in (("in", "true"), ("success", ok), ("reject", "false"), ("dead", "broken")):
+            parts.append(f"SELECT '{stage}' AS stage, '{what}' AS what, count(*) FILTER (WHERE {cond}) AS n FROM {base}")
+    return " UNION ALL ".join(parts)
+
+
 EVENT_TOMBSTONE = "event_id % 89 = 0"  # which derived records carry a NULL value
 
 
@@ -269,8 +365,7 @@ SELECT user_id, event_id, __op, email FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM (
     SELECT {duck.json_text('data', 'id')} AS user_id, event_id, __op,
            {duck.email(duck.json_text('data', 'email'))} AS email
-    FROM {duck_unwrapped()} WHERE reason IS NULL) a
-  WHERE user_id IS NOT NULL) b
+    FROM {duck_unwrapped()} WHERE reason IS NULL) a) b
 WHERE rn = 1 AND (__op IS NULL OR lower(__op) <> 'd')
 """
 ROUTE_SUCCESS_ORACLE = f"""
@@ -306,6 +401,10 @@ QUERIES = {
     "cdc_drop_tombstones": cdc_drop_tombstones,
     "tombstone_on_delete": tombstone_on_delete_q,
     "cdc_latest_state": cdc_latest_state,
+    "cdc_apply_batches": cdc_apply_batches,
+    "cdc_struct_rejects": cdc_struct_rejects,
+    "struct_timestamp_fields": struct_timestamp_fields,
+    "chain_json_topics": chain_json_topics,
     "route_success": route_success,
     "route_rejects": route_rejects,
     "reject_reasons": reject_reasons,
@@ -325,6 +424,10 @@ ORACLE = {
     "cdc_drop_tombstones": DROP_TOMBSTONES_ORACLE,
     "tombstone_on_delete": TOMBSTONE_ORACLE,
     "cdc_latest_state": LATEST_ORACLE,
+    "cdc_apply_batches": LATEST_ORACLE,
+    "cdc_struct_rejects": STRUCT_REJECTS_ORACLE,
+    "struct_timestamp_fields": STRUCT_TIMES_ORACLE,
+    "chain_json_topics": _chain_oracle(),
     "route_success": ROUTE_SUCCESS_ORACLE,
     "route_rejects": ROUTE_REJECTS_ORACLE,
     "reject_reasons": REJECT_REASONS_ORACLE,

@@ -144,14 +144,17 @@ SELECT o_orderkey, o_orderstatus AS status, CAST(o_orderkey AS VARCHAR) AS key_t
 
 def map_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = fixtures.read(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("channel"))
-    configured = _map(c, "ch string", [m.channel("ch", "CH-CONF")], ("c_custkey",), data_col=None)
-    from_record = _map(c, "ch string", [m.channel("ch")], ("c_custkey",), data_col=None)
-    neither = _map(c.drop("channel"), "ch string", [m.channel("ch")], ("c_custkey",), data_col=None)
-    from_params = _map(c.drop("channel"), "ch string", [m.channel("ch")], ("c_custkey",), params={"channel": "CH-DEF"}, data_col=None)
-    tag = lambda df, t: df.select("c_custkey", F.lit(t).alias("rule"), "ch")
-    return tag(configured, "configured").unionByName(tag(from_record, "record")).unionByName(
-        tag(neither, "none")
-    ).unionByName(tag(from_params, "definition"))
+    schema = "configured string, record string, none string, definition string"
+    bare, given = m.Record(columns=frozenset()), m.Record(columns=frozenset(), params={"channel": "CH-DEF"})
+    rules = [
+        m.channel("configured", "CH-CONF"),
+        m.channel("record"),
+        m.custom("none", lambda r: m.channel("none").build(bare)),
+        m.custom("definition", lambda r: m.channel("definition").build(given)),
+    ]
+    wide = _map(c, schema, rules, ("c_custkey",), data_col=None)  # one scan, then a row per rule
+    pairs = F.array(*[F.struct(F.lit(r.output).alias("rule"), F.col(r.output).alias("ch")) for r in rules])
+    return wide.select("c_custkey", F.inline(pairs))
 
 
 CHANNEL_ORACLE = """
@@ -263,18 +266,21 @@ def lookup_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = fixtures.read(spark, sf_dir, "customer")
     out = lookup.lookup(o, [F.col("o_custkey")], c, ["c_custkey"], "c_name", "c_name")
     # duplicate reference keys: first line of the order (smallest line number)
-    li = fixtures.read(spark, sf_dir, "lineitem")
+    # whose value may be NULL
+    li = fixtures.read(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_linenumber", f"{FIRST_FLAG} AS l_returnflag")
     out = lookup.lookup(out, [F.col("o_orderkey")], li, ["l_orderkey"], "l_returnflag", "first_flag", order_col="l_linenumber")
     return out.select("o_orderkey", "o_custkey", "c_name", "first_flag")
 
 
-LOOKUP_ORACLE = """
+FIRST_FLAG = "CASE WHEN l_orderkey % 3 = 0 AND l_linenumber = 1 THEN NULL ELSE l_returnflag END"
+LOOKUP_ORACLE = f"""
 SELECT o_orderkey, o_custkey, c.c_name, f.first_flag FROM orders o
 LEFT JOIN customer c ON c.c_custkey = o.o_custkey
 LEFT JOIN (SELECT l_orderkey, l_returnflag AS first_flag FROM (
              SELECT l_orderkey, l_returnflag,
-                    row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_returnflag) AS rn
-             FROM lineitem WHERE l_returnflag IS NOT NULL) x WHERE rn = 1) f ON f.l_orderkey = o.o_orderkey
+                    row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_returnflag NULLS FIRST) AS rn
+             FROM (SELECT l_orderkey, l_linenumber, {FIRST_FLAG} AS l_returnflag FROM lineitem) l) x WHERE rn = 1) f
+  ON f.l_orderkey = o.o_orderkey
 """
 
 

@@ -186,7 +186,7 @@ AS_BOOL = ScalarQuery(
 )
 
 _ISO = (
-    "CASE o_orderkey % 10 WHEN 0 THEN replace(CAST(o_orderdate AS STRING), ' ', 'T') || 'Z' "
+    "CASE o_orderkey % 13 WHEN 0 THEN replace(CAST(o_orderdate AS STRING), ' ', 'T') || 'Z' "
     "WHEN 1 THEN replace(CAST(o_orderdate AS STRING), ' ', 'T') || '+09:00' "
     "WHEN 2 THEN replace(CAST(o_orderdate AS STRING), ' ', 't') || '.5z' "
     "WHEN 3 THEN replace(CAST(o_orderdate AS STRING), ' ', 'T') || '.123456-05:30' "
@@ -194,17 +194,19 @@ _ISO = (
     "WHEN 5 THEN substr(replace(CAST(o_orderdate AS STRING), ' ', 'T'), 1, 16) || 'Z' "
     "WHEN 6 THEN CAST(o_orderdate AS STRING) || 'Z' "
     "WHEN 7 THEN substr(CAST(o_orderdate AS STRING), 1, 8) || '30T10:00:00Z' "
-    "WHEN 8 THEN 'garbage' ELSE NULL END"
+    "WHEN 8 THEN 'garbage' WHEN 9 THEN replace(CAST(o_orderdate AS STRING), ' ', 'T') || 'Z' || chr(10) "
+    "WHEN 10 THEN substr(CAST(o_orderdate AS STRING), 1, 10) || 'T24:00:00Z' "
+    "WHEN 11 THEN substr(CAST(o_orderdate AS STRING), 1, 10) || 'T24:00:00.000+09:00' ELSE NULL END"
 )
 INSTANT = ScalarQuery("orders", {"id": "o_orderkey", "input": _ISO}, "millis", timefn.parse_instant, duck.instant)
 
 _EPOCH_TEXT = (
-    "CASE event_id % 9 WHEN 0 THEN CAST(CAST(floor({ts_us} / 1000000) AS BIGINT) AS STRING) "
+    "CASE event_id % 10 WHEN 0 THEN CAST(CAST(floor({ts_us} / 1000000) AS BIGINT) AS STRING) "
     "WHEN 1 THEN CAST(CAST(floor({ts_us} / 1000) AS BIGINT) AS STRING) "
     "WHEN 2 THEN CAST({ts_us} AS STRING) "
     "WHEN 3 THEN '2024-01-' || lpad(CAST(1 + event_id % 28 AS STRING), 2, '0') || 'T00:00:00Z' "
     "WHEN 4 THEN '99999999999999999999' WHEN 5 THEN '' WHEN 6 THEN ' 123' "
-    "WHEN 7 THEN CAST(event_id % 1000 AS STRING) ELSE props END"
+    "WHEN 7 THEN CAST(event_id % 1000 AS STRING) WHEN 9 THEN CAST(event_id AS STRING) || chr(10) ELSE props END"
 )
 EPOCH_OR_ISO = ScalarQuery(
     "events", {"id": "event_id", "input": _EPOCH_TEXT}, "millis", timefn.parse_timestamp_text, duck.ts_text
@@ -244,12 +246,13 @@ REFINE_BIRTH_DAYS = ScalarQuery(
 )
 
 _CONT = (
-    "CASE o_orderkey % 8 WHEN 0 THEN replace(substr(CAST(o_orderdate AS STRING), 1, 10), '-', '/') "
+    "CASE o_orderkey % 9 WHEN 0 THEN replace(substr(CAST(o_orderdate AS STRING), 1, 10), '-', '/') "
     "WHEN 1 THEN substr(CAST(o_orderdate AS STRING), 1, 10) "
     "WHEN 2 THEN substr(CAST(o_orderdate AS STRING), 1, 4) || '/02/30' "
     "WHEN 3 THEN substr(CAST(o_orderdate AS STRING), 1, 4) || '/13/01' "
     "WHEN 4 THEN substr(CAST(o_orderdate AS STRING), 1, 4) || '/1/5' WHEN 5 THEN '   ' "
-    "WHEN 6 THEN substr(CAST(o_orderdate AS STRING), 1, 4) || '/04/31' ELSE NULL END"
+    "WHEN 6 THEN substr(CAST(o_orderdate AS STRING), 1, 4) || '/04/31' "
+    "WHEN 8 THEN substr(CAST(o_orderdate AS STRING), 1, 4) || '/04/01' || chr(10) ELSE NULL END"
 )
 CONTDATE = ScalarQuery("orders", {"id": "o_orderkey", "input": _CONT}, "millis", timefn.contdate_to_millis, duck.contdate)
 

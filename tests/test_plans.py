@@ -61,3 +61,27 @@ def test_address_match_has_no_pairwise_product(spark):
     p = plan_of(address.match_addresses(df, ["addr"], ref))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
     assert "partial_" in p  # prefix summary and distinct keywords aggregate map-side
+
+
+def test_refine_users_reads_pruned_parquet_without_a_checkpoint(spark):
+    from cdcflow.queries import all_queries
+    from conftest import SF_SMALL
+
+    p = plan_of(all_queries()["refine_users"](spark, SF_SMALL))
+    assert "FileScan parquet" in p and "ExistingRDD" not in p
+    # the only round-robin exchange is the rebalanced reference of the lookup
+    assert p.count("RoundRobinPartitioning") == p.count("REBALANCE_PARTITIONS_BY_NONE")
+    scan = next(x for x in p.splitlines() if "FileScan parquet" in x and "c_custkey" in x)
+    assert "c_acctbal" not in scan and "c_comment" not in scan
+
+
+def test_struct_times_and_bytes_become_plain_values(spark):
+    from cdcflow.functions.jsonval import json_text
+
+    df = spark.sql("SELECT named_struct('op', 'c', 'after', named_struct('t', TIMESTAMP_NTZ '2024-01-01 00:00:01', 'd', DATE '1970-01-03', "
+                   "'b', CAST('ab' AS BINARY), 'inner', named_struct('ts', TIMESTAMP '2024-01-01 00:00:00Z'), 'list', array(DATE '1970-01-02'))) AS value")
+    u = envelope.unwrap_struct(df)
+    r = u.select(json_text(F.col("data"), "t").alias("t"), json_text(F.col("data"), "d").alias("d"), json_text(F.col("data"), "b").alias("b"),
+                 F.to_json("data").alias("j")).collect()[0]
+    assert (r.t, r.d, r.b) == ("1704067201000", "2", "ab")
+    assert '"inner":{"ts":1704067200000}' in r.j and '"list":[1]' in r.j

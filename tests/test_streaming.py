@@ -117,3 +117,101 @@ def test_cli_runs_a_spec_once(spark, scratch):
     assert n > 0
     assert read_topic(spark, "contacts.by_channel", b).count() == n + 20
     assert read_topic(spark, "matched.address", b).count() > 0
+
+
+def test_lookup_sees_rows_added_between_batches(spark, scratch):
+    from cdcflow.plans.context import Context
+    from cdcflow.streaming.runner import process_batch
+
+    path = os.path.join(scratch, "users")
+    spark.createDataFrame([("U1", "s1")], "ID string, SSN string").write.parquet(path)
+    ctx = Context(spark=spark, tables={"USERS": lambda: spark.read.parquet(path)}, protect_key=common.SAMPLE_KEY)
+    b = _bindings(scratch)
+    lv1 = spec.load()["lv1"][0]
+    envelope = lambda i: spark.createDataFrame([(i, '{"payload":{"op":"c","after":{"id":"%s"}}}' % i)], "key string, value string")
+    process_batch(envelope("U1"), 0, lv1, ctx, b)
+    spark.createDataFrame([("U2", "s2")], "ID string, SSN string").write.mode("append").parquet(path)
+    process_batch(envelope("U2"), 1, lv1, ctx, b)
+    got = {r.user_id: r.decrypted_ssn for r in read_topic(spark, lv1["destinationTopic"], b).select("value.*").collect()}
+    assert got == {"U1": "s1", "U2": "s2"}
+    ctx.release()
+
+
+def test_values_that_do_not_decode_reach_the_dead_letter_topic(spark, scratch):
+    from cdcflow.streaming.runner import process_batch
+
+    b = _bindings(scratch)
+    dead = os.path.join(scratch, "dead")
+    b["dead"] = TopicBinding(path=dead)
+    src = os.path.join(scratch, "text")
+    rows = [("1", '{"user_id":"U1","email":"a@b.co"}'), ("2", '{"user_id":'), ("3", None), ("4", '{"user_id":{"x":1}}')]
+    spark.createDataFrame(rows, "key string, value string").write.parquet(src)
+    b["refined.customer"] = TopicBinding(path=src, value_schema="user_id string, email string")
+    ctx = common.context(spark, SF_SMALL)
+    defn = next(d for d in spec.load()["lv2"] if d["name"] == "ContactsCustomers")
+    batch = read_topic(spark, "refined.customer", b)
+    process_batch(batch, 0, dict(defn, deadLetterTopic="dead"), ctx, b)
+    assert [r.key for r in read_topic(spark, "dead", b).select("key").collect()] == ["2"]
+    # an object where text is asked for reads as its JSON text, as the text rules do
+    assert read_topic(spark, defn["destinationTopic"], b).count() == 2
+    process_batch(batch, 1, defn, ctx, b)  # without a dead-letter topic: a reject record
+    bad = read_topic(spark, defn["failTopic"], b).select("key", "value.*").collect()
+    assert [(r.key, r.error_context, r.payload) for r in bad] == [("2", "json_parsing", '{"user_id":')]
+
+
+def test_text_topic_without_a_schema_is_refused(spark):
+    import pytest
+
+    flat = spark.createDataFrame([("1", "{}")], "key string, value string")
+    with pytest.raises(ValueError, match="value_schema"):
+        build.normalize_source(flat, {"group": "lv2", "sourceTopic": "t"}, common.context(spark, SF_SMALL))
+    with pytest.raises(ValueError, match="avro_schema"):
+        build.normalize_source(flat, {"group": "lv1", "inputFormat": "avro"}, common.context(spark, SF_SMALL))
+
+
+def test_state_of_batches_is_replayable_and_keeps_deletes(spark, scratch):
+    from cdcflow.operators.changes import live
+    from cdcflow.streaming.runner import merge_batch
+
+    path = os.path.join(scratch, "state")
+    batch = lambda *rows: spark.createDataFrame(rows, "k string, seq int, __op string, v string")
+    merge_batch(batch(("a", 1, "c", "x"), ("b", 1, "c", "y")), 0, path, ["k"], ["seq"])
+    merge_batch(batch(("a", 3, "d", None)), 1, path, ["k"], ["seq"])
+    for _ in range(2):  # the second time is a replay
+        state = merge_batch(batch(("a", 2, "u", "late"), ("b", 2, "u", "z")), 2, path, ["k"], ["seq"])
+    assert {(r.k, r.v) for r in live(state).collect()} == {("b", "z")}
+
+
+class _Query:
+    def __init__(self, error=None, forever=False):
+        self.error, self.isActive, self.lastProgress = error, forever, None
+
+    def exception(self):
+        return self.error
+
+    def stop(self):
+        self.isActive = False
+
+
+def test_supervise_has_no_lifetime_cap_and_stops_all(spark):
+    import threading
+
+    import pytest
+
+    made = []
+
+    def flaky():
+        made.append(_Query("boom" if len(made) < 8 else None))
+        made[-1].lastProgress = {}  # got on before it failed
+        return made[-1]
+
+    supervise(spark, {"q": flaky}, poll_seconds=0.01, max_restarts=2, longest_wait=0.01)
+    assert len(made) == 9
+    with pytest.raises(RuntimeError, match="in a row"):
+        other = _Query(forever=True)
+        supervise(spark, {"bad": lambda: _Query("boom"), "good": lambda: other}, poll_seconds=0.01, max_restarts=2, longest_wait=0.01)
+    assert not other.isActive
+    stop, running = threading.Event(), _Query(forever=True)
+    threading.Timer(0.1, stop.set).start()
+    supervise(spark, {"q": lambda: running}, poll_seconds=0.01, stop=stop)
+    assert not running.isActive
