@@ -5,9 +5,11 @@ lines, words inside repeated five-word windows) and ratios of them.  Fixed base
 rules reject first.  For the rest, each rule "ratio above its cutoff rejects"
 gets a cutoff per stratum from labelled holdout rows: a cutoff is allowed only
 when the exact (Clopper-Pearson) upper bound of the share of good rows it
-rejects is at most ``alpha``, at confidence ``1 - delta`` divided by the number
-of all tests (Bonferroni over strata, rules and grid).  Among allowed cutoffs the
-lowest is used.  Without enough labelled rows none is allowed and the rule rejects
+rejects is at most ``alpha`` divided by the number of rules, so that all rules
+together reject at most ``alpha`` of a stratum's good rows.  Multiple testing: the
+cutoffs of a rule are tested in fixed order, from the one that rejects least,
+until one fails (no further correction needed), and the error ``delta`` is divided
+among strata and rules (Bonferroni).  The last allowed cutoff is used.  Without enough labelled rows none is allowed and the rule rejects
 nothing in that stratum.
 
 Null texts have no words.  A text with no words fails the base rule.  Rows repeat
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from cdcflow.llm.store import carried, stage
 from cdcflow.llm.words import Words, chunks, mix, text_buffers
 
-ALPHA = 0.02           # largest share of good rows a rule may reject in a stratum
+ALPHA = 0.02           # largest share of good rows that all rules may reject in a stratum
 DELTA = 0.05           # chance that any of the bounds fails
 STRATA = 64            # strata of their own; rarer ones are pooled
 GRID = 64              # cutoffs tried per rule
@@ -161,7 +163,7 @@ def cutoffs(sig: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: floa
     counts = long.groupBy("stratum", "rule", "cell").agg(F.count("*").alias("n"), F.sum((F.col("quality") == 1).cast("long")).alias("good"))
     rows = counts.collect()  # at most strata x rules x cells rows; strata are pooled before
     strata = sorted({r["stratum"] for r in rows})
-    tests = max(1, len(strata) * len(names) * grid * 2)
+    tests = max(1, len(strata) * len(names))
     out: dict[tuple[str, str], int] = {}
     for s in strata:
         for r in names:
@@ -171,7 +173,7 @@ def cutoffs(sig: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: floa
             for c, n, g in mine:  # reject cells >= c, from the worst down
                 lost += g
                 gain += n - g
-                if not allowed(lost, total, alpha, delta / tests):
+                if not allowed(lost, total, alpha / len(names), delta / tests):
                     break
                 if gain:
                     best = c
