@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from cdcflow.llm.words import chunks
 
-SAMPLE = 6_000       # labelled texts fitted on, about
+SAMPLE = 4_000       # labelled texts fitted on, about
 DIMS = 4096
 CENTROIDS = 4        # per language
 QUANTILE = 0.001     # of a language's own sample that its threshold rejects
@@ -116,8 +116,9 @@ def fit(docs: DataFrame, learn: Column, sample: int = SAMPLE, lang_col: str = "l
     for i, r in enumerate(rows):
         at, n = np.frombuffer(r["counts"], "<u4").reshape(2, -1)
         counts[i, at] = n
-    idf = np.log((1 + len(rows)) / (1 + (counts > 0).sum(0))) + 0.05
-    v = weighted(counts, idf.astype(np.float32))
+    idf = (np.log((1 + len(rows)) / (1 + (counts > 0).sum(0))) + 0.05).astype(np.float32)
+    v = weighted(counts, idf)
+    del counts
     langs = sorted({r["lang"] for r in rows})
     y = np.array([langs.index(r["lang"]) for r in rows])
     rng = np.random.default_rng(9)
@@ -128,7 +129,7 @@ def fit(docs: DataFrame, learn: Column, sample: int = SAMPLE, lang_col: str = "l
         made.append(c)
         owner += [k] * len(c)
         least.append(np.quantile((own @ c.T).max(1), QUANTILE))
-    return Centroids(langs, idf.astype(np.float32), np.concatenate(made), np.array(owner), np.array(least))
+    return Centroids(langs, idf, np.concatenate(made), np.array(owner), np.array(least))
 
 
 def has_letter(raw: bytes) -> bool:

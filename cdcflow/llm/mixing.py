@@ -31,7 +31,7 @@ from cdcflow.llm.quality import MEASURED, measure
 from cdcflow.llm.store import carried, stage
 from cdcflow.llm.words import Words, chunks
 
-SAMPLE = 10_000      # labelled rows that the classifier is fitted on, at most about
+SAMPLE = 6_000       # labelled rows that the classifier is fitted on, at most about
 WORDS = 384          # words used as features
 STEPS = 40
 RIDGE = 1e-3
