@@ -54,12 +54,12 @@ def keyword_from(fields: Sequence[Column]) -> Column:
     return java_trim(F.concat_ws(" ", *[f.cast("string") for f in fields]))
 
 
-def _prefixes(norm: Column) -> Column:
-    """array<struct<level:int, prefix:string>> of the first n words, n = 1..words."""
+def _prefixes(norm: Column, most: int | None = None) -> Column:
+    """array<struct<level:int, prefix:string>> of the first n words, n = 1..words (at most ``most``)."""
     words = F.split(norm, " ")
-    n = F.size(words)
+    n = F.size(words) if most is None else F.least(F.size(words), F.lit(most))
     return F.when(
-        norm != "",
+        (norm != "") & (n > 0),
         F.transform(
             F.sequence(F.lit(1), n),
             lambda i: F.struct(i.alias("level"), F.array_join(F.slice(words, 1, i), " ").alias("prefix")),
@@ -85,6 +85,11 @@ def prefix_summary(reference: DataFrame, search_col: str = "search_text") -> Dat
     return exploded.groupBy("prefix").agg(*aggs)
 
 
+def longest_prefix(summary: DataFrame) -> int:
+    """Words of the longest prefix in a summary: no longer keyword prefix can hit."""
+    return summary.agg(F.max(F.size(F.split("prefix", " ")))).first()[0] or 0
+
+
 def match_addresses(
     df: DataFrame,
     input_fields: Sequence[str],
@@ -93,10 +98,12 @@ def match_addresses(
     op_col: str = "__op",
     keep: Sequence[str] = (),
     summary: DataFrame | None = None,
+    max_words: int | None = None,
 ) -> DataFrame:
     """Match every input row; rows with an empty keyword or a delete op are dropped.
 
-    ``summary`` may be a prepared ``prefix_summary`` (computed once per run).
+    ``summary`` may be a prepared ``prefix_summary``, ``max_words`` its ``longest_prefix``:
+    keywords then try no longer prefixes (they could not hit).
     Output: ``key`` (= the keyword), ``full_address``, ``road_address``,
     ``zipcode``, ``city``, ``district``, ``town``, ``juso_quality``,
     ``juso_result_count``, ``juso_matched_keyword``, ``__op`` and ``keep``.
@@ -115,7 +122,7 @@ def match_addresses(
     kws = src.select("full_address").distinct().withColumn("_norm", normalize_keyword(F.col("full_address")))
     if summary is None:
         summary = prefix_summary(reference, search_col)
-    tried = kws.select("full_address", F.inline(_prefixes(F.col("_norm"))))
+    tried = kws.select("full_address", F.inline(_prefixes(F.col("_norm"), max_words)))
     # both joins below take a rebalanced right side, so that AQE can split a hot prefix or address
     hits = tried.join(summary.hint("rebalance"), on="prefix", how="inner")
     best = hits.groupBy("full_address").agg(

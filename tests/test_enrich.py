@@ -66,6 +66,16 @@ def test_address_fallback_and_consensus(spark):
     assert (nf["juso_result_count"], nf["juso_quality"], nf["juso_matched_keyword"]) == (0, "not_found", "대구 어딘가")
 
 
+def test_longer_prefixes_than_the_reference_has_change_nothing(spark):
+    summary = address.prefix_summary(_ref(spark))
+    most = address.longest_prefix(summary)
+    assert most == 4 and address.longest_prefix(summary.limit(0)) == 0
+    df = spark.createDataFrame([("서울 중구 한강대로 405 " + "길 " * 300,), ("부산 해운대구 C",), ("",)], "a string")
+    whole = address.match_addresses(df, ["a"], summary=summary).collect()
+    assert sorted(whole) == sorted(address.match_addresses(df, ["a"], summary=summary, max_words=most).collect())
+    assert {r["juso_result_count"] for r in address.match_addresses(df, ["a"], summary=summary.limit(0), max_words=0).collect()} == {0}
+
+
 def test_latest_state_hot_key(spark):
     rows = [("hot", i, "u", f"v{i}") for i in range(2000)] + [("hot", 2000, "d", None), ("k", 1, "c", "a"), ("k", 2, "u", "b")]
     df = spark.createDataFrame(rows, "key string, seq int, __op string, v string").repartition(8)
