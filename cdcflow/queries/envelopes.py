@@ -237,24 +237,24 @@ def chain_json_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refined users as JSON text topics through the later levels: rows in = successes +
     rejects + dead letters + the rows that a mapping drops by its rule."""
     from cdcflow.queries.lv1 import _refined_users
-    from cdcflow.sources.topics import TopicBinding, decoded
+    from cdcflow.sources.topics import RAW_VALUE, TopicBinding, decoded
 
     ctx = context(spark, sf_dir)
     names = [f.split(" ")[0] for f in CHAIN_FIELDS.split(", ")]
     text = F.to_json(F.struct(*names))
     topic = _refined_users(spark, sf_dir).success.select(
         F.col("user_id").alias("key"), F.when(F.expr(CHAIN_BROKEN), F.substring(text, 1, 40)).otherwise(text).alias("value"))
-    binding = TopicBinding(value_schema=CHAIN_FIELDS)
-    out = None
-    for group, name in (("api", "MatchCustomerAddresses"), ("lv2", "ContactsCustomers"), ("lv2", "StampsCustomers")):
-        defn = definition(group, name)
-        good, dead = build.undecodable(decoded(topic, binding), defn)
-        routed = build.route(build.refine(good, defn, ctx), defn)
-        counts = None
-        for what, df in (("in", topic), ("success", routed.success), ("reject", routed.rejects), ("dead", dead)):
-            one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), F.lit(what).alias("what"), "n")
-            counts = one if counts is None else counts.unionByName(one)
-        out = counts if out is None else out.unionByName(counts)
+    read = decoded(topic, TopicBinding(value_schema=CHAIN_FIELDS))
+    stages = [("api", "MatchCustomerAddresses"), ("lv2", "ContactsCustomers"), ("lv2", "StampsCustomers")]
+    good, _ = build.undecodable(read, definition(*stages[0]))
+    lost = F.col("value").isNull() & F.col(RAW_VALUE).isNotNull()
+    came = read.agg(F.count(F.lit(1)).alias("in"), F.count(F.when(lost, 1)).alias("dead"))
+    pairs = lambda *names: F.inline(F.array(*[F.struct(F.lit(n).alias("what"), F.col(n).alias("n")) for n in names]))
+    out = came.select("*", F.explode(F.array(*[F.lit(n) for _, n in stages])).alias("stage")).select("stage", pairs("in", "dead"))
+    for group, name in stages:  # one pass a stage
+        refined = build.refine(good, definition(group, name), ctx)
+        counts = refined.agg(F.count(F.when(F.col(rejects.REJECT_COL).isNull(), 1)).alias("success"), F.count(rejects.REJECT_COL).alias("reject"))
+        out = out.unionByName(counts.select(F.lit(name).alias("stage"), pairs("success", "reject")))
     return out
 
 
