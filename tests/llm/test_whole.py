@@ -1,8 +1,10 @@
 """Results that must not depend on how much there is: no caps, first places or samples."""
 
 import numpy as np
+import pyarrow as pa
 
 from cdcflow.llm import substring
+from cdcflow.llm.words import Words, text_buffers
 
 
 def test_every_edited_stretch_of_a_long_pair_is_verified():
@@ -25,3 +27,25 @@ def test_every_place_of_a_repeated_passage_is_reported():
         got = substring.shared_stretches(a, b)
         for n, (x, y) in ((len(a), (0, 1)), (len(b), (2, 3))):
             assert {i for s in got for i in range(s[x], s[y] + 1)} == set(range(n))
+
+
+def test_the_spans_of_a_hot_text_are_cut_in_bounded_parts(spark, monkeypatch):
+    monkeypatch.setattr(substring, "ASKED", 16)
+    texts = [" ".join(f"w{i}x{k}" for k in range(300)) for i in range(3)]
+    sh = [Words(*text_buffers(pa.array([t]))).shingles()[0] for t in texts]
+    keys = [substring._class(s) for s in sh]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    homes = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "key long, doc_id long")
+    rows = [(p, keys[0], p % 200, p % 200 + 60, 0) for p in range(400)] + [(p, keys[1 + p % 2], p % 7, p % 7 + 50, 1) for p in range(20)]
+    cut = substring._cut_spans
+
+    def counted(batches):
+        for batch in batches:
+            assert max((len(x) for x in batch.column(2)), default=0) < 4 * 16
+            yield batch
+
+    monkeypatch.setattr(substring, "_cut_spans", lambda batches: cut(counted(batches)))
+    ends = spark.createDataFrame(rows, "pair long, key long, x long, y long, side long")
+    got = substring.cut_spans(ends, homes, d).collect()
+    want = {(p, side, k, x, sh[keys.index(k)][x : y + 1].tobytes()) for p, k, x, y, side in rows}
+    assert len(got) == len(rows) and {(r.pair, r.side, r.key, r.x, bytes(r.tokens)) for r in got} == want
