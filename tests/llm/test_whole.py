@@ -1,7 +1,10 @@
 """Results that must not depend on how much there is: no caps, first places or samples."""
 
+import random
+
 import numpy as np
 import pyarrow as pa
+from llm_cases import frame
 
 from cdcflow.llm import substring
 from cdcflow.llm.words import Words, text_buffers
@@ -49,3 +52,33 @@ def test_the_spans_of_a_hot_text_are_cut_in_bounded_parts(spark, monkeypatch):
     got = substring.cut_spans(ends, homes, d).collect()
     want = {(p, side, k, x, sh[keys.index(k)][x : y + 1].tobytes()) for p, k, x, y, side in rows}
     assert len(got) == len(rows) and {(r.pair, r.side, r.key, r.x, bytes(r.tokens)) for r in got} == want
+
+
+def frequent_lines(seed=9, docs=60):
+    """Documents of lines that are frequent, in orders that mostly one pair shares."""
+    rng = random.Random(seed)
+    lines = [" ".join(f"l{i}w{k}" for k in range(24)) for i in range(30)]
+    rows = [(i, " ".join(" ".join([lines[j], f"u{i}x{n}"]) for n, j in enumerate(rng.sample(range(30), 12)))) for i in range(docs)]
+    for k in range(20):
+        shared = " ".join(lines[j] for j in rng.sample(range(30), 3))
+        rows += [(1000 + 10 * k + e, f"a{k}{e} " * 3 + shared + f" z{k}{e}" * 3) for e in range(2)]
+    return rows
+
+
+def test_exact_passages_of_frequent_lines_equal_brute_force(spark):
+    rows = frequent_lines()
+    seen = {}
+    for i, t in rows:
+        w = t.split()
+        for x in range(len(w) - 49):
+            seen.setdefault(tuple(w[x : x + 50]), set()).add((i, x))
+    need = {(i, p) for at in seen.values() if len({i for i, _ in at}) > 1 for i, x in at for p in range(x, x + 50)}
+    got = {(r.doc_id, p) for r in substring.repeated_passages(frame(spark, rows)).collect() for p in range(r.start_word, r.end_word)}
+    assert len({i for i, _ in need}) >= 40 and need <= got
+
+
+def test_every_place_of_a_star_meets_another_text():
+    key = np.array([1, 1, 1, 2, 3, 3, 5, 5, 7])
+    first, size = np.array([0, 6, 8]), np.array([6, 2, 1])
+    x, y = substring.star(key, first, size)
+    assert sorted(zip(x.tolist(), y.tolist())) == [(0, 3), (0, 4), (0, 5), (3, 1), (3, 2)]
