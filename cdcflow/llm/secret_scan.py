@@ -6,7 +6,8 @@ classes and transitions between them, entropy, the share of letters that
 dictionary words cover, the document's path and the neighbouring words.  It is
 fitted on labelled findings (``doc_id, start, end, secret``); where none are
 given, findings of fixed formats count as secrets and all others as false
-positives, on a bounded sample.  The dictionary is the sample's frequent words.
+positives, on a bounded sample.  The dictionary is the most frequent words of all
+documents.
 
 Offsets are code points, ends exclusive.  Null texts have no candidates.  Rows
 repeat as they are, extra columns are ignored, an empty table gives an empty
@@ -32,7 +33,6 @@ from cdcflow.llm.trees import Model, forest
 
 SAMPLE_DOCS = 20_000       # documents that findings are taken from, about
 SAMPLE_FINDINGS = 20_000   # findings fitted on, at most
-DICTIONARY_DOCS = 500      # documents whose words make the dictionary, about
 DICTIONARY = 4_000         # words it holds, at most
 LEAST = 5                  # findings of either kind below which nothing is fitted
 KEEP = 0.5                 # forest score from which a candidate stands
@@ -117,21 +117,19 @@ def _view(docs: DataFrame, id_col: str, text_col: str, path_col: str | None) ->
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), path.alias("path"))
 
 
-def dictionary(docs: DataFrame, total: int, most: int = DICTIONARY) -> frozenset[str]:
-    share = min(1.0, DICTIONARY_DOCS / max(1, total))
-    some = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(55)), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
+def dictionary(docs: DataFrame, most: int = DICTIONARY) -> frozenset[str]:
+    """The most frequent words of all documents."""
     word = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}{3,12})"), F.lit(1))).alias("word")
-    rows = some.select(word).groupBy("word").count().orderBy(F.desc("count"), "word").limit(most).collect()
+    rows = docs.select(word).groupBy("word").count().orderBy(F.desc("count"), "word").limit(most).collect()
     return frozenset(r["word"] for r in rows)
 
 
 def fit(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> Scanner | None:
     """A scanner from labelled findings (``doc_id, start, end, secret``) or, without them, from fixed formats."""
     d = _view(docs, id_col, text_col, path_col)
-    total = d.count()
-    words = dictionary(d, total)
+    words = dictionary(d)
     if labelled is None:
-        share = min(1.0, SAMPLE_DOCS / max(1, total))
+        share = min(1.0, SAMPLE_DOCS / max(1, d.count()))
         some = d.where((F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < math.ceil(share * (1 << 20))) & F.col("text").rlike("[0-9:=]"))
         some = some.select("doc_id", "text", "path", F.lit(None).cast("array<struct<start:long,end:long,secret:boolean>>").alias("known"))
     else:

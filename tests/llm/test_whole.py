@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from llm_cases import frame
 
-from cdcflow.llm import substring
+from cdcflow.llm import secret_scan, substring
 from cdcflow.llm.words import Words, text_buffers
 
 
@@ -82,3 +82,14 @@ def test_every_place_of_a_star_meets_another_text():
     first, size = np.array([0, 6, 8]), np.array([6, 2, 1])
     x, y = substring.star(key, first, size)
     assert sorted(zip(x.tolist(), y.tolist())) == [(0, 3), (0, 4), (0, 5), (3, 1), (3, 2)]
+
+
+def test_the_dictionary_counts_the_words_of_all_documents(spark):
+    from collections import Counter
+
+    rows = [(i, f"common thing{'a' * (i % 7)} " + ("seltenwort " * 400 if i == 2777 else "")) for i in range(3000)]
+    count = Counter(w for _, t in rows for w in t.split() if 3 <= len(w) <= 12)
+    want = {w for w, _ in sorted(count.items(), key=lambda e: (-e[1], e[0]))[:4]}
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert secret_scan.dictionary(d, most=4) == want
+    assert "seltenwort" in secret_scan.dictionary(d)
