@@ -6,7 +6,8 @@ classes and transitions between them, entropy, the share of letters that
 dictionary words cover, the document's path and the neighbouring words.  It is
 fitted on labelled findings (``doc_id, start, end, secret``); where none are
 given, findings of fixed formats count as secrets and all others as false
-positives, on a bounded sample.  The dictionary is the most frequent words of all
+positives, on a bounded sample.  Spans are scored whole, joined ones also by the
+spans they are made of, and the best score counts.  The dictionary is the most frequent words of all
 documents.
 
 Offsets are code points, ends exclusive.  Null texts have no candidates.  Rows
@@ -40,7 +41,7 @@ KEEP = 0.5                 # forest score from which a candidate stands
 # Fixed patterns of key formats and telling names.
 _FORMATS = re.compile(r"(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}"
                       r"|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----")
-_ASSIGNED = re.compile(r"(?i)\b(?:pass(?:word|wd)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential)[\"']?[ ]?[:=][ ]?[\"']?([^\s\"']{6,200})")
+_ASSIGNED = re.compile(r"(?i)\b(?:pass(?:word|wd)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential)[\"']?[ ]?[:=][ ]?[\"']?([^\s\"']{6,}+)")
 _RUN = re.compile(r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z0-9_+/=-]*[0-9])[A-Za-z0-9_+/=-]{12,}")
 _ANY = re.compile(r"[0-9]|AKIA|ASIA|[:=]|gh[pousr]_|sk-|xox|eyJ|-----BEGIN")
 _HEX = re.compile(r"[0-9a-f]{16,}|[0-9A-F]{16,}")
@@ -50,16 +51,24 @@ _WORD = re.compile(r"[^\W\d_]{2,}")
 
 def candidates(text: str) -> list[tuple[int, int]]:
     """Spans in order, overlapping ones joined."""
+    return [span for span, _ in joined(text)]
+
+
+def joined(text: str) -> list[tuple[tuple[int, int], list[tuple[int, int]]]]:
+    """Spans in order, overlapping ones joined, each with the spans it is made of and itself."""
     if not _ANY.search(text):
         return []
     spans = [m.span() for m in _FORMATS.finditer(text)] + [m.span(1) for m in _ASSIGNED.finditer(text)] + [m.span() for m in _RUN.finditer(text)]
     out: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
+    parts: list[list[tuple[int, int]]] = []
+    for a, b in sorted(set(spans)):
         if out and a < out[-1][1]:
             out[-1] = (out[-1][0], max(b, out[-1][1]))
+            parts[-1].append((a, b))
         else:
             out.append((a, b))
-    return out
+            parts.append([(a, b)])
+    return [(span, p if span in p else [span, *p]) for span, p in zip(out, parts)]
 
 
 def known_format(text: str, a: int, b: int) -> bool:
@@ -86,7 +95,7 @@ def covered(s: str, words: frozenset[str]) -> float:
 
 
 def features(text: str, a: int, b: int, path: str, words: frozenset[str]) -> list[float]:
-    s = text[a:b][:256]
+    s = text[a:b]
     kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "s" for c in s]
     moves = Counter(zip(kinds, kinds[1:]))
     n = len(s)
@@ -108,8 +117,12 @@ class Scanner:
     model: Model
     words: frozenset[str]
 
-    def score(self, text: str, path: str, spans: list[tuple[int, int]]) -> list[float]:
-        return self.model.score(np.array([features(text, a, b, path, self.words) for a, b in spans])).tolist() if spans else []
+    def score(self, text: str, path: str, found: list[tuple[tuple[int, int], list[tuple[int, int]]]]) -> list[float]:
+        """The best score among the parts of each span."""
+        if not found:
+            return []
+        each = self.model.score(np.array([features(text, a, b, path, self.words) for _, parts in found for a, b in parts]))
+        return np.maximum.reduceat(each, np.cumsum([0, *(len(parts) for _, parts in found[:-1])])).tolist()
 
 
 def _view(docs: DataFrame, id_col: str, text_col: str, path_col: str | None) -> DataFrame:
@@ -141,7 +154,7 @@ def fit(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_i
             x, y = [], []
             for text, path, known in zip(*(batch.column(i) for i in (1, 2, 3))):
                 text, path, known = text.as_py() or "", path.as_py(), known.as_py()
-                found = [(a, b, known_format(text, a, b)) for a, b in candidates(text)] if known is None else [(k["start"], k["end"], k["secret"]) for k in known]
+                found = [(a, b, known_format(text, a, b)) for _, parts in joined(text) for a, b in parts] if known is None else [(k["start"], k["end"], k["secret"]) for k in known]
                 for a, b, secret in found:
                     if secret is not None and 0 <= a < b <= len(text):
                         x.append(features(text, a, b, path, words))
@@ -168,9 +181,9 @@ def scan(docs: DataFrame, scanner: Scanner | None, keep: float = KEEP, id_col: s
             rows = []
             for doc, text, path in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 text = text.as_py()
-                if text and (spans := candidates(text)):
-                    scores = scanner.score(text, path.as_py(), spans) if scanner else [None] * len(spans)
-                    rows += [(doc, a, b, hashlib.sha256(text[a:b].encode()).hexdigest(), s, s is None or s >= keep) for (a, b), s in zip(spans, scores)]
+                if text and (found := joined(text)):
+                    scores = scanner.score(text, path.as_py(), found) if scanner else [None] * len(found)
+                    rows += [(doc, a, b, hashlib.sha256(text[a:b].encode()).hexdigest(), s, s is None or s >= keep) for ((a, b), _), s in zip(found, scores)]
             cols = list(zip(*rows)) if rows else [[]] * 6
             types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["doc_id", "start", "end", "value_sha256", "score", "secret"])

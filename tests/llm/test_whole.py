@@ -93,3 +93,20 @@ def test_the_dictionary_counts_the_words_of_all_documents(spark):
     d = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert secret_scan.dictionary(d, most=4) == want
     assert "seltenwort" in secret_scan.dictionary(d)
+
+
+def test_long_spans_are_read_whole():
+    value = "k9$" * 300
+    assert secret_scan.candidates(f'password = "{value}" end') == [(12, 12 + len(value))]
+    run, key = "Zq7x" * 100, "AKIA" + "Q7" * 8
+    one, two = (secret_scan.features(run + tail, 0, len(run) + 20, "", frozenset()) for tail in (key, "0" * 20))
+    assert one[1:] != two[1:]
+    text = run + "-" + key
+    ((span, parts),) = secret_scan.joined(text)
+    assert span == (0, len(text)) and (len(run) + 1, len(text)) in parts
+
+    class Model:
+        def score(self, x):
+            return (x[:, 0] == len(key)).astype(float)
+
+    assert secret_scan.Scanner(Model(), frozenset()).score(text, "", secret_scan.joined(text)) == [1.0]
