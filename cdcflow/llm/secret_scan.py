@@ -6,7 +6,7 @@ classes and transitions between them, entropy, the share of letters that
 dictionary words cover, the document's path and the neighbouring words.  It is
 fitted on labelled findings (``doc_id, start, end, secret``); where none are
 given, findings of fixed formats count as secrets and all others as false
-positives, on a bounded sample.  Spans are scored whole, joined ones also by the
+positives; of either kind a bounded sample over all documents is taken.  Spans are scored whole, joined ones also by the
 spans they are made of, and the best score counts.  The dictionary is the most frequent words of all
 documents.
 
@@ -30,10 +30,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cdcflow.llm.store import stage
 from cdcflow.llm.trees import Model, forest
 
-SAMPLE_DOCS = 20_000       # documents that findings are taken from, about
-SAMPLE_FINDINGS = 20_000   # findings fitted on, at most
+SAMPLE_FINDINGS = 20_000   # findings fitted on, at most; half of either kind, by hash over all documents
 DICTIONARY = 4_000         # words it holds, at most
 LEAST = 5                  # findings of either kind below which nothing is fitted
 KEEP = 0.5                 # forest score from which a candidate stands
@@ -142,26 +142,48 @@ def fit(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_i
     d = _view(docs, id_col, text_col, path_col)
     words = dictionary(d)
     if labelled is None:
-        share = min(1.0, SAMPLE_DOCS / max(1, d.count()))
-        some = d.where((F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < math.ceil(share * (1 << 20))) & F.col("text").rlike("[0-9:=]"))
-        some = some.select("doc_id", "text", "path", F.lit(None).cast("array<struct<start:long,end:long,secret:boolean>>").alias("known"))
+        some = d.select("doc_id", "text", "path", F.lit(None).cast("array<struct<start:long,end:long,secret:boolean>>").alias("known"))
     else:
-        few = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct(F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), F.col("secret").cast("boolean").alias("secret")).alias("k")).limit(SAMPLE_FINDINGS)
-        some = d.join(F.broadcast(few.groupBy("doc_id").agg(F.collect_list("k").alias("known"))), "doc_id").select("doc_id", "text", "path", "known")
+        given = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct(F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), F.col("secret").cast("boolean").alias("secret")).alias("k"))
+        given = given.dropna(subset=["doc_id"])
+        few = [given.where(F.col("k.secret") == kind).orderBy(F.xxhash64("doc_id", "k"), "doc_id", "k").limit(SAMPLE_FINDINGS // 2) for kind in (True, False)]
+        some = d.join(F.broadcast(few[0].union(few[1]).groupBy("doc_id").agg(F.collect_list("k").alias("known"))), "doc_id").select("doc_id", "text", "path", "known")
+
+    most = SAMPLE_FINDINGS // 2
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple]] = {0: [], 1: []}  # findings of either kind by rank, the least ones
+        worst = {0: 1 << 63, 1: 1 << 63}
+
+        def trim(secret: int):
+            held[secret].sort()
+            del held[secret][most:]
+            if len(held[secret]) == most:
+                worst[secret] = held[secret][-1][0]
+
         for batch in batches:
-            x, y = [], []
-            for text, path, known in zip(*(batch.column(i) for i in (1, 2, 3))):
-                text, path, known = text.as_py() or "", path.as_py(), known.as_py()
+            for doc, text, path, known in zip(*batch.columns):
+                doc, text, path, known = doc.as_py(), text.as_py() or "", path.as_py(), known.as_py()
                 found = [(a, b, known_format(text, a, b)) for _, parts in joined(text) for a, b in parts] if known is None else [(k["start"], k["end"], k["secret"]) for k in known]
                 for a, b, secret in found:
                     if secret is not None and 0 <= a < b <= len(text):
-                        x.append(features(text, a, b, path, words))
-                        y.append(int(secret))
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.int64())], names=["x", "secret"])
-
-    rows = some.mapInArrow(learn, "x array<double>, secret long").limit(SAMPLE_FINDINGS).collect()
+                        low = max(0, a - 40)
+                        cut = text[low : b + 24]
+                        rank = int.from_bytes(hashlib.blake2b(f"{doc} {a} {b} {cut}".encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+                        rows = held[int(secret)]
+                        if rank <= worst[int(secret)]:
+                            rows.append((rank, cut, a - low, b - low, path))
+                            if len(rows) >= 2 * most:
+                                trim(int(secret))
+        for secret, rows in held.items():
+            trim(secret)
+            for k in range(0, len(rows), 1024):
+                part = rows[k : k + 1024]
+                x = [features(cut, a, b, path, words) for _, cut, a, b, path in part]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), pa.array([secret] * len(part), pa.int64()), pa.array([r[0] for r in part], pa.int64())], names=["x", "secret", "rank"])
+
+    found = stage(some.mapInArrow(learn, "x array<double>, secret long, rank long"), "findings")
+    rows = [r for kind in (0, 1) for r in found.where(F.col("secret") == kind).orderBy("rank", "x").limit(most).collect()]
     rows.sort(key=lambda r: (r["secret"], r["x"]))
     y = np.array([r["secret"] for r in rows], float)
     if min((y == 1).sum(), (y == 0).sum()) < LEAST:

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 from llm_cases import frame
+from pyspark.sql import functions as F
 
 from cdcflow.llm import secret_scan, substring
 from cdcflow.llm.words import Words, text_buffers
@@ -110,3 +111,20 @@ def test_long_spans_are_read_whole():
             return (x[:, 0] == len(key)).astype(float)
 
     assert secret_scan.Scanner(Model(), frozenset()).score(text, "", secret_scan.joined(text)) == [1.0]
+
+
+def test_rare_secrets_of_a_large_table_are_all_learnt_from(spark, monkeypatch):
+    monkeypatch.setattr(secret_scan, "SAMPLE_FINDINGS", 200)
+    monkeypatch.setattr(secret_scan, "SAMPLE_DOCS", 50, raising=False)
+    rng = random.Random(5)
+    rows = [(i, f"on 2024-01-{i % 28 + 1:02d}T{i % 24:02d}:00:00 we met") for i in range(4000)]
+    for i in range(0, 4000, 400):
+        rows[i] = (i, "use AKIA" + "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(16)) + " now")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scanner = secret_scan.fit(docs)
+    assert scanner is not None
+    again = secret_scan.fit(docs.orderBy(F.desc("doc_id")).repartition(3))
+    for one in (scanner, again):
+        got = {(r.doc_id, r.score) for r in secret_scan.scan(docs, one).where("secret").collect()}
+        assert {i for i, _ in got} == set(range(0, 4000, 400))
+    assert all((a.value == b.value).all() for a, b in zip(scanner.model.trees, again.model.trees))
