@@ -3,7 +3,7 @@
 A text is the counts of its letter n-grams (2 to 4 bytes of the lower-cased text
 with every run of other ASCII characters as one blank), hashed into ``DIMS``
 places, damped, weighted by inverse document frequency and normalised.  From a
-bounded sample of labelled texts every language gets ``CENTROIDS`` spherical
+bounded sample of labelled texts per language, each gets ``CENTROIDS`` spherical
 k-means centroids.  A text takes the language of its nearest centroid by cosine;
 it is flagged as rejected when that cosine falls below the language's threshold,
 a low quantile of its own sample.  ``score`` is the share of similarity of the
@@ -30,6 +30,7 @@ from cdcflow.llm.words import chunks
 SAMPLE = 4_000       # labelled texts fitted on, about
 DIMS = 4096
 CENTROIDS = 4        # per language
+LEAST = 64           # texts of a language drawn at least, where it has them
 QUANTILE = 0.001     # of a language's own sample that its threshold rejects
 SHARP = 12.0         # of the softmax over cosines that gives the score
 
@@ -102,21 +103,57 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["lang", "counts"])
 
 
+def shares(sizes: dict[str, int], sample: int) -> dict[str, float]:
+    """The share of each class to draw: equal quotas, what small classes leave goes to the others."""
+    out, left, rest = {}, sample, len(sizes)
+    for name, n in sorted(sizes.items(), key=lambda e: (e[1], e[0])):
+        quota = max(1, left // rest)
+        # a few rows' draw may come out empty, so small quotas are drawn whole or wide
+        out[name] = 1.0 if n <= max(quota, LEAST) else max(quota, LEAST) / n
+        left, rest = max(0, left - min(n, quota)), rest - 1
+    return out
+
+
+def least_hash(name: Column, share: dict[str, float], size: int) -> Column:
+    """The bound under which the hash of a row of a class lies when it is drawn."""
+    pairs = [x for k, v in sorted(share.items()) for x in (F.lit(k), F.lit(math.ceil(v * size)))]
+    return F.create_map(*pairs)[name]
+
+
+def document_counts(texts: DataFrame) -> np.ndarray:
+    """How many of all texts hold each n-gram, summed per task."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(DIMS, np.int64)
+        for batch in batches:
+            for _, _, data, offsets in chunks(batch.column(0), 1 << 18, 512):
+                held += (vectors(data, offsets) > 0).sum(0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(DIMS, dtype=np.int64)), pa.array(held)], names=["k", "n"])
+
+    out = np.zeros(DIMS, np.int64)
+    for r in texts.mapInArrow(part, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
+        out[r["k"]] = r["n"]
+    return out
+
+
 def fit(docs: DataFrame, learn: Column, sample: int = SAMPLE, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id") -> Centroids | None:
-    """Centroids from about ``sample`` texts among rows where ``learn`` holds and the language is known."""
+    """Centroids from about ``sample`` texts, drawn by hash per language, among rows where ``learn`` holds and
+    the language is known; document frequencies are of all those rows."""
     known = docs.where(learn & F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id"))
-    share = min(1.0, sample / max(1, docs.count()) * 1.5)
-    some = known.where(F.pmod(F.xxhash64("id", F.lit(9)), F.lit(1 << 20)) < math.ceil(share * (1 << 20))).select("lang", "text")
-    rows = some.mapInArrow(_counted, "lang string, counts binary").limit(4 * sample).collect()  # a bounded sample of sparse counts
-    if not rows:
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # a row per language
+    if not sizes:
         return None
+    share = shares(sizes, sample)
+    rows = (known.where(F.pmod(F.xxhash64("id", "text", F.lit(9)), F.lit(1 << 30)) < least_hash(F.col("lang"), share, 1 << 30)).select("lang", "text")
+            .mapInArrow(_counted, "lang string, counts binary").collect())  # about sample rows of sparse counts, and copies of equal rows
     rows.sort(key=lambda r: (r["lang"], r["counts"]))
     counts = np.zeros((len(rows), DIMS), np.float32)
     for i, r in enumerate(rows):
         at, n = np.frombuffer(r["counts"], "<u4").reshape(2, -1)
         counts[i, at] = n
-    idf = (np.log((1 + len(rows)) / (1 + (counts > 0).sum(0))) + 0.05).astype(np.float32)
+    held = document_counts(known.select("text"))
+    idf = (np.log((1 + sum(sizes.values())) / (1 + held)) + 0.05).astype(np.float32)
     v = weighted(counts, idf)
     del counts
     langs = sorted({r["lang"] for r in rows})

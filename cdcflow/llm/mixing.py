@@ -27,11 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cdcflow.llm.langid import least_hash, shares
 from cdcflow.llm.quality import MEASURED, measure
 from cdcflow.llm.store import carried, stage
 from cdcflow.llm.words import Words, chunks
 
-SAMPLE = 6_000       # labelled rows that the classifier is fitted on, at most about
+SAMPLE = 6_000       # labelled rows that the classifier is fitted on, about; drawn per domain
 WORDS = 384          # words used as features
 STEPS = 40
 RIDGE = 1e-3
@@ -116,11 +117,15 @@ def telling(sets: list[np.ndarray], y: np.ndarray, k: int, most: int = WORDS) ->
 def fit(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE) -> Classifier | None:
     """``labelled`` has ``doc_id, domain``; rows with a null in either, or without a text, are left out."""
     known = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("domain").cast("string").alias("domain")).dropna()
-    share = min(1.0, sample / max(1, known.count()))
-    some = known.where(F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(1 << 20)) < math.ceil(share * (1 << 20))).limit(2 * sample)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = (d.join(F.broadcast(some), "doc_id")  # at most 2 * sample short rows
-            .select("domain", "text").mapInArrow(_sampled, "domain string, x array<double>, words binary").limit(4 * sample).collect())
+    known = known.join(d.where("text IS NOT NULL").select("doc_id"), "doc_id", "left_semi")
+    sizes = {r["domain"]: r["count"] for r in known.groupBy("domain").count().collect()}  # a row per domain
+    if len(sizes) < 2:
+        return None
+    share = shares(sizes, sample)
+    some = known.where(F.pmod(F.xxhash64("doc_id", "domain", F.lit(4)), F.lit(1 << 30)) < least_hash(F.col("domain"), share, 1 << 30))
+    rows = (d.join(F.broadcast(some), "doc_id")  # about sample short rows
+            .select("domain", "text").mapInArrow(_sampled, "domain string, x array<double>, words binary").collect())
     domains = sorted({r["domain"] for r in rows})
     if len(domains) < 2:
         return None
@@ -133,14 +138,17 @@ def fit(docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE) -> Classifie
     mean, scale = x.mean(0), x.std(0) + 1e-9
     z = (x - mean) / scale
     target = np.eye(len(domains))[y]
-    weight, bias = np.zeros((z.shape[1], len(domains))), np.log(target.mean(0))
+    # rows weigh so that domains count as they do in the whole table
+    weigh = np.array([sizes[k] for k in domains]) / np.maximum(np.bincount(y, minlength=len(domains)), 1)
+    weigh = (weigh / (weigh[y].mean()))[y][:, None]
+    weight, bias = np.zeros((z.shape[1], len(domains))), np.log((weigh * target).mean(0))
     vw, vb, n = np.zeros_like(weight), np.zeros_like(bias), len(z)
     for _ in range(300):  # momentum descent on the regularised likelihood
         p = z @ weight + bias
         p = np.exp(p - p.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
-        vw = 0.9 * vw + z.T @ (p - target) / n + 1e-3 * weight
-        vb = 0.9 * vb + (p - target).mean(0)
+        vw = 0.9 * vw + z.T @ (weigh * (p - target)) / n + 1e-3 * weight
+        vb = 0.9 * vb + (weigh * (p - target)).mean(0)
         weight, bias = weight - 0.1 * vw, bias - 0.1 * vb
     return Classifier(domains, words, mean, scale, weight, bias)
 
@@ -240,6 +248,8 @@ def prepare(docs: DataFrame, labelled: DataFrame, goal, top: float = math.inf):
 def by_weight(weights: dict[str, float], budget: float | None = None):
     """Targets that share ``budget`` words (all words there are, by default) by ``weights``."""
     def goal(domains, totals):
+        if lost := sorted(k for k, w in weights.items() if w > 0 and k not in domains):
+            raise ValueError(f"no labelled text for the domains {lost}")
         w = np.array([weights.get(d, 0.0) for d in domains])
         return (sum(totals) if budget is None else budget) * w / max(w.sum(), 1e-12)
 

@@ -4,10 +4,11 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from llm_cases import frame
 from pyspark.sql import functions as F
 
-from cdcflow.llm import secret_scan, substring
+from cdcflow.llm import langid, mixing, secret_scan, substring
 from cdcflow.llm.words import Words, text_buffers
 
 
@@ -128,3 +129,24 @@ def test_rare_secrets_of_a_large_table_are_all_learnt_from(spark, monkeypatch):
         got = {(r.doc_id, r.score) for r in secret_scan.scan(docs, one).where("secret").collect()}
         assert {i for i, _ in got} == set(range(0, 4000, 400))
     assert all((a.value == b.value).all() for a, b in zip(scanner.model.trees, again.model.trees))
+
+
+def test_languages_with_few_labels_are_learnt(spark):
+    rows = [(i, f"the cat number {i} sat on the mat again", None if i % 50 else "en") for i in range(4000)]
+    rows += [(9000 + i, f"der hund {i} schlief unter einem grossen baum", "de") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, F.lit(True), sample=40)
+    assert model.langs == ["de", "en"]
+    held = langid.document_counts(docs.where("lang IS NOT NULL").select("text"))
+    assert np.allclose(model.idf, np.log(86 / (1 + held)) + 0.05, atol=1e-5)
+
+
+def test_domains_with_few_labels_are_learnt_and_lost_ones_told(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join([f"w{rng.randrange(400)}" for _ in range(40)] + (["scum", "vile"] if i % 400 == 0 else ["kind", "calm"]))) for i in range(3200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kinds = docs.select("doc_id", F.when(F.col("doc_id") % 400 == 0, "bad").otherwise("fine").alias("domain"))
+    model = mixing.fit(docs, kinds, sample=200)
+    assert model.domains == ["bad", "fine"]
+    with pytest.raises(ValueError, match="odd"):
+        mixing.by_weight({"fine": 0.5, "odd": 0.5})(model.domains, [1.0, 2.0])
