@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cdcflow.llm.graph import components
-from cdcflow.llm.store import stage
+from cdcflow.llm.store import carried, stage
 from cdcflow.llm.words import Words, chunks, mix
 
 FEWEST, MOST = 64, 1 << 16  # coordinates of a point
@@ -368,6 +368,11 @@ def _link_table(table: pa.Table) -> pa.Table:
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id``: one row per row of ``docs``."""
+    return _classified(docs, id_col, text_col).select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def _classified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, key, n, component, label`` per row: its class, and the least id and a class of its component."""
     spark = docs.sparkSession
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     raw = stage(d.mapInArrow(_points, POINT_SCHEMA), "points")
@@ -429,19 +434,28 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     final = components(links).select(F.col("v").alias("key"), "label")
     placed2 = classes.select("key", "doc").join(final, "key")
     least = placed2.groupBy("label").agg(F.min("doc").alias("component"))
-    names = stage(placed2.join(least, "label").select("key", "component"), "names")
-    firsts = classes.select("key", "doc").join(names, "key", "left").select("key", F.coalesce("component", "doc").alias("component"))
+    names = stage(placed2.join(least, "label").select("key", "component", "label"), "names")
+    firsts = classes.select("key", "doc").join(names, "key", "left").select("key", F.coalesce("component", "doc").alias("component"), F.coalesce("label", "key").alias("label"))
     firsts = stage(firsts, "firsts")
-    return (points.join(firsts, "key", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")))
+    return points.join(firsts, "key", "left").select("doc_id", "key", "n", "component", "label")
+
+
+def _keyed(column: pa.Array) -> pa.Array:
+    return pa.array([class_key(s) if len(s) else None for _, s in _sets(column)], pa.int64())
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of ``docs`` per component, the one with the least id, with all columns.
 
-    Rows that repeat an id stay once; rows without an id stay all.
+    An id with different texts is a row in each of their components.  Rows that
+    repeat id and words stay once; rows without an id stay all.
     """
-    found = stage(jaccard_classes(docs, id_col, text_col), "components")
-    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    named = docs.join(first, docs[id_col].cast("long") == F.col("__keep"), "left_semi").dropDuplicates([id_col])
+    found = stage(_classified(docs, id_col, text_col).where("doc_id IS NOT NULL"), "components")
+    first = found.where("key IS NOT NULL").groupBy("label").agg(F.min(F.struct("doc_id", "key")).alias("f")).select("f.*")
+    blank = found.where("key IS NULL").select("doc_id", F.lit(0).cast("long").alias("key")).distinct()
+    keep = first.unionByName(blank).select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"))
+    rows = carried(docs.where(F.col(id_col).isNotNull()), lambda batch: [batch.column(0), _keyed(batch.column(1))], "__id long, __key long",
+                   F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.select("row", "__id", F.coalesce("__key", F.lit(0).cast("long")).alias("__key"))
+    named = rows.join(keep, ["__id", "__key"], "left_semi").dropDuplicates(["__id", "__key"]).select("row.*")
     return named.unionByName(docs.where(F.col(id_col).isNull()))

@@ -8,7 +8,7 @@ import pytest
 from llm_cases import frame
 from pyspark.sql import functions as F
 
-from cdcflow.llm import langid, mixing, secret_scan, substring
+from cdcflow.llm import jaccard, langid, mixing, secret_scan, substring
 from cdcflow.llm.words import Words, text_buffers
 
 
@@ -150,3 +150,10 @@ def test_domains_with_few_labels_are_learnt_and_lost_ones_told(spark):
     assert model.domains == ["bad", "fine"]
     with pytest.raises(ValueError, match="odd"):
         mixing.by_weight({"fine": 0.5, "odd": 0.5})(model.domains, [1.0, 2.0])
+
+
+def test_an_id_with_two_texts_keeps_a_row_of_each_component(spark):
+    one, two, three = (" ".join(f"{c}{k}" for k in range(40)) for c in "abc")
+    rows = [(1, one), (1, two), (1, two), (2, one + " x"), (3, three), (3, one), (4, two), (5, ""), (5, three + " y")]
+    got = jaccard.representatives(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == sorted([(1, one), (1, two), (3, three), (5, "")])
