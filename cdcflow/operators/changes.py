@@ -12,8 +12,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cdcflow.operators.envelope import DELETE_OP
 
@@ -64,3 +65,55 @@ def purge_deletes(state: DataFrame, order_col: str, before, op_col: str = "__op"
     op = F.lower(F.col(f"`{op_col}`").cast("string"))
     forget = (op == DELETE_OP) & (F.col(f"`{order_col}`") < F.lit(before))
     return state.where(~F.coalesce(forget, F.lit(False)))
+
+
+def _key_field(df: DataFrame, name: str, kind: T.DataType, key_cols: Sequence[str], key_col: str) -> Column:
+    """Key field ``name`` as the record's own key has it, in type ``kind``."""
+    have = df.schema[key_col].dataType
+    key = F.col(f"`{key_col}`")
+    if isinstance(have, T.StructType):
+        if name not in have.fieldNames():
+            raise ValueError(f"the record key has no field {name!r}")
+        return key[name].cast(kind)
+    if len(key_cols) == 1:
+        # a text key is the value itself, or a JSON object of it
+        inner = F.get_json_object(key.cast("string"), f"$['{name}']") if isinstance(have, T.StringType) else F.lit(None)
+        return F.coalesce(F.when(key.cast("string").startswith("{"), inner.try_cast(kind)), key.try_cast(kind))
+    if not isinstance(have, T.StringType):
+        raise ValueError(f"a key of {len(key_cols)} fields must be a struct or JSON text, not {have.simpleString()}")
+    return F.get_json_object(key, f"$['{name}']").try_cast(kind)
+
+
+def keyed_changes(
+    topic: DataFrame,
+    key_cols: Sequence[str],
+    order_cols: Sequence[str],
+    key_col: str = "key",
+    value_col: str = "value",
+    op_col: str = "__op",
+) -> DataFrame:
+    """Records of a keyed topic (``key``, ``value`` struct or NULL) as changes.
+
+    A record without a value is a tombstone: it deletes its key.  It has no image
+    to order it by, so the order columns are columns of the topic (an offset, the
+    source's timestamp or sequence), beside key and value.  Key fields come from
+    the value, or from the record's key where there is none; a key column that the
+    value lacks always comes from the record's key.
+    """
+    kind = topic.schema[value_col].dataType
+    if not isinstance(kind, T.StructType):
+        raise ValueError(f"changes need a decoded value, not {kind.simpleString()}: bind the topic with value_schema or avro_schema")
+    lost = [c for c in order_cols if c not in topic.columns]
+    if lost:
+        raise ValueError(f"order column(s) {lost} are not columns of the topic: a tombstone has no value to take them from")
+    value = F.col(f"`{value_col}`")
+    gone = value.isNull()
+    types = {f.name: f.dataType for f in kind.fields}
+    keys = []
+    for k in key_cols:
+        own = _key_field(topic, k, types.get(k, T.StringType()), key_cols, key_col) if key_col in topic.columns else F.lit(None)
+        keys.append((F.when(gone, own).otherwise(value[k]) if k in types else own).alias(k))
+    taken = {*key_cols, *order_cols, op_col}
+    op = F.when(gone, F.lit(DELETE_OP)).otherwise(value[op_col].cast("string") if op_col in types else F.lit(None))
+    fields = [value[n].alias(n) for n in types if n not in taken]
+    return topic.select(*keys, *[F.col(f"`{c}`") for c in order_cols], op.alias(op_col), *fields)

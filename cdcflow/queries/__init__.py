@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cdcflow.queries import envelopes, lv1, mappings, scalars
+from cdcflow.queries import envelopes, lv1, mappings, scalars, states
 
-_MODULES = [lv1, scalars, envelopes, mappings]
+_MODULES = [lv1, scalars, envelopes, mappings, states]
 
 
 def all_queries() -> dict:

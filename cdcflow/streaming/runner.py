@@ -23,11 +23,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cdcflow.operators.changes import apply_changes
+from cdcflow.operators.changes import keyed_changes
 from cdcflow.operators.rejects import REJECT_COL
 from cdcflow.plans import build, spec
 from cdcflow.plans.context import Context
-from cdcflow.sources.topics import read_topic, write_topic
+from cdcflow.sources.topics import RAW_VALUE, read_topic, write_topic
+from cdcflow.streaming.state import BUCKETS, StateTable
 
 log = logging.getLogger("cdcflow.streaming")
 
@@ -104,30 +105,54 @@ def run_spec(
 
 
 def merge_batch(
-    batch: DataFrame, batch_id: int, path: str, key_cols: list[str], order_cols: list[str], op_col: str = "__op"
+    batch: DataFrame, batch_id: int, path: str, key_cols: list[str], order_cols: list[str], op_col: str = "__op", writer: str = "", buckets: int = BUCKETS
 ) -> DataFrame:
-    """Merge one micro-batch of changes into the state under ``path``; returns the new state.
+    """Merge one micro-batch of changes into the state under ``path``; returns the new state, deletes included.
 
-    Every batch writes a version of its own from the one before it, so a replayed
-    batch gives the same version again.  Versions before the last may be removed.
+    A batch that ``writer`` has merged before is not merged again.
     """
-    spark = batch.sparkSession
-    at = lambda n: f"{path}/version={n}"
-    old = spark.read.parquet(at(batch_id - 1)) if batch_id > 0 else None
-    apply_changes(old, batch, key_cols, order_cols, op_col).write.mode("overwrite").parquet(at(batch_id))
-    return spark.read.parquet(at(batch_id))
+    table = StateTable(batch.sparkSession, path, key_cols, order_cols, op_col, buckets)
+    table.merge(batch, batch_id, writer)
+    return table.read(with_deletes=True)
+
+
+def merge_topic(
+    batch: DataFrame, batch_id: int, table: StateTable, topic: str, bindings: dict, dead_letter_topic: str | None = None, writer: str = ""
+) -> None:
+    """Merge a micro-batch of topic records: values as changes, tombstones as deletes of their
+    key; values that did not decode go to the dead-letter topic, whatever becomes of the merge."""
+    batch, dead = build.undecodable(batch, {"sourceTopic": topic})
+    if dead is not None:
+        write_topic(dead, dead_letter_topic, bindings, batch_id, f"state-{topic}")
+    flat = "value" not in batch.columns
+    changes = batch if flat else keyed_changes(batch, table.key_cols, table.order_cols, op_col=table.op_col)
+    table.merge(changes, batch_id, writer)
 
 
 def start_state(
     spark: SparkSession, topic: str, bindings: dict, path: str, checkpoint: str,
     key_cols: list[str], order_cols: list[str], op_col: str = "__op", trigger: dict | None = None,
+    dead_letter_topic: str | None = None, buckets: int = BUCKETS,
 ) -> StreamingQuery:
-    """Keep the latest state per key of a topic of change records (flat or ``value`` structs)."""
+    """Keep the latest state per key of a topic of change records (flat, or ``key`` and ``value`` structs).
+
+    Tombstones delete their key; they need order columns beside the value (an
+    offset, the source's sequence).  A topic that is decoded on reading needs a
+    dead-letter topic.
+    """
     src = read_topic(spark, topic, bindings, streaming=True)
-    flat = src.where(F.col("value").isNotNull()).select("value.*") if "value" in src.columns else src
-    writer = flat.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda df, n: merge_batch(df, n, path, key_cols, order_cols, op_col) and None
-    )
+    if RAW_VALUE in src.columns and dead_letter_topic is None:
+        raise ValueError(f"values of topic {topic!r} may not decode: name a dead_letter_topic for them")
+    if "value" in src.columns:
+        keyed_changes(src.drop(RAW_VALUE), key_cols, order_cols, op_col=op_col)  # fails here, not in the first batch
+    table = StateTable(spark, path, key_cols, order_cols, op_col, buckets)
+
+    def each(df: DataFrame, n: int) -> None:
+        # the query's own id: batches of another checkpoint are not taken for replays
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+        merge_topic(df, n, table, topic, bindings, dead_letter_topic, query)
+
+    writer = src.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
