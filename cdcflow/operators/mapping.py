@@ -5,7 +5,11 @@ A ``Mapping`` is an ordered list of ``Rule(output, build)``; ``build`` turns a
 compiles every rule into one ``select``, so Catalyst prunes and collapses the
 projection and the whole mapping runs in generated code.
 
-* A NULL rule result leaves the field unset (NULL).
+* A NULL rule result leaves the field unset: NULL, or the field's declared default
+  (``default`` in the metadata of the schema's field).
+* A value that does not fit its field's declared type turns the row into a reject
+  with context ``field_mapping`` that names field and value (``operators.typed``);
+  it never fails the job.
 * An output that the target schema does not declare is an error at plan time.
 * A non-nullable target field that ends up NULL turns the row into a reject
   with context ``field_mapping`` (deviation: the original crashes at write).
@@ -22,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdcflow.functions import idfn, jsonval, text, timefn
+from cdcflow.operators import typed
 from cdcflow.operators.rejects import CTX_MAPPING, REJECT_COL, add_reject, reject
 
 OP_FIELD = "__op"
@@ -176,6 +181,7 @@ class Mapping:
         return name in self.schema.fieldNames()
 
     def columns(self, rec: Record) -> list[Column]:
+        """What the rules give for each declared field, in its own type."""
         by_name = {r.output: r for r in self.rules}
         cols = []
         for f in self.schema.fields:
@@ -185,9 +191,16 @@ class Mapping:
                 c = F.col(OP_FIELD)
             else:
                 c = F.lit(None)
-            cols.append(c.cast(f.dataType).alias(f.name))
+            cols.append(c)
         return cols
 
+    @staticmethod
+    def _value(c: Column, have: T.DataType, f: T.StructField) -> Column:
+        out = typed.converted(c, have, f.dataType)
+        if "default" in f.metadata:
+            out = F.when(c.isNull(), F.lit(f.metadata["default"]).cast(f.dataType)).otherwise(out)
+        return out.alias(f.name)
+
     def apply(
         self,
         df: DataFrame,
@@ -211,10 +224,23 @@ class Mapping:
             payload = F.to_json(payload)  # a decoded record: JSON, not a printed struct
         passthrough = [F.col(f"`{k}`") for k in keep if k in cols and not self.declares(k)]
         rej = F.col(REJECT_COL) if REJECT_COL in cols else F.lit(None)
-        mapped_cols = self.columns(rec)  # registers the JSON fields the rules read
+        given = self.columns(rec)  # registers the JSON fields the rules read
         if rec.texts:
             df = df.select("*", *[jsonval.json_text(data, f).alias(a) for f, a in rec.texts.items()])
-        mapped = df.select(*passthrough, *mapped_cols, rej.alias(REJECT_COL), payload.alias("_payload"))
+        fields = self.schema.fields
+        types = [f.dataType for f in df.select(*[c.alias(f"_v{i}") for i, c in enumerate(given)]).schema.fields]
+        checked = [typed.misfit(F.col(f"_v{i}"), have, f.dataType) for i, (f, have) in enumerate(zip(fields, types))]
+        if all(m is None for m in checked):
+            values = [self._value(c, have, f) for c, have, f in zip(given, types, fields)]
+            mapped = df.select(*passthrough, *values, rej.alias(REJECT_COL), payload.alias("_payload"))
+        else:
+            # rule results once each below, checks and conversions above them
+            below = [c.alias(f"_v{i}") for i, c in enumerate(given)]
+            mapped = df.select(*passthrough, *below, rej.alias(REJECT_COL), payload.alias("_payload"))
+            whys = [F.when(m, typed.reason(f.name, F.col(f"_v{i}"), types[i], f.dataType)) for i, (f, m) in enumerate(zip(fields, checked)) if m is not None]
+            values = [self._value(F.col(f"_v{i}"), types[i], f) for i, f in enumerate(fields)]
+            mapped = mapped.select(*passthrough, *values, REJECT_COL, "_payload", F.coalesce(*whys).alias("_why"))
+            mapped = add_reject(mapped, F.col("_why").isNotNull(), reject(F.col("_payload"), F.col("_why"), CTX_MAPPING, now)).drop("_why")
         for f in self.schema.fields:
             if not f.nullable and f.name != PROCESSED_AT_FIELD:
                 mapped = add_reject(

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cdcflow.queries import envelopes, lv1, mappings, scalars, states
+from cdcflow.queries import checks, envelopes, lv1, mappings, scalars, states
 
-_MODULES = [lv1, scalars, envelopes, mappings, states]
+_MODULES = [lv1, scalars, envelopes, mappings, states, checks]
 
 
 def all_queries() -> dict:
