@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from cdcflow.functions import idfn, jsonval, text, timefn
 from cdcflow.operators import typed
 from cdcflow.operators.rejects import CTX_MAPPING, REJECT_COL, add_reject, reject
+from cdcflow.sources.topiclog import SEQ_COL
 
 OP_FIELD = "__op"
 PROCESSED_AT_FIELD = "__processed_at"
@@ -222,7 +223,7 @@ class Mapping:
             payload = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != REJECT_COL and df.schema[c].dataType.typeName() != "variant"]))
         elif not isinstance(df.select(payload).schema[0].dataType, T.StringType):
             payload = F.to_json(payload)  # a decoded record: JSON, not a printed struct
-        passthrough = [F.col(f"`{k}`") for k in keep if k in cols and not self.declares(k)]
+        passthrough = [F.col(f"`{k}`") for k in dict.fromkeys([*keep, SEQ_COL]) if k in cols and not self.declares(k)]
         rej = F.col(REJECT_COL) if REJECT_COL in cols else F.lit(None)
         given = self.columns(rec)  # registers the JSON fields the rules read
         if rec.texts:

@@ -18,10 +18,17 @@ from cdcflow.operators.mapping import PROCESSED_AT_FIELD
 from cdcflow.plans import registry
 from cdcflow.plans import samples as _samples  # noqa: F401  (registers the sample mappers)
 from cdcflow.plans.context import Context
-from cdcflow.sources.topics import RAW_VALUE
+from cdcflow.sources.topics import RAW_VALUE, SEQ_COL
 
 STRUCT_FORMAT = "AVRO"
-TOPIC_COLUMNS = {"key", "value", "headers", "timestamp", "topic", "partition", "offset", "batch_id", "writer", "_raw_value"}
+TOPIC_COLUMNS = {"key", "value", "headers", "timestamp", "topic", "partition", "offset", "batch_id", "writer", "_raw_value", SEQ_COL}
+
+
+def sequenced(df: DataFrame) -> DataFrame:
+    """Topic records with their offset, where they have one, as the sequence that sinks order a key's records by."""
+    if SEQ_COL in df.columns or "offset" not in df.columns:
+        return df
+    return df.withColumn(SEQ_COL, F.col("offset"))
 
 
 def normalize_source(df: DataFrame, defn: dict, ctx: Context) -> DataFrame:
@@ -41,7 +48,7 @@ def normalize_source(df: DataFrame, defn: dict, ctx: Context) -> DataFrame:
         raise ValueError(f"records of {defn.get('sourceTopic')!r} are {kind}: bind the topic with value_schema or avro_schema")
     flat = envelope.drop_tombstones(df, "value")
     if kind == "struct":
-        flat = flat.select("key", "value.*")
+        flat = flat.select("key", "value.*", *([SEQ_COL] if SEQ_COL in flat.columns else []))
     return flat
 
 
@@ -74,19 +81,20 @@ def dead_letter_rejects(dead: DataFrame, defn: dict, ctx: Context) -> DataFrame:
 
 @dataclass
 class Routed:
-    success: DataFrame  # key + target fields
+    success: DataFrame  # key + target fields (+ the source's sequence)
     rejects: DataFrame  # key (text) + reject record
 
 
 def route(refined: DataFrame, defn: dict) -> Routed:
     schema = registry.get_schema(defn["schemaName"], defn.get("group"))
     fields = schema.fieldNames()
-    good = rejects.successes(refined).select("key", *[F.col(f"`{f}`") for f in fields])
+    seq = [SEQ_COL] if SEQ_COL in refined.columns else []
+    good = rejects.successes(refined).select("key", *[F.col(f"`{f}`") for f in fields], *seq)
     bad = rejects.rejects(refined, "key")
     body = good.drop("key")
     if str(defn.get("keyType") or "").lower() == "string":
         keyed = keys.string_key(body, defn.get("primaryKeyFields") or [], defn.get("keyFormat"))
     else:
         keyed = keys.struct_key(body, defn.get("primaryKeyFields") or [])
-    return Routed(keyed.select("key", *[F.col(f"`{f}`") for f in fields]), bad)
+    return Routed(keyed.select("key", *[F.col(f"`{f}`") for f in fields], *seq), bad)
 

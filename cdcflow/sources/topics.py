@@ -14,10 +14,12 @@ and are told apart from tombstones by it (see ``rejects.dead_letters``).
 Start position and delivery: Kafka sources start at ``latest`` unless the
 binding says otherwise (the streaming checkpoint then owns the offsets);
 file sources process files not yet seen by the checkpoint.  Sinks are
-at-least-once.  A replayed micro-batch overwrites its folder of a file topic, so
-a reader of the finished topic sees it once, but a streaming reader that had
-already taken the first attempt's files takes the new ones too: order by the
-record's own sequence downstream (``changes.apply_changes`` is unaffected).
+at-least-once, but for file topics with a commit log (``log: true``), whose readers
+see every batch once and get partitions and offsets (``topiclog``).  Without a log a
+replayed micro-batch overwrites its folder, so a reader of the finished topic sees
+it once, but a streaming reader that had already taken the first attempt's files
+takes the new ones too: order by the record's own sequence downstream
+(``changes.apply_changes`` is unaffected).
 """
 
 from __future__ import annotations
@@ -28,6 +30,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cdcflow.sources import topiclog
+from cdcflow.sources.topiclog import SEQ_COL
+
 KAFKA = "kafka"
 DEFAULT_STARTING_OFFSETS = "latest"
 
@@ -41,6 +46,8 @@ class TopicBinding:
     value_format: str = "json"  # kafka only: json text or avro
     value_schema: T.StructType | str | None = None  # decodes JSON text values
     avro_schema: str | None = None  # decodes Avro binary values
+    log: bool = False  # file topics: commit log, keyed partitions and offsets (``topiclog``)
+    partitions: int = 8  # of a topic with a log
 
 
 def _binding(bindings: dict, topic: str) -> TopicBinding:
@@ -75,11 +82,27 @@ def decoded(df: DataFrame, b: TopicBinding) -> DataFrame:
 
 
 def read_topic(spark: SparkSession, topic: str, bindings: dict, streaming: bool = False) -> DataFrame:
-    """DataFrame of ``key`` + ``value`` (+ ``headers``/``timestamp`` for Kafka), decoded."""
+    """DataFrame of ``key`` + ``value`` (+ ``headers``/``timestamp`` for Kafka), decoded.
+
+    The stream of a topic with a commit log is its log: give each micro-batch to ``opened``.
+    """
     b = _binding(bindings, topic)
+    if b.log:
+        entries = topiclog.read_log(spark, b.path, b.options, streaming)
+        return entries if streaming else opened(entries, topic, bindings)
     return decoded(_read_raw(spark, topic, b, streaming), b)
 
 
+def opened(batch: DataFrame, topic: str, bindings: dict) -> DataFrame:
+    """A micro-batch as records: the commits of a topic's log are read and decoded, records stay as they are."""
+    if not topiclog.is_log(batch):
+        return batch
+    b = _binding(bindings, topic)
+    options = {k: v for k, v in b.options.items() if not k.lower().startswith("max")}
+    rows = topiclog.expand(batch, b.path, b.format, options, b.schema)
+    return decoded(topiclog.empty(batch.sparkSession, b.schema) if rows is None else rows, b)
+
+
 def _read_raw(spark: SparkSession, topic: str, b: TopicBinding, streaming: bool) -> DataFrame:
     if b.format == KAFKA:
         opts = {"subscribe": topic, "startingOffsets": DEFAULT_STARTING_OFFSETS, "includeHeaders": "true", **b.options}
@@ -118,8 +141,11 @@ def write_topic(
     several pipelines can write one topic.
     """
     b = _binding(bindings, topic)
-    fields = [c for c in df.columns if c != "key"]
+    seq = SEQ_COL in df.columns
+    fields = [c for c in df.columns if c not in ("key", SEQ_COL)]
     if b.format == KAFKA:
+        if seq:  # records of a key leave in the source's order
+            df = df.repartition(F.col("key")).sortWithinPartitions(SEQ_COL)
         key_is_struct = isinstance(df.schema["key"].dataType, T.StructType)
         key = F.to_json(F.col("key")) if key_is_struct else F.col("key").cast("string")
         out = df.select(
@@ -128,8 +154,15 @@ def write_topic(
         )
         out.write.format(KAFKA).options(topic=topic, **b.options).save()
         return
-    out = df.select("key", F.struct(*[F.col(f"`{c}`") for c in fields]).alias("value")) if "value" not in df.columns else df
+    body = F.col("value") if "value" in df.columns else F.struct(*[F.col(f"`{c}`") for c in fields])
     path = b.path
+    if b.log:
+        if batch_id is None:
+            raise ValueError(f"topic {topic!r} keeps a commit log: name the batch that is written")
+        out = df.select("key", body.alias("value"), *([SEQ_COL] if seq else []))
+        topiclog.write(out, path, b.format, b.options, b.partitions, writer or "default", batch_id)
+        return
+    out = df.drop(SEQ_COL) if "value" in df.columns else df.select("key", body.alias("value"))
     if batch_id is not None:
         path = f"{path}/writer={writer or 'default'}/batch_id={batch_id}"
     out.write.mode("overwrite" if batch_id is not None else "append").format(b.format).options(**b.options).save(path)

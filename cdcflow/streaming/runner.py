@@ -7,7 +7,8 @@ record, and batch-only operators (the address match's distinct/aggregate,
 lookup joins) need no streaming state.  The refined micro-batch is persisted
 once and written to both the destination and the fail topic.
 
-A source read by several definitions (fan-out) simply feeds several queries.
+A source read by several definitions (fan-out) feeds several queries, or one
+``FanOut`` that reads and decodes each micro-batch once for all of them.
 ``supervise`` restarts a failed query from its checkpoint.  Reference tables are
 prepared again as the context's refresh interval says, by default per micro-batch.
 """
@@ -27,7 +28,9 @@ from cdcflow.operators.changes import keyed_changes
 from cdcflow.operators.rejects import REJECT_COL
 from cdcflow.plans import build, spec
 from cdcflow.plans.context import Context
-from cdcflow.sources.topics import RAW_VALUE, read_topic, write_topic
+from cdcflow.sources import files
+from cdcflow.sources.topiclog import is_log
+from cdcflow.sources.topics import RAW_VALUE, opened, read_topic, write_topic
 from cdcflow.streaming.state import BUCKETS, StateTable
 
 log = logging.getLogger("cdcflow.streaming")
@@ -38,6 +41,7 @@ GROUP_ORDER = ("lv1", "api", "lv2")
 def process_batch(batch: DataFrame, batch_id: int, defn: dict, ctx: Context, bindings: dict) -> dict:
     """Refine one micro-batch and write successes and rejects; returns counts."""
     ctx.refresh()
+    batch = build.sequenced(opened(batch, defn["sourceTopic"], bindings) if defn.get("sourceTopic") in bindings else batch)
     obs = Observation(f"progress_{defn['name']}_{batch_id}")
     batch, dead = build.undecodable(batch, defn)
     refined = build.refine(batch, defn, ctx)
@@ -86,6 +90,96 @@ def start_pipeline(
     return writer.start()
 
 
+class FanOut:
+    """One reader of a source topic for all definitions that take it.
+
+    A micro-batch is read and decoded once, persisted, and refined for every
+    definition.  A definition that fails neither stops nor repeats the others: the
+    batch is set aside for it (``backlog/<definition>/<batch>``) and given to it
+    again, alone and in order, before its next batch; until then it falls behind.
+    Marks of finished batches (``done/<definition>``) keep a replayed micro-batch from
+    being written again.  With ``most_behind`` batches waiting, a definition's
+    failure fails the query.
+    """
+
+    def __init__(self, spark: SparkSession, topic: str, defns: list[dict], ctx: Context, bindings: dict, root: str, most_behind: int = 100):
+        self.spark, self.topic, self.defns, self.ctx, self.bindings = spark, topic, defns, ctx, bindings
+        self.root, self.most_behind = root.rstrip("/"), most_behind
+        self.lock = threading.Lock()
+
+    def _done(self, name: str) -> int:
+        marks = [int(n) for n in files.names(self.spark, f"{self.root}/done/{name}") if n.isdigit()]
+        return max(marks, default=-1)
+
+    def _finish(self, name: str, batch_id: int) -> None:
+        before = self._done(name)
+        files.write_once(self.spark, f"{self.root}/done/{name}/{batch_id}", "")
+        if before >= 0 and before != batch_id:
+            files.remove(self.spark, f"{self.root}/done/{name}/{before}")
+
+    def waiting(self, name: str) -> list[int]:
+        """Batches set aside for a definition, oldest first."""
+        done, at = self._done(name), f"{self.root}/backlog/{name}"
+        return sorted(int(n) for n in files.names(self.spark, at) if n.isdigit() and int(n) > done and files.exists(self.spark, f"{at}/{n}/_SUCCESS"))
+
+    def _try(self, batch: DataFrame, batch_id: int, defn: dict) -> Exception | None:
+        try:
+            process_batch(batch, batch_id, defn, self.ctx, self.bindings)
+        except Exception as e:  # noqa: BLE001  (whatever a destination does must not stop the others)
+            log.warning("[%s] batch %s of %s failed: %s", defn["name"], batch_id, self.topic, e)
+            return e
+        self._finish(defn["name"], batch_id)
+        return None
+
+    def retry(self, defn: dict) -> bool:
+        """Give a definition the batches that wait for it; true if none is left."""
+        for n in self.waiting(defn["name"]):
+            path = f"{self.root}/backlog/{defn['name']}/{n}"
+            if self._try(self.spark.read.parquet(path), n, defn) is not None:
+                return False
+            files.remove(self.spark, path)
+        return True
+
+    def process(self, batch: DataFrame, batch_id: int) -> dict[str, str]:
+        """Route one micro-batch to every definition; returns what became of it, by definition."""
+        out = {}
+        batch = build.sequenced(opened(batch, self.topic, self.bindings)).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for defn in self.defns:
+                name = defn["name"]
+                if batch_id <= self._done(name):
+                    out[name] = "done before"
+                    continue
+                if batch_id in self.waiting(name):
+                    out[name] = "done" if self.retry(defn) else "waits"
+                    continue
+                error = None if self.retry(defn) else RuntimeError("earlier batches wait")
+                if error is None:
+                    error = self._try(batch, batch_id, defn)
+                if error is not None:
+                    if len(self.waiting(name)) >= self.most_behind:
+                        raise error
+                    batch.write.mode("overwrite").parquet(f"{self.root}/backlog/{name}/{batch_id}")
+                out[name] = "done" if error is None else "waits"
+        finally:
+            batch.unpersist()
+        return out
+
+    def start(self, trigger: dict | None = None) -> StreamingQuery:
+        src = read_topic(self.spark, self.topic, self.bindings, streaming=True)
+        writer = (src.writeStream.queryName(f"fanout-{self.topic}").option("checkpointLocation", f"{self.root}/checkpoint")
+                  .foreachBatch(lambda df, n: self.process(df, n) and None))
+        return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def fan_outs(spark: SparkSession, defns: list[dict], ctx: Context, bindings: dict, checkpoint_root: str) -> dict[str, FanOut]:
+    """One ``FanOut`` per source topic of some definitions, by topic."""
+    by_topic: dict[str, list[dict]] = {}
+    for d in defns:
+        by_topic.setdefault(d["sourceTopic"], []).append(d)
+    return {t: FanOut(spark, t, ds, ctx, bindings, f"{checkpoint_root}/fanout-{t}") for t, ds in by_topic.items()}
+
+
 def run_spec(
     spark: SparkSession,
     spec_text: str | None,
@@ -121,7 +215,7 @@ def merge_topic(
 ) -> None:
     """Merge a micro-batch of topic records: values as changes, tombstones as deletes of their
     key; values that did not decode go to the dead-letter topic, whatever becomes of the merge."""
-    batch, dead = build.undecodable(batch, {"sourceTopic": topic})
+    batch, dead = build.undecodable(opened(batch, topic, bindings), {"sourceTopic": topic})
     if dead is not None:
         write_topic(dead, dead_letter_topic, bindings, batch_id, f"state-{topic}")
     flat = "value" not in batch.columns
@@ -141,10 +235,11 @@ def start_state(
     dead-letter topic.
     """
     src = read_topic(spark, topic, bindings, streaming=True)
-    if RAW_VALUE in src.columns and dead_letter_topic is None:
+    shape = read_topic(spark, topic, bindings) if is_log(src) else src
+    if RAW_VALUE in shape.columns and dead_letter_topic is None:
         raise ValueError(f"values of topic {topic!r} may not decode: name a dead_letter_topic for them")
-    if "value" in src.columns:
-        keyed_changes(src.drop(RAW_VALUE), key_cols, order_cols, op_col=op_col)  # fails here, not in the first batch
+    if "value" in shape.columns:
+        keyed_changes(shape.drop(RAW_VALUE), key_cols, order_cols, op_col=op_col)  # fails here, not in the first batch
     table = StateTable(spark, path, key_cols, order_cols, op_col, buckets)
 
     def each(df: DataFrame, n: int) -> None:
@@ -167,35 +262,42 @@ def supervise(
     """Keep queries running until all stopped cleanly or ``stop`` is set.
 
     ``starters`` maps a query name to a zero-argument start function.  A query that
-    fails starts again from its checkpoint, at once and then after doubling waits
+    fails, while it runs or when it is started, starts again from its checkpoint, at once and then after doubling waits
     up to ``longest_wait``; a finished micro-batch resets its wait.  With
     ``max_restarts`` a query that fails so often in a row without progress raises.
     Every query still running is stopped on the way out.
     """
     stop = stop or threading.Event()
-    running = {name: start() for name, start in starters.items()}
+    running: dict = {}
     failures = dict.fromkeys(starters, 0)
-    due: dict[str, float] = {}
+    due = {name: time.monotonic() for name in starters}
+
+    def failed(name: str, err) -> None:
+        failures[name] += 1
+        if max_restarts is not None and failures[name] > max_restarts:
+            raise RuntimeError(f"query {name} failed {failures[name]} times in a row: {err}") from None
+        wait = 0.0 if failures[name] == 1 else min(longest_wait, 2.0 ** (failures[name] - 2))
+        log.warning("restarting %s in %.0f s after failure: %s", name, wait, err)
+        due[name] = time.monotonic() + wait
+
     try:
         while (running or due) and not stop.is_set():
+            for name in [n for n, t in due.items() if t <= time.monotonic()]:
+                del due[name]
+                try:
+                    running[name] = starters[name]()
+                except Exception as e:  # noqa: BLE001  (one query's start must not stop the others)
+                    failed(name, e)
             for name, q in list(running.items()):
                 if q.lastProgress is not None:  # a finished micro-batch
                     failures[name] = 0
                 if q.isActive:
                     continue
                 del running[name]
-                if (err := q.exception()) is None:
-                    continue
-                failures[name] += 1
-                if max_restarts is not None and failures[name] > max_restarts:
-                    raise RuntimeError(f"query {name} failed {failures[name]} times in a row") from None
-                wait = 0.0 if failures[name] == 1 else min(longest_wait, 2.0 ** (failures[name] - 2))
-                log.warning("restarting %s in %.0f s after failure: %s", name, wait, err)
-                due[name] = time.monotonic() + wait
-            for name in [n for n, t in due.items() if t <= time.monotonic()]:
-                del due[name]
-                running[name] = starters[name]()
-            stop.wait(poll_seconds)
+                if (err := q.exception()) is not None:
+                    failed(name, err)
+            if running or due:
+                stop.wait(poll_seconds)
     finally:
         for q in running.values():
             q.stop()
