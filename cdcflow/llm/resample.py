@@ -185,10 +185,20 @@ def _texts(table: DataFrame) -> DataFrame:
 
 
 def dictionary(corpus: DataFrame, target: DataFrame, words: int = WORDS) -> list[bytes]:
-    """The most frequent words of both tables, ties to the lesser; at most ``words`` rows reach the driver."""
+    """The most frequent words of both tables, ``words`` at most.
+
+    Counts fall into cells of about a tenth; the cells from the top that hold no more
+    than ``words`` words together are taken, so a few hundred cells and at most
+    ``words`` words reach the driver, whatever the vocabulary.
+    """
     counts = _texts(corpus).unionByName(_texts(target)).mapInArrow(_count_words, "word binary, n long")
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(words)
-    return [bytes(r["word"]) for r in top.select("word").collect()]
+    held = stage(counts.groupBy("word").agg(F.sum("n").alias("n")).select("word", F.floor(F.log2(F.col("n")) * 8).cast("int").alias("cell")), "vocabulary")
+    least, left = None, words
+    for r in sorted(held.groupBy("cell").count().collect(), reverse=True):
+        if r["count"] > left:
+            break
+        least, left = r["cell"], left - r["count"]
+    return [] if least is None else sorted(bytes(r["word"]) for r in held.where(F.col("cell") >= least).select("word").collect())
 
 
 def bucket_counts(table: DataFrame, key: str, words) -> np.ndarray:
