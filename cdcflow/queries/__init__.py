@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cdcflow.queries import checks, envelopes, lv1, mappings, scalars, states
+from cdcflow.queries import checks, envelopes, lv1, mappings, scalars, states, topics
 
-_MODULES = [lv1, scalars, envelopes, mappings, states, checks]
+_MODULES = [lv1, scalars, envelopes, mappings, states, checks, topics]
 
 
 def all_queries() -> dict:
