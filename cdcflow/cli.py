@@ -25,11 +25,12 @@ import threading
 import yaml
 from pyspark.sql import SparkSession
 
+from cdcflow.operators.pushed import FileReference, JdbcReference
 from cdcflow.plans import spec as spec_mod
 from cdcflow.plans.context import Context
 from cdcflow.session import CHECKPOINT_CONF
 from cdcflow.sources.topics import TopicBinding, read_jdbc_table
-from cdcflow.streaming.runner import GROUP_ORDER, start_pipeline, supervise
+from cdcflow.streaming.runner import GROUP_ORDER, fan_outs, start_pipeline, supervise
 
 
 def _reader(spark: SparkSession, c: dict):
@@ -48,6 +49,15 @@ def _reader(spark: SparkSession, c: dict):
     return read
 
 
+def _table(spark: SparkSession, c: dict):
+    """A reference table of the bindings; with ``keyed: true`` lookups read what a batch's keys need."""
+    if not c.get("keyed"):
+        return _reader(spark, c)
+    if c.get("format") == "jdbc" and "url" in c:
+        return JdbcReference(spark, c["url"], c["table"], c.get("options") or {}, c.get("partition_column"), c.get("num_partitions"))
+    return FileReference(_reader(spark, c))
+
+
 def run(args: argparse.Namespace) -> None:
     with open(args.bindings, encoding="utf-8") as fh:
         conf = yaml.safe_load(fh) or {}
@@ -57,7 +67,7 @@ def run(args: argparse.Namespace) -> None:
         raise SystemExit(f"set 'checkpoint' in the bindings or {CHECKPOINT_CONF}")
     bindings = {name: TopicBinding(**b) for name, b in (conf.get("topics") or {}).items()}
     key_conf = conf.get("protect_key_conf", "cdcflow.protect.key")
-    tables = {name: _reader(spark, c) for name, c in (conf.get("tables") or {}).items()}
+    tables = {name: _table(spark, c) for name, c in (conf.get("tables") or {}).items()}
     ctx = Context(spark=spark, tables=tables, protect_key=spark.conf.get(key_conf, None), refresh_seconds=conf.get("refresh_seconds", 0))
     stop = threading.Event()
     for sig in (signal.SIGTERM, signal.SIGINT):
@@ -68,6 +78,9 @@ def run(args: argparse.Namespace) -> None:
     root = os.path.join(checkpoint, "queries")
 
     def starters(groups):
+        if conf.get("shared_reads"):  # one query per source topic
+            outs = fan_outs(spark, [d for g in groups for d in defs[g]], ctx, bindings, root)
+            return {f"fanout-{t}": (lambda f=f: f.start(trigger)) for t, f in outs.items()}
         return {
             d["name"]: (lambda d=d: start_pipeline(spark, d, ctx, bindings, root, trigger))
             for g in groups

@@ -44,7 +44,7 @@ def prepare_reference(ref: DataFrame, ref_keys: Sequence[str], value_col: str, o
     return dedupe_reference(ref.select(*cols), ref_keys, value_col, order_col).hint("rebalance")
 
 
-def _comparable(name: str, have: T.DataType, want: T.DataType) -> Column:
+def comparable(name: str, have: T.DataType, want: T.DataType) -> Column:
     """A key as the reference compares it: text by text, anything else in the reference's type."""
     c = F.col(name)
     if isinstance(want, T.StringType):
@@ -81,7 +81,7 @@ def lookup(
         F.when(F.col(ref_keys[0]).isNotNull(), F.lit(0)).alias(salt),  # depends on a column: not folded away
     )
     left = df.select("*", *[k.alias(t) for k, t in zip(keys, tmp)])
-    left = left.withColumns({t: _comparable(t, left.schema[t].dataType, right.schema[t].dataType) for t in tmp})
+    left = left.withColumns({t: comparable(t, left.schema[t].dataType, right.schema[t].dataType) for t in tmp})
     known = F.lit(True)
     for t in tmp:
         known = known & F.col(t).isNotNull()

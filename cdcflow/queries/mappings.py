@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcflow.operators import address, envelope, keys, lookup, mapping as m, protect
+from cdcflow.operators import address, envelope, keys, lookup, mapping as m, protect, pushed
 from cdcflow.plans import build
 from cdcflow.queries import duck, fixtures
 from cdcflow.queries.common import PROCESSED_AT_MS, SAMPLE_KEY, context, definition, now_col
@@ -284,6 +284,21 @@ LEFT JOIN (SELECT l_orderkey, l_returnflag AS first_flag FROM (
 """
 
 
+def lookup_pushed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookups of ``lookup_enrich`` in three micro-batches, each reading what its keys need:
+    listed keys for two of them, key ranges for the third."""
+    orders = fixtures.read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    customers = pushed.FileReference(lambda: fixtures.read(spark, sf_dir, "customer"))
+    lines = pushed.FileReference(lambda: fixtures.read(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_linenumber", f"{FIRST_FLAG} AS l_returnflag"))
+    out = None
+    for n, at_most in enumerate((pushed.AT_MOST, pushed.AT_MOST, 0)):
+        batch = orders.where(F.col("o_orderkey") % 3 == n)
+        batch = pushed.lookup_pushed(batch, [F.col("o_custkey")], customers, ["c_custkey"], "c_name", "c_name", at_most=at_most)
+        batch = pushed.lookup_pushed(batch, [F.col("o_orderkey")], lines, ["l_orderkey"], "l_returnflag", "first_flag", order_col="l_linenumber", at_most=at_most)
+        out = batch if out is None else out.unionByName(batch)
+    return out.select("o_orderkey", "o_custkey", "c_name", "first_flag")
+
+
 def lookup_enrich_compound(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = fixtures.read(spark, sf_dir, "lineitem")
     src = li.select("l_orderkey", "l_linenumber")
@@ -490,6 +505,7 @@ QUERIES = {
     "map_cache_entry": map_cache_entry,
     "union_channels": union_channels,
     "lookup_enrich": lookup_enrich,
+    "lookup_pushed": lookup_pushed,
     "lookup_enrich_compound": lookup_enrich_compound,
     "protect_roundtrip": protect_roundtrip,
     "address_match": address_match,
@@ -512,6 +528,7 @@ ORACLE = {
     "map_cache_entry": CACHE_ORACLE,
     "union_channels": UNION_ORACLE,
     "lookup_enrich": LOOKUP_ORACLE,
+    "lookup_pushed": LOOKUP_ORACLE,
     "lookup_enrich_compound": LOOKUP_COMPOUND_ORACLE,
     "protect_roundtrip": PROTECT_ORACLE,
     "address_match": ADDRESS_MATCH_ORACLE,

@@ -40,9 +40,17 @@ GROUP_ORDER = ("lv1", "api", "lv2")
 
 def process_batch(batch: DataFrame, batch_id: int, defn: dict, ctx: Context, bindings: dict) -> dict:
     """Refine one micro-batch and write successes and rejects; returns counts."""
-    ctx.refresh()
+    with ctx.batch():
+        return _process(batch, batch_id, defn, ctx, bindings)
+
+
+def _process(batch: DataFrame, batch_id: int, defn: dict, ctx: Context, bindings: dict) -> dict:
     batch = build.sequenced(opened(batch, defn["sourceTopic"], bindings) if defn.get("sourceTopic") in bindings else batch)
     obs = Observation(f"progress_{defn['name']}_{batch_id}")
+    source = batch
+    mine = not batch.is_cached and any(hasattr(t, "rows") for t in ctx.tables.values())
+    if mine:  # keys are read before rows are refined
+        source = batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     batch, dead = build.undecodable(batch, defn)
     refined = build.refine(batch, defn, ctx)
     op = F.col("__op") if "__op" in refined.columns else F.lit(None)
@@ -67,6 +75,8 @@ def process_batch(batch: DataFrame, batch_id: int, defn: dict, ctx: Context, bin
         metrics = obs.get
     finally:
         refined.unpersist()
+        if mine:
+            source.unpersist()
     log.info("[%s] batch %s -> %s: %s", defn["name"], batch_id, defn["destinationTopic"], metrics)
     return metrics
 
