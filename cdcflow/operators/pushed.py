@@ -18,6 +18,7 @@ The rows read may be more than asked for, never fewer: the join on the key decid
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from typing import Protocol
@@ -30,19 +31,19 @@ from cdcflow.operators.lookup import comparable, lookup
 
 AT_MOST = 10_000  # keys listed one by one
 CHUNK = 500       # keys of one JDBC query
+_PLAIN = re.compile(r"[A-Za-z0-9 _.:@-]*")
 
 
 def _among(name: str, c: Column, kind: T.DataType, values: list) -> Column:
     """``c IN (values)`` as literals of the column's own type: a cast would keep the filter from the scan."""
     if isinstance(kind, T.StringType):
-        texts = [v.replace("\\", "\\\\").replace("'", "\\'") for v in values]
+        # anything but plain text by its bytes, which folds to a literal: no escaping rules to get wrong
+        texts = [f"'{v}'" if _PLAIN.fullmatch(v) else f"CAST(X'{v.encode().hex()}' AS STRING)" for v in values]
     elif isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        texts = [str(v) for v in values]
+        texts = [str(v) + {"bigint": "L", "smallint": "S", "tinyint": "Y"}.get(kind.simpleString(), "") for v in values]
     else:
         return c.isin(*[F.lit(v).cast(kind) for v in values])
-    tag = {"string": "", "bigint": "L", "smallint": "S", "tinyint": "Y"}.get(kind.simpleString(), "")
-    # one SQL text: thousands of literal calls take seconds
-    return F.expr(f"`{name}` IN ({', '.join(f"'{t}'" if isinstance(kind, T.StringType) else t + tag for t in texts)})")
+    return F.expr(f"`{name}` IN ({', '.join(texts)})")  # one SQL text: thousands of literal calls take seconds
 
 
 @dataclass
