@@ -38,7 +38,7 @@ def corpus(seed=3):
 
 
 def frame(spark, rows, clash=False, lang="en"):
-    data = [(i, t, lang if i % 2 else None, f"src{i % 3}", len(t) if t else None) for i, t in rows]
+    data = [(i, t, lang if (i or 0) % 2 else None, f"src{(i or 0) % 3}", len(t) if t else None) for i, t in rows]
     df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
     if clash:
         from pyspark.sql import functions as F
