@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cdcflow.functions._util import as_col, lit_or_col
 from cdcflow.functions.jsonval import json_text
-from cdcflow.functions.text import java_trim
+from cdcflow.functions.text import _let, java_trim
 
 # ---------------------------------------------------------------------------
 # Fixed values that results depend on.
@@ -23,6 +23,8 @@ BASE64_SHAPE = r"^([A-Za-z0-9+/]{4})*([A-Za-z0-9+/]{2}(==)?|[A-Za-z0-9+/]{3}=?)?
 # ---------------------------------------------------------------------------
 
 _LIMB = 1_000_000_000  # base of the decimal limbs used by decode_sequence
+_WORD = 1 << 32        # and of the binary words
+WORD_DIGITS = 8        # hex digits of a word
 
 
 def yn_to_boolean(c: Column | str) -> Column:
@@ -81,51 +83,58 @@ def birth_from_resno(c: Column | str) -> Column:
     return F.when(valid, F.when(d <= last, F.unix_date(F.make_date(y, m, d))))
 
 
+def _long_decimal(h: Column) -> Column:
+    """Hex text of any length -> decimal text: words of 32 bits are folded into limbs of
+    nine decimal digits, least first (``limb * 2**32 + carry`` fits a BIGINT)."""
+    size = F.ceil(F.length(h) / F.lit(WORD_DIGITS)).cast("int")
+    padded = F.lpad(h, size * WORD_DIGITS, "0")
+    words = F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.conv(F.substring(padded, i * WORD_DIGITS + 1, WORD_DIGITS), 16, 10).cast("bigint"))
+
+    def mul_add(acc: Column, word: Column) -> Column:
+        step = F.aggregate(
+            acc,
+            F.struct(F.array().cast("array<bigint>").alias("out"), word.alias("carry")),
+            lambda st, limb: _let(
+                limb * _WORD + st["carry"],
+                lambda v: F.struct(F.array_append(st["out"], v % _LIMB).alias("out"), F.call_function("div", v, F.lit(_LIMB)).alias("carry")),
+            ),
+        )
+        return _let(step, lambda s: F.when(s["carry"] > 0, _carried(s)).otherwise(s["out"]))
+
+    def _carried(s: Column) -> Column:
+        rest = F.call_function("div", s["carry"], F.lit(_LIMB))  # a carry is under 2**32: two limbs at most
+        grown = F.array_append(s["out"], s["carry"] % _LIMB)
+        return F.when(rest > 0, F.array_append(grown, rest)).otherwise(grown)
+
+    limbs = F.aggregate(words, F.array(F.lit(0).cast("bigint")), mul_add)
+    return F.array_join(
+        F.transform(F.reverse(limbs), lambda v, i: F.when(i == 0, v.cast("string")).otherwise(F.lpad(v.cast("string"), 9, "0"))), "")
+
+
 def decode_sequence_b64(c: Column | str) -> Column:
     """Base64 big-endian unsigned integer -> its decimal text; NULL/empty/bad -> ``''``.
 
-    Arbitrary length without a UDF: values longer than 15 bytes are folded into
-    an array of base-1e9 limbs (``acc * 256 + byte`` with carry), then printed.
+    Arbitrary length without a UDF.  The text is decoded once and its hex digits,
+    without leading zeros, are bound to a lambda variable: up to 8 bytes go through
+    ``conv``, up to 15 fit a DECIMAL(38,0) as high * 2^64 + low, longer ones are folded.
     """
     x = as_col(c)
     raw = F.when(x.rlike(BASE64_SHAPE), F.try_to_binary(x, F.lit("base64")))
-    h = F.hex(raw)
-    nbytes = F.length(h) / 2
-    idx = F.sequence(F.lit(0), (nbytes - 1).cast("int"))
-    bytes_ = F.transform(idx, lambda i: F.conv(F.substring(h, i * 2 + 1, 2), 16, 10).cast("bigint"))
+    two64 = F.lit("18446744073709551616").cast("decimal(38,0)")
 
-    def mul_add(acc: Column, b: Column) -> Column:
-        step = F.aggregate(
-            acc,
-            F.struct(F.array().cast("array<bigint>").alias("out"), b.alias("carry")),
-            lambda st, limb: F.struct(
-                F.array_append(st["out"], (limb * 256 + st["carry"]) % _LIMB).alias("out"),
-                F.floor((limb * 256 + st["carry"]) / _LIMB).cast("bigint").alias("carry"),
-            ),
+    def decimal(h: Column) -> Column:
+        n = F.length(h)
+        low = F.conv(F.substring(h, -16, 16), 16, 10).cast("decimal(38,0)")
+        high = F.conv(h.substr(F.lit(1), n - 16), 16, 10).cast("decimal(38,0)")
+        return (
+            F.when(n == 0, F.lit("0"))
+            .when(n <= 16, F.conv(h, 16, 10))
+            .when(n <= 30, (high * two64 + low).cast("decimal(38,0)").cast("string"))
+            .when(n > 30, _long_decimal(h))
         )
-        return F.when(step["carry"] > 0, F.array_append(step["out"], step["carry"])).otherwise(step["out"])
 
-    limbs = F.aggregate(bytes_, F.array(F.lit(0).cast("bigint")), mul_add)
-    rev = F.reverse(limbs)
-    text = F.array_join(
-        F.transform(rev, lambda v, i: F.when(i == 0, v.cast("string")).otherwise(F.lpad(v.cast("string"), 9, "0"))),
-        "",
-    )
-    # Short values (the usual case) stay on native expressions: ``conv`` reads
-    # up to 8 bytes as an unsigned 64-bit number; up to 15 bytes fit a
-    # DECIMAL(38,0) as high * 2^64 + low.  Only longer values use the fold.
-    n = F.length(h)
-    low = F.conv(F.substring(h, -16, 16), 16, 10).cast("decimal(38,0)")
-    high = F.conv(h.substr(F.lit(1), n - 16), 16, 10).cast("decimal(38,0)")
-    two64 = F.lit("18446744073709551616").cast("decimal(38,0)")
-    by_len = (
-        F.when(n == 0, F.lit("0"))
-        .when(n <= 16, F.conv(h, 16, 10))
-        .when(n <= 30, (high * two64 + low).cast("decimal(38,0)").cast("string"))
-        .otherwise(text)
-    )
-    out = F.when(raw.isNull(), F.lit("")).otherwise(by_len)
-    return F.when(x.isNull() | (x == ""), F.lit("")).otherwise(out)
+    out = _let(F.ltrim(F.hex(raw), F.lit("0")), decimal)
+    return F.when(x.isNull() | (x == ""), F.lit("")).otherwise(F.coalesce(out, F.lit("")))
 
 
 def decode_sequence(data: Column | str, field: str = "value") -> Column:

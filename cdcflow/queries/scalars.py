@@ -269,11 +269,14 @@ GENDER = ScalarQuery("customer", {"id": "c_custkey", "input": _RESNO}, "gender",
 BIRTH_RESNO = ScalarQuery("customer", {"id": "c_custkey", "input": _RESNO}, "birth_days", idfn.birth_from_resno, duck.birth_resno)
 
 # --- change-sequence codec: base64 of big-endian integers built from keys.
+# Numbers of 40 and 200 bytes are constants: their decimal text is beyond the oracle's integers.
+_SEQ_LONG = {18: (1 << 320) - 12345, 24: (1 << 1600) - 10**300 + 7}
 _SEQ_HEX = (
-    "CASE o_orderkey % 6 WHEN 0 THEN lpad(hex(o_orderkey), 16, '0') "
+    "CASE " + " ".join(f"WHEN o_orderkey % {k} = 0 THEN '{v:X}'" for k, v in _SEQ_LONG.items()) + " "
+    "ELSE CASE o_orderkey % 6 WHEN 0 THEN lpad(hex(o_orderkey), 16, '0') "
     "WHEN 1 THEN lpad(hex(o_orderkey * 1000003), 2 * CAST(ceil(length(hex(o_orderkey * 1000003)) / 2.0) AS INTEGER), '0') "
     "WHEN 2 THEN lpad(hex(o_orderkey), 16, '0') || lpad(hex(o_custkey), 16, '0') "
-    "WHEN 3 THEN 'FF' || lpad(hex(o_orderkey), 30, '0') ELSE '' END"
+    "WHEN 3 THEN 'FF' || lpad(hex(o_orderkey), 30, '0') ELSE '' END END"
 )
 
 
@@ -282,7 +285,7 @@ def decode_sequence_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     b64 = (
         F.when(F.col("kind") == 4, F.lit("!!not base64!!"))
         .when(F.col("kind") == 5, F.lit(None).cast("string"))
-        .otherwise(F.base64(F.unhex(F.col("hx"))))
+        .otherwise(F.translate(F.base64(F.unhex(F.col("hx"))), "\r\n", ""))  # Spark wraps long texts
     )
     return o.select("id", text.null_to_empty(b64).alias("input"), idfn.decode_sequence_b64(b64).alias("decimal_text"))
 
@@ -290,7 +293,8 @@ def decode_sequence_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _duck_seq_expected() -> str:
     # Unsigned value of the hex text computed with 128-bit integers (<= 16 bytes).
     return (
-        "CASE WHEN kind = 4 OR kind = 5 THEN '' "
+        "CASE " + " ".join(f"WHEN o_orderkey % {k} = 0 THEN '{v}'" for k, v in _SEQ_LONG.items()) + " "
+        "WHEN kind = 4 OR kind = 5 THEN '' "
         "WHEN kind = 2 THEN CAST((CAST(o_orderkey AS UHUGEINT) << 64) + CAST(o_custkey AS UHUGEINT) AS STRING) "
         "WHEN kind = 3 THEN CAST((CAST(255 AS UHUGEINT) << 120) + CAST(o_orderkey AS UHUGEINT) AS STRING) "
         "WHEN kind = 1 THEN CAST(o_orderkey * 1000003 AS STRING) ELSE CAST(o_orderkey AS STRING) END"

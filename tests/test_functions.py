@@ -166,6 +166,18 @@ def test_decode_sequence(spark):
     assert [r[0] for r in df.select(idfn.decode_sequence(F.parse_json("v"))).collect()] == ["0", ""]
 
 
+def test_decode_sequence_of_any_length(spark):
+    import base64
+    import random
+
+    rng = random.Random(4)
+    nums = [0, 1, 255, 2**64 - 1, 2**64, 2**120 - 1, 2**120, 10**36, 10**37, 10**45 - 1, 10**45, 2**128 - 1] + [rng.getrandbits(8 * n) for n in (8, 15, 16, 17, 31, 40, 100, 200, 333)]
+    nums += [10**k for k in (54, 81, 200)] + [2**(32 * k) for k in (4, 7, 50)]
+    text = lambda v, pad=0: base64.b64encode(b"\0" * pad + v.to_bytes((v.bit_length() + 7) // 8 or 1, "big")).decode()
+    assert many(spark, idfn.decode_sequence_b64, [text(v) for v in nums]) == [str(v) for v in nums]
+    assert many(spark, idfn.decode_sequence_b64, [text(v, 50) for v in nums]) == [str(v) for v in nums]
+
+
 def test_json_text_value_rule(spark):
     df = spark.createDataFrame(
         [('{"s":"x","n":12,"d":1.5,"b":true,"o":{"k":1},"a":[1],"z":null,"a.b":"dot","t":100.50,"ts":"100.50","e":1e10,'
