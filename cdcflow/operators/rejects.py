@@ -118,7 +118,7 @@ def dead_letters(
     value_col: str,
     decoded_col: str,
     topic: str,
-    message: str = "could not decode the record value",
+    message: Column | str = "could not decode the record value",
     headers_col: str | None = "headers",
 ) -> DataFrame:
     """Rows whose value did not decode, kept raw for a dead-letter sink.
@@ -132,7 +132,7 @@ def dead_letters(
     bad = df.where(F.col(value_col).isNotNull() & F.col(decoded_col).isNull())
     extra = F.array(
         F.struct(F.lit(HEADER_TOPIC).alias("key"), F.encode(F.lit(topic), "UTF-8").alias("value")),
-        F.struct(F.lit(HEADER_MESSAGE).alias("key"), F.encode(F.lit(message), "UTF-8").alias("value")),
+        F.struct(F.lit(HEADER_MESSAGE).alias("key"), F.encode(lit_or_col(message), "UTF-8").alias("value")),
     )
     if headers_col and headers_col in df.columns:
         current = F.coalesce(F.col(headers_col).cast(HEADER_TYPE), F.array().cast(HEADER_TYPE))

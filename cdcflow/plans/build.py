@@ -12,16 +12,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cdcflow.operators import envelope, keys, rejects
+from cdcflow.operators import diagnose, envelope, keys, rejects
 from cdcflow.operators.mapping import PROCESSED_AT_FIELD
 from cdcflow.plans import registry
 from cdcflow.plans import samples as _samples  # noqa: F401  (registers the sample mappers)
 from cdcflow.plans.context import Context
-from cdcflow.sources.topics import RAW_VALUE, SEQ_COL
+from cdcflow.sources.topics import DECODE_FAILURE, RAW_VALUE, SEQ_COL
 
 STRUCT_FORMAT = "AVRO"
-TOPIC_COLUMNS = {"key", "value", "headers", "timestamp", "topic", "partition", "offset", "batch_id", "writer", "_raw_value", SEQ_COL}
+TOPIC_COLUMNS = {"key", "value", "headers", "timestamp", "topic", "partition", "offset", "batch_id", "writer", RAW_VALUE, DECODE_FAILURE, SEQ_COL}
 
 
 def sequenced(df: DataFrame) -> DataFrame:
@@ -64,18 +65,25 @@ def refine(df: DataFrame, defn: dict, ctx: Context) -> DataFrame:
 
 def undecodable(df: DataFrame, defn: dict) -> tuple[DataFrame, DataFrame | None]:
     """``(rows to refine, dead letters)`` of a topic that was decoded on reading: values that
-    did not decode leave for the dead-letter topic with their raw value and headers."""
+    did not decode leave for the dead-letter topic with their raw value and headers, the
+    last of which says why."""
     if RAW_VALUE not in df.columns:
         return df, None
-    dead = rejects.dead_letters(df, RAW_VALUE, "value", defn["sourceTopic"]).withColumnRenamed(RAW_VALUE, "value")
+    kind, fields = df.schema[RAW_VALUE].dataType, df.schema["value"].dataType
+    text = isinstance(kind, T.StringType) and isinstance(fields, T.StructType)
+    why = diagnose.json_failure(F.col(RAW_VALUE), fields) if text else F.lit(diagnose.NO_DECODE)
+    if DECODE_FAILURE in df.columns:
+        why = F.coalesce(F.col(DECODE_FAILURE), why)
+    dead = rejects.dead_letters(df, RAW_VALUE, "value", defn["sourceTopic"], why).withColumnRenamed(RAW_VALUE, "value").drop(DECODE_FAILURE)
     good = df.where(F.col(RAW_VALUE).isNull() | F.col("value").isNotNull())
-    return good.drop(RAW_VALUE), dead
+    return good.drop(RAW_VALUE, DECODE_FAILURE), dead
 
 
 def dead_letter_rejects(dead: DataFrame, defn: dict, ctx: Context) -> DataFrame:
     """Dead letters as reject records, for a definition without a dead-letter topic."""
     context = rejects.CTX_STRUCT if str(defn.get("inputFormat") or "").upper() == STRUCT_FORMAT else rejects.CTX_JSON
-    rej = rejects.reject(F.col("value").cast("string"), "could not decode the record value", context, ctx.now)
+    why = F.decode(F.element_at("headers", -1)["value"], "UTF-8")
+    rej = rejects.reject(F.col("value").cast("string"), why, context, ctx.now)
     return dead.select(F.col("key").cast("string").alias("key"), rej.alias("r")).select("key", "r.*")
 
 

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from cdcflow.operators import mapping as m
 from cdcflow.operators.rejects import REJECT_COL
+from cdcflow.plans import build
 from cdcflow.queries import fixtures
 from cdcflow.queries.common import now_col
+from cdcflow.sources.topics import TopicBinding, decoded
 
 # What arrives for each declared field; the same text for both engines.
 TYPED_COLS = {
@@ -51,5 +53,42 @@ def _typed_oracle() -> str:
             f"FROM (SELECT *, CASE {' '.join(cases)} END AS reason FROM (SELECT o_orderkey AS key, {cols} FROM orders) a) b")
 
 
-QUERIES = {"typed_field_rejects": typed_field_rejects}
-ORACLE = {"typed_field_rejects": _typed_oracle()}
+# --- decode diagnosis over events ------------------------------------------------
+
+DAMAGED = (
+    "CASE WHEN event_id % 53 = 0 THEN substr(props, 1, length(props) - 1) WHEN event_id % 59 = 0 THEN NULL "
+    "WHEN event_id % 61 = 0 THEN '{\"k\": \"text\"}' WHEN event_id % 67 = 0 THEN 'plain text' WHEN event_id % 71 = 0 THEN '{\"k\": 5000000000}' "
+    "WHEN event_id % 73 = 0 THEN '[1, 2]' WHEN event_id % 79 = 0 THEN '{\"k\": 1, \"on\": \"maybe\"}' WHEN event_id % 83 = 0 THEN '{\"k\": 1, \"name\": \"cut' "
+    "WHEN event_id % 89 = 0 THEN '' WHEN event_id % 97 = 0 THEN '{\"k\": null, \"on\": true, \"name\": 5}' ELSE props END"
+)
+DAMAGED_SCHEMA = "k int, on boolean, name string"
+
+
+def undecodable_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead letters by why they did not decode, as their last header says."""
+    ev = fixtures.read(spark, sf_dir, "events").selectExpr("CAST(user_id AS STRING) AS key", f"{DAMAGED} AS value")
+    _, dead = build.undecodable(decoded(ev, TopicBinding(value_schema=DAMAGED_SCHEMA)), {"sourceTopic": "bronze.events"})
+    why = F.decode(F.element_at("headers", -1)["value"], "UTF-8")
+    return dead.groupBy(why.alias("reason")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("value")).alias("chars"))
+
+
+def _reasons_oracle() -> str:
+    whole = "json_valid(value)"
+    k, on = "json_extract(value, '$.k')", "json_extract(value, '$.on')"
+    bad_k = f"json_type({k}) NOT IN ('BIGINT', 'UBIGINT', 'NULL') OR TRY_CAST({k} AS INTEGER) IS NULL AND json_type({k}) <> 'NULL'"
+    return f"""
+SELECT reason, count(*) AS n, CAST(sum(length(value)) AS BIGINT) AS chars FROM (
+  SELECT value, 'could not decode the record value: ' || CASE
+    WHEN trim(value) = '' THEN 'the value is empty'
+    WHEN NOT {whole} AND value[1] = '{{' THEN 'the JSON text is cut short after ' || length(value) || ' characters'
+    WHEN NOT {whole} THEN 'the text is not JSON'
+    WHEN json_type(value) <> 'OBJECT' THEN 'the value is no object but ' || json_type(value)
+    WHEN {bad_k} THEN 'field ''k'' is no int: ' || json_extract_string(value, '$.k')
+    WHEN json_type({on}) NOT IN ('BOOLEAN', 'NULL') THEN 'field ''on'' is no boolean: ' || json_extract_string(value, '$.on') END AS reason
+  FROM (SELECT {DAMAGED} AS value FROM events) e WHERE value IS NOT NULL) r
+WHERE reason IS NOT NULL GROUP BY reason
+"""
+
+
+QUERIES = {"typed_field_rejects": typed_field_rejects, "undecodable_reasons": undecodable_reasons}
+ORACLE = {"typed_field_rejects": _typed_oracle(), "undecodable_reasons": _reasons_oracle()}

@@ -58,6 +58,7 @@ def _binding(bindings: dict, topic: str) -> TopicBinding:
 
 
 RAW_VALUE = "_raw_value"
+DECODE_FAILURE = "_decode_failure"  # why a value did not decode, where the decoder says so
 
 
 def decode_json_value(df: DataFrame, schema: T.StructType | str) -> DataFrame:
