@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdcflow.plans import spec
 from cdcflow.plans.context import Context
 from cdcflow.queries import fixtures
+from cdcflow.session import ensure_checkpoint_dir
 
 # Fixed values for reproducible checks.
 NOW_MS = 1735689600000                      # 2025-01-01T00:00:00Z
@@ -44,3 +46,15 @@ def definition(group: str, name: str) -> dict:
         if d["name"] == name:
             return d
     raise KeyError(name)
+
+
+def folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a topic on disk, as between the levels of a running job: later steps read it instead of deriving it again."""
+    path = folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -14,7 +14,7 @@ from cdcflow.functions.text import clean_email
 from cdcflow.operators import changes, envelope, rejects
 from cdcflow.plans import build
 from cdcflow.queries import duck, fixtures
-from cdcflow.queries.common import PROCESSED_AT_MS, context, definition, now_col
+from cdcflow.queries.common import PROCESSED_AT_MS, context, definition, now_col, written
 
 PARSE_FAILED = envelope.PARSE_FAILED
 
@@ -94,9 +94,10 @@ def cdc_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cdc_apply_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same changes in three batches that overlap in time, the last batch's first."""
+    feed = written(_changes(spark, sf_dir), "changes")  # unwrapped once
     state = None
     for k in (2, 0, 1):
-        state = changes.apply_changes(state, _changes(spark, sf_dir).where(F.col("event_id") % 3 == k), ["user_id"], ["event_id"])
+        state = changes.apply_changes(state, feed.where(F.col("event_id") % 3 == k), ["user_id"], ["event_id"])
     return changes.live(state)
 
 
@@ -234,7 +235,7 @@ CHAIN_BROKEN = "CAST(substr(user_id, 2) AS BIGINT) % 17 = 0"  # which records ar
 
 
 def chain_json_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Refined users as JSON text topics through the later levels: rows in = successes +
+    """Refined users as a JSON text topic, written once, through the later levels: rows in = successes +
     rejects + dead letters + the rows that a mapping drops by its rule."""
     from cdcflow.queries.lv1 import _refined_users
     from cdcflow.sources.topics import RAW_VALUE, TopicBinding, decoded
@@ -244,7 +245,7 @@ def chain_json_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.to_json(F.struct(*names))
     topic = _refined_users(spark, sf_dir).success.select(
         F.col("user_id").alias("key"), F.when(F.expr(CHAIN_BROKEN), F.substring(text, 1, 40)).otherwise(text).alias("value"))
-    read = decoded(topic, TopicBinding(value_schema=CHAIN_FIELDS))
+    read = decoded(written(topic, "topic"), TopicBinding(value_schema=CHAIN_FIELDS))
     stages = [("api", "MatchCustomerAddresses"), ("lv2", "ContactsCustomers"), ("lv2", "StampsCustomers")]
     good, _ = build.undecodable(read, definition(*stages[0]))
     lost = F.col("value").isNull() & F.col(RAW_VALUE).isNotNull()

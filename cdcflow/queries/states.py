@@ -2,35 +2,22 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdcflow.operators import envelope
 from cdcflow.operators.changes import keyed_changes
 from cdcflow.queries import envelopes
-from cdcflow.session import ensure_checkpoint_dir
+from cdcflow.queries.common import folder, written
 from cdcflow.streaming.state import StateTable
 
 BATCHES = 5
 ORDER = (3, 0, 4, 1, 2)  # batches come out of order
 
 
-def folder(spark: SparkSession, name: str) -> str:
-    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a topic on disk: the feed is derived once, batches read it."""
-    path = folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def cdc_state_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The changes in five batches that overlap in time, one of them replayed, merged into bucketed state."""
-    feed = _written(envelopes._changes(spark, sf_dir), "changes")
+    feed = written(envelopes._changes(spark, sf_dir), "changes")
     table = StateTable(spark, folder(spark, "state"), ["user_id"], ["event_id"], buckets=8)
     for n, k in enumerate(ORDER):
         batch = feed.where(F.col("event_id") % BATCHES == k)
@@ -44,7 +31,7 @@ def cdc_state_tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deletes arrive as records without a value: the state equals that of the changes themselves."""
     fields = ["user_id", "email", "__op"]
     rows = envelopes._changes(spark, sf_dir).select(F.col("user_id").alias("key"), F.struct(*fields).alias("value"), "event_id", F.col("__op"))
-    topic = _written(envelope.tombstone_on_delete(rows).drop("__op"), "topic")
+    topic = written(envelope.tombstone_on_delete(rows).drop("__op"), "topic")
     table = StateTable(spark, folder(spark, "state"), ["user_id"], ["event_id"], buckets=8)
     for n in range(2):
         table.merge(keyed_changes(topic.where(F.col("event_id") % 2 == n), ["user_id"], ["event_id"]), n, "topic")

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from cdcflow.plans import spec
 from cdcflow.queries import duck, fixtures
-from cdcflow.queries.common import context
-from cdcflow.queries.states import folder
+from cdcflow.queries.common import context, folder, written
 from cdcflow.sources.topics import TopicBinding, read_topic, write_topic
 from cdcflow.streaming.runner import FanOut
 
@@ -45,9 +44,7 @@ def fanout_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     mine = [d for g in ("api", "lv2") for d in defs[g] if d["sourceTopic"] == "refined.customer"]
     topics = {"refined.customer"} | {d[k] for d in mine for k in ("destinationTopic", "failTopic")}
     bound = {t: TopicBinding(path=f"{root}/{t}", log=not t.startswith("rejects")) for t in topics}
-    users = _refined_users(spark, sf_dir).success
-    users.write.parquet(f"{root}/users")
-    users = spark.read.schema(users.schema).parquet(f"{root}/users")
+    users = written(_refined_users(spark, sf_dir).success, "users")
     fan = FanOut(spark, "refined.customer", mine, ctx, bound, f"{root}/fan")
     half = F.crc32(F.col("user_id").cast("binary")) % 2
     for n in (0, 0, 1):

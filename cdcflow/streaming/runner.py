@@ -48,8 +48,8 @@ def _process(batch: DataFrame, batch_id: int, defn: dict, ctx: Context, bindings
     batch = build.sequenced(opened(batch, defn["sourceTopic"], bindings) if defn.get("sourceTopic") in bindings else batch)
     obs = Observation(f"progress_{defn['name']}_{batch_id}")
     source = batch
-    mine = not batch.is_cached and any(hasattr(t, "rows") for t in ctx.tables.values())
-    if mine:  # keys are read before rows are refined
+    mine = not batch.is_cached and (defn.get("group") == "api" or any(hasattr(t, "rows") for t in ctx.tables.values()))
+    if mine:  # keys, or addresses, are read before rows are refined
         source = batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     batch, dead = build.undecodable(batch, defn)
     refined = build.refine(batch, defn, ctx)
