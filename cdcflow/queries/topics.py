@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cdcflow.plans import spec
+from cdcflow.plans import build, spec
 from cdcflow.queries import duck, fixtures
 from cdcflow.queries.common import context, folder, written
-from cdcflow.sources.topics import TopicBinding, read_topic, write_topic
+from cdcflow.sources import frames
+from cdcflow.sources.topics import DECODE_FAILURE, RAW_VALUE, TopicBinding, read_topic, write_topic
 from cdcflow.streaming.runner import FanOut
 
 REPLAYS = 3  # batches, the second of which is written twice
@@ -65,5 +66,47 @@ def _fanout_oracle() -> str:
     return " UNION ALL ".join(parts)
 
 
-QUERIES = {"topic_replay_once": topic_replay_once, "fanout_routes": fanout_routes}
-ORACLE = {"topic_replay_once": REPLAY_ORACLE, "fanout_routes": _fanout_oracle()}
+# --- registry frames over orders -------------------------------------------------
+
+# hex digits of what arrives: two known schemas, an unknown one, no frame, a frame cut short, a body that does not decode
+_BODY = {
+    5: "'{\"id\":' || CAST(o_orderkey AS STRING) || ',\"status\":\"' || o_orderstatus || '\"}'",
+    300: "CAST(o_orderkey AS STRING) || ',' || o_orderstatus",
+}
+FRAME_HEX = (
+    f"CASE o_orderkey % 9 WHEN 0 THEN '0000000005' || hex({_BODY[5]}) WHEN 1 THEN '0000000005' || hex({_BODY[5]}) WHEN 2 THEN '000000012C' || hex({_BODY[300]}) "
+    f"WHEN 3 THEN '0000000007' || hex({_BODY[5]}) WHEN 4 THEN '0100000005' || hex({_BODY[5]}) WHEN 5 THEN '000000' "
+    f"WHEN 6 THEN '0000000005' || hex('broken') WHEN 7 THEN NULL ELSE '007FFFFFFF' END"
+)
+
+
+def avro_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Framed values are routed to their schema's decoder; the rest are dead letters that say why.
+
+    The bodies are text here (JSON and CSV), as the Avro package is not part of Spark's own."""
+    o = fixtures.read(spark, sf_dir, "orders").selectExpr("CAST(o_orderkey AS STRING) AS key", f"unhex({FRAME_HEX}) AS value")
+    decoders = {
+        5: lambda c: F.when(F.try_parse_json(c.cast("string")).isNotNull(), F.from_json(c.cast("string"), "id bigint, status string")),
+        300: lambda c: F.from_csv(c.cast("string"), "id bigint, status string"),
+    }
+    topic = frames.decode(o, decoders, RAW_VALUE, DECODE_FAILURE)
+    good, dead = build.undecodable(topic, {"sourceTopic": "bronze.orders"})
+    why = F.decode(F.element_at("headers", -1)["value"], "UTF-8")
+    ok = good.select("key", F.col("value.id").alias("id"), F.col("value.status").alias("status"), F.lit(None).cast("string").alias("failure"), F.lit(None).cast("string").alias("raw"))
+    again = F.hex(frames.framed(F.to_binary(F.lit("abc"), F.lit("utf-8")), 300))
+    return ok.unionByName(dead.select("key", F.lit(None).cast("bigint").alias("id"), F.lit(None).cast("string").alias("status"), why.alias("failure"),
+                                      F.hex("value").alias("raw"))).withColumn("sample_frame", again)
+
+
+FRAMES_ORACLE = f"""
+SELECT key, CASE WHEN kind IN (0, 1, 2) THEN o_orderkey END AS id, CASE WHEN kind IN (0, 1, 2) THEN o_orderstatus END AS status,
+       CASE WHEN raw IS NULL THEN NULL WHEN length(raw) < 10 OR raw[1:2] <> '00' THEN 'the value has no schema-registry frame'
+            WHEN sid NOT IN (5, 300) THEN 'schema id ' || sid || ' is not known'
+            WHEN kind = 6 THEN 'the record does not decode with schema id ' || sid END AS failure,
+       CASE WHEN kind NOT IN (0, 1, 2) THEN raw END AS raw, '000000012C616263' AS sample_frame
+FROM (SELECT *, TRY_CAST('0x' || raw[3:10] AS BIGINT) AS sid FROM (
+        SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderkey, o_orderstatus, o_orderkey % 9 AS kind, {FRAME_HEX} AS raw FROM orders) a) b
+"""
+
+QUERIES = {"avro_frames": avro_frames, "topic_replay_once": topic_replay_once, "fanout_routes": fanout_routes}
+ORACLE = {"avro_frames": FRAMES_ORACLE, "topic_replay_once": REPLAY_ORACLE, "fanout_routes": _fanout_oracle()}

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cdcflow.sources import topiclog
+from cdcflow.sources import frames, topiclog
 from cdcflow.sources.topiclog import SEQ_COL
 
 KAFKA = "kafka"
@@ -45,7 +45,9 @@ class TopicBinding:
     schema: T.StructType | str | None = None  # required for streaming file sources
     value_format: str = "json"  # kafka only: json text or avro
     value_schema: T.StructType | str | None = None  # decodes JSON text values
-    avro_schema: str | None = None  # decodes Avro binary values
+    avro_schema: str | None = None  # decodes Avro binary values; with schemas by id: the reader's
+    avro_schemas: dict[int, str] | None = None  # writer schemas by registry id: values are framed (``frames``)
+    schema_id: int | None = None  # Kafka sinks: write framed Avro of ``avro_schema`` under this id
     log: bool = False  # file topics: commit log, keyed partitions and offsets (``topiclog``)
     partitions: int = 8  # of a topic with a log
 
@@ -77,6 +79,8 @@ def decoded(df: DataFrame, b: TopicBinding) -> DataFrame:
     """The topic with its values decoded as the binding says; struct values stay."""
     if "value" not in df.columns or isinstance(df.schema["value"].dataType, T.StructType):
         return df
+    if b.avro_schemas:
+        return frames.decode(df, frames.avro_decoders(b.avro_schemas, b.avro_schema), RAW_VALUE, DECODE_FAILURE)
     if b.avro_schema:
         return decode_avro_value(df, b.avro_schema)
     return decode_json_value(df, b.value_schema) if b.value_schema else df
@@ -111,7 +115,7 @@ def _read_raw(spark: SparkSession, topic: str, b: TopicBinding, streaming: bool)
         if not streaming:
             opts.pop("startingOffsets", None)
         raw = reader.format(KAFKA).options(**opts).load()
-        if b.value_format == "avro":
+        if b.value_format == "avro" or b.avro_schemas:
             return raw.select("key", "value", "headers", "timestamp", "topic", "partition", "offset")
         return raw.select(
             F.col("key").cast("string").alias("key"),
@@ -149,10 +153,9 @@ def write_topic(
             df = df.repartition(F.col("key")).sortWithinPartitions(SEQ_COL)
         key_is_struct = isinstance(df.schema["key"].dataType, T.StructType)
         key = F.to_json(F.col("key")) if key_is_struct else F.col("key").cast("string")
-        out = df.select(
-            key.alias("key"),
-            F.to_json(F.struct(*[F.col(f"`{c}`") for c in fields])).alias("value"),
-        )
+        record = F.struct(*[F.col(f"`{c}`") for c in fields])
+        value = F.to_json(record) if b.schema_id is None else frames.avro_framed(record, b.avro_schema, b.schema_id)
+        out = df.select(key.alias("key"), value.alias("value"))
         out.write.format(KAFKA).options(topic=topic, **b.options).save()
         return
     body = F.col("value") if "value" in df.columns else F.struct(*[F.col(f"`{c}`") for c in fields])
