@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cdcflow.llm.graph import components
-from cdcflow.llm.store import carried, stage
+from cdcflow.llm.store import carried, housed, stage
 from cdcflow.llm.words import Words, chunks, mix
 
 FEWEST, MOST = 64, 1 << 16  # coordinates of a point
@@ -409,7 +409,7 @@ def _classified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             .agg(F.slice(F.array_sort(F.collect_set(F.when(F.pmod(F.xxhash64("key", F.lit(1)), F.greatest(F.lit(1), F.floor(F.col("m") / (4 * HUBS)))) == 0, F.col("key")))), 1, HUBS).alias("hub")))
     hub_rows = (hubs.withColumn("tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
                 .select("part", "tile", F.explode("hub").alias("key")))
-    homes = placed.select("key", F.col("doc").alias("doc_id"))
+    homes, d = housed(d, placed.select("key", "doc"), _homes, "doc_id long, key long")
     seats = placed.select("part", "tile", "key").unionByName(hub_rows).distinct().join(homes, "key")
     tiled = d.join(seats, "doc_id").select("part", "tile", "key", "text")
     found = stage(tiled.groupBy("part", "tile").applyInArrow(_link_table, "a long, b long"), "found")
@@ -444,6 +444,11 @@ def _keyed(column: pa.Array) -> pa.Array:
     return pa.array([class_key(s) if len(s) else None for _, s in _sets(column)], pa.int64())
 
 
+def _homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), _keyed(batch.column(1))], names=["doc_id", "key"])
+
+
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of ``docs`` per component, the one with the least id, with all columns.
 

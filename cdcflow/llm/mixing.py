@@ -18,6 +18,7 @@ domains, or an empty table, every rate is one.  Extra columns are ignored.
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,6 +33,8 @@ from cdcflow.llm.quality import MEASURED, measure
 from cdcflow.llm.store import carried, stage
 from cdcflow.llm.words import Words, chunks
 
+log = logging.getLogger("cdcflow.mixing")
+
 SAMPLE = 6_000       # labelled rows that the classifier is fitted on, about; drawn per domain
 WORDS = 384          # words used as features
 STEPS = 40
@@ -228,10 +231,9 @@ def _posteriors(model: Classifier):
 
 
 def copies(rate, *seed):
-    """Whole part of the rate, plus one with the chance of its fraction; within a hundredth of a whole number no draw is made."""
-    even = F.round(rate)
-    draw = F.pmod(F.xxhash64(*seed, F.lit(44)), F.lit(1 << 24)) / float(1 << 24)
-    return F.when(F.abs(rate - even) < 0.01, even).otherwise(F.floor(rate) + (draw < rate - F.floor(rate)).cast("long")).cast("long")
+    """Whole part of the rate, plus one with the chance of its fraction, however small."""
+    draw = F.pmod(F.xxhash64(*seed, F.lit(44)), F.lit(1 << 52)) / float(1 << 52)
+    return (F.floor(rate) + (draw < rate - F.floor(rate)).cast("long")).cast("long")
 
 
 def prepare(docs: DataFrame, labelled: DataFrame, goal, top: float = math.inf):
@@ -241,7 +243,17 @@ def prepare(docs: DataFrame, labelled: DataFrame, goal, top: float = math.inf):
         return None
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     post = stage(d.mapInArrow(_posteriors(model), "doc_id long, n_tokens long, posterior array<double>"), "posteriors")
-    plan, _ = solve(post, len(model.domains), lambda totals: goal(model.domains, totals), top)
+    wanted: list[np.ndarray] = []
+
+    def asked(totals):
+        wanted.append(np.asarray(goal(model.domains, totals), float))
+        return wanted[-1]
+
+    plan, reached = solve(post, len(model.domains), asked, top)
+    for want in wanted:
+        off = np.abs(reached - want) > CLOSE * max(reached.sum(), 1.0)
+        tell = log.warning if off.any() else log.info
+        tell("mixing reached %s", ", ".join(f"{d}: {r:.0f} of {w:.0f} words" for d, r, w in zip(model.domains, reached, want)))
     return model, plan, post
 
 

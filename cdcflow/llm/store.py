@@ -41,6 +41,26 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def housed(d: DataFrame, classes: DataFrame, keyed, schema: str) -> tuple[DataFrame, DataFrame]:
+    """Where the text of every class is: ``(key, doc_id)`` and the rows to look it up in.
+
+    ``classes`` has ``key`` and ``doc``, the least id of its rows, NULL where none has an
+    id.  Rows without an id are found by a number made of their text; ``keyed`` maps
+    rows of ``doc_id, text`` to ``doc_id, key`` (``schema``).
+    """
+    from pyspark.sql import functions as F
+
+    homes = classes.select("key", F.col("doc").alias("doc_id"))
+    without = d.where("doc_id IS NULL")
+    if without.isEmpty():
+        return homes, d
+    number = -1 - F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1))
+    made = without.select(number.alias("doc_id"), "text").mapInArrow(keyed, schema).where("key IS NOT NULL")
+    made = made.groupBy("key").agg(F.min("doc_id").alias("number"))
+    homes = homes.join(made, "key", "left").select("key", F.coalesce("doc_id", "number").alias("doc_id"))
+    return homes, d.select(F.coalesce("doc_id", number).alias("doc_id"), "text")
+
+
 def carried(docs: DataFrame, run, fields: str, *inputs) -> DataFrame:
     """``row`` (all columns of ``docs`` as a struct, whatever their names) plus ``fields``
     that ``run`` computes: it maps a record batch of ``inputs`` to a list of arrays."""

@@ -157,3 +157,48 @@ def test_an_id_with_two_texts_keeps_a_row_of_each_component(spark):
     rows = [(1, one), (1, two), (1, two), (2, one + " x"), (3, three), (3, one), (4, two), (5, ""), (5, three + " y")]
     got = jaccard.representatives(frame(spark, rows)).collect()
     assert sorted((r.doc_id, r.text) for r in got) == sorted([(1, one), (1, two), (3, three), (5, "")])
+
+
+def test_small_fractions_keep_their_share_in_expectation(spark):
+    n = 200_000
+    for rate in (0.0005, 0.005, 0.009, 0.5, 0.995, 1.005, 2.0, 0.0):
+        got = spark.range(n).select(mixing.copies(F.lit(rate), F.col("id")).alias("c")).agg(F.sum("c")).first()[0]
+        part = rate % 1
+        assert abs(got - rate * n) <= 4 * (n * part * (1 - part)) ** 0.5, rate
+
+
+def test_a_domain_at_a_small_rate_is_thinned_not_lost(spark, caplog):
+    rng = random.Random(6)
+    rows = [(k, " ".join(f"{'x' if k % 2 else 'w'}{rng.randrange(60)}" for _ in range(20))) for k in range(6000)]
+    docs = frame(spark, rows)
+    kinds = spark.createDataFrame([(k, "odd" if k % 2 else "even") for k in range(0, 6000, 3)], "doc_id long, domain string")
+    goal = lambda names, totals: [t * (0.01 if n == "odd" else 1.0) for n, t in zip(names, totals)]
+    with caplog.at_level("INFO", logger="cdcflow.mixing"):
+        out = mixing.mix(docs, kinds, goal, top=1.0).collect()
+    odd = [r for r in out if r.doc_id % 2]
+    rate = sum(r.rate for r in odd)
+    assert max(r.rate for r in odd) < 0.1 and 0 < sum(r.copies for r in odd) and abs(sum(r.copies for r in odd) - rate) <= 4 * rate**0.5
+    assert "of" in caplog.text and "odd:" in caplog.text
+
+
+def test_links_through_rows_without_an_id(spark):
+    """1 - N - 2: the text in the middle has no id, and is the only link."""
+    words = [f"w{k}" for k in range(60)]
+    first, middle, last = words[:], words[:], words[:]
+    middle[3] = "m"
+    last[3], last[55] = "m", "z"
+    rows = [(1, " ".join(first)), (None, " ".join(middle)), (2, " ".join(last)), (None, "nothing " * 9), (None, None)]
+    sets = [{tuple(t[i : i + 5]) for i in range(56)} for t in (first, middle, last)]
+    alike = lambda a, b: len(a & b) / len(a | b)
+    assert alike(sets[0], sets[1]) >= 0.75 and alike(sets[1], sets[2]) >= 0.75 and alike(sets[0], sets[2]) < 0.75
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.jaccard_classes(frame(spark, rows)).collect()), key=str)
+    assert got == sorted([(1, 56, 1), (None, 56, 1), (2, 56, 1), (None, 1, None), (None, 0, None)], key=str)
+
+
+def test_passages_of_rows_without_an_id(spark):
+    rng = random.Random(3)
+    passage = " ".join(f"p{k}" for k in range(70))
+    text = lambda: " ".join(f"u{rng.randrange(10**6)}" for _ in range(40))
+    rows = [(None, f"{text()} {passage} {text()}"), (None, f"{text()} {passage}"), (5, f"{passage} {text()}"), (None, text()), (None, None)]
+    got = [(r.doc_id, r.start_word, r.end_word, r.group_id) for r in substring.repeated_passages(frame(spark, rows)).collect()]
+    assert sorted(got, key=str) == sorted([(None, 40, 110, 5), (None, 40, 110, 5), (5, 0, 70, 5)], key=str)
