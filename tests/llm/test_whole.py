@@ -202,3 +202,16 @@ def test_passages_of_rows_without_an_id(spark):
     rows = [(None, f"{text()} {passage} {text()}"), (None, f"{text()} {passage}"), (5, f"{passage} {text()}"), (None, text()), (None, None)]
     got = [(r.doc_id, r.start_word, r.end_word, r.group_id) for r in substring.repeated_passages(frame(spark, rows)).collect()]
     assert sorted(got, key=str) == sorted([(None, 40, 110, 5), (None, 40, 110, 5), (5, 0, 70, 5)], key=str)
+
+
+def test_texts_that_repeat_themselves_are_alike_as_a_whole():
+    rng = np.random.default_rng(5)
+    p = rng.integers(0, 2**63, 60, dtype=np.uint64)
+    noise = lambda n: rng.integers(0, 2**63, n, dtype=np.uint64)
+    a, b = np.concatenate([noise(30), np.tile(p, 50), noise(20)]), np.concatenate([np.tile(p, 47), noise(40)])
+    got = substring.shared_stretches(a, b)
+    cover = [{i for s in got for i in range(s[x], s[y] + 1)} for x, y in ((0, 1), (2, 3))]
+    assert cover == [set(range(30, 3030)), set(range(2820))] and len(got) <= 2
+    q = p.copy()
+    q[::2] = noise(30)  # half of the tokens differ: not alike, whole or in parts
+    assert substring.shared_stretches(np.tile(p, 50), np.tile(q, 50)) == []
