@@ -15,7 +15,7 @@ Value-to-text rule (what every text rule sees):
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cdcflow.functions._util import as_col
@@ -36,14 +36,23 @@ def json_value(data: Column | str, field: str) -> Column:
 def json_text(data: Column | str, field: str) -> Column:
     """Text of one field under the value-to-text rule (see module doc)."""
     data = as_col(data)
-    text = F.try_variant_get(data, variant_path(field), "string")
+    return _ruled(_raw_text(data, field), data, field)
+
+
+def _raw_text(data: Column, field: str) -> Column:
+    return F.try_variant_get(data, variant_path(field), "string")
+
+
+def _ruled(text: Column, data: Column, field: str) -> Column:
+    """The value-to-text rule over a field's plain text."""
     # Only values whose text starts like a container pay for the type probe.
     v = json_value(data, field)
     is_container = F.when(text.startswith("{"), json_is_object(v)).when(text.startswith("["), _is_array(v))
     # A JSON number with a fraction is a double to the original reader, so it
     # prints like Java's Double.toString ("100.50" -> "100.5"); VARIANT keeps it
-    # as a DECIMAL.  Only text with a dot pays for the (scalar) type check.
-    is_decimal = F.when(text.contains("."), F.schema_of_variant(v).startswith("DECIMAL"))
+    # as a DECIMAL.  Only text with a dot that starts like a number pays for the type check.
+    numeric = text.contains(".") & F.substring(text, 1, 1).between("-", "9")
+    is_decimal = F.when(numeric, F.schema_of_variant(v).startswith("DECIMAL"))
     as_double_text = F.try_variant_get(v, "$", "double").cast("string")
     return (
         F.when(F.coalesce(is_container, F.lit(False)), F.lit(""))
@@ -52,6 +61,16 @@ def json_text(data: Column | str, field: str) -> Column:
     )
 
 
+def with_texts(df: DataFrame, data: Column, names: dict[str, str]) -> DataFrame:
+    """``df`` with the text of each field under its name (``field -> column``).
+
+    The plain texts are read in a projection of their own: the rule looks at a text
+    several times, in branches where Spark shares no subexpressions.
+    """
+    raw = df.select("*", *[_raw_text(data, f).alias(f"{a}_raw") for f, a in names.items()])
+    return raw.select(*[F.col(f"`{c}`") for c in df.columns], *[_ruled(F.col(f"`{a}_raw`"), data, f).alias(a) for f, a in names.items()])
+
+
 def json_is_number(data: Column | str, field: str) -> Column:
     """True when the field holds a JSON number (not a numeric string)."""
     return F.coalesce(

@@ -55,7 +55,7 @@ def unwrap_json(
     """Unwrap JSON change envelopes (text) into ``data`` VARIANT + ``__op``."""
     src = drop_tombstones(df, value_col)
     raw = F.col(value_col)
-    # Each derived VARIANT (document, payload, chosen image) is produced once
+    # Each derived value (document, payload, op, chosen image, its kind) is produced once
     # per row as the output of a one-element ``explode``.  Catalyst cannot push
     # a filter on a generator's output below the generator, so the success /
     # reject split is evaluated on these attributes instead of being inlined
@@ -69,12 +69,14 @@ def unwrap_json(
     src = once(src, json_value(root, "payload"), "_payload")
     payload = F.col("_payload")
     has_payload = F.coalesce(payload.isNotNull() & ~F.is_variant_null(payload), F.lit(False))
-    op = F.coalesce(json_text(payload, "op"), F.lit(DEFAULT_OP))
-    image = F.when(op == DELETE_OP, json_value(payload, "before")).otherwise(json_value(payload, "after"))
+    op = F.when(has_payload, F.coalesce(json_text(payload, "op"), F.lit(DEFAULT_OP))).otherwise(json_text(root, "__op"))
+    src = once(src, op, "_op")
+    image = F.when(F.col("_op") == DELETE_OP, json_value(payload, "before")).otherwise(json_value(payload, "after"))
     src = once(src, F.when(has_payload, image), "_image")
+    src = once(src, json_is_object(F.col("_image")), "_is_object")
     out = (
         src.withColumn("_has_payload", has_payload)
-        .withColumn("__op", F.when(F.col("_has_payload"), op).otherwise(json_text(root, "__op")))
+        .withColumn("__op", F.col("_op"))
         .withColumn("data", F.when(F.col("_has_payload"), F.col("_image")).otherwise(root))
     )
     image_name = F.when(F.col("__op") == DELETE_OP, F.lit("before")).otherwise(F.lit("after"))
@@ -86,10 +88,10 @@ def unwrap_json(
     )
     out = add_reject(
         out,
-        F.col("_has_payload") & F.col("_image").isNotNull() & ~json_is_object(F.col("_image")),
+        F.col("_has_payload") & F.col("_image").isNotNull() & ~F.col("_is_object"),
         reject(raw, F.concat(F.lit("JSON parsing failed: "), image_name, F.lit(" image is not an object")), CTX_JSON, now),
     )
-    out = out.drop("_root", "_payload", "_has_payload", "_image")
+    out = out.drop("_root", "_payload", "_has_payload", "_op", "_image", "_is_object")
     return out if keep_value else out.drop(value_col)
 
 

@@ -227,7 +227,7 @@ class Mapping:
         rej = F.col(REJECT_COL) if REJECT_COL in cols else F.lit(None)
         given = self.columns(rec)  # registers the JSON fields the rules read
         if rec.texts:
-            df = df.select("*", *[jsonval.json_text(data, f).alias(a) for f, a in rec.texts.items()])
+            df = jsonval.with_texts(df, data, rec.texts)
         fields = self.schema.fields
         types = [f.dataType for f in df.select(*[c.alias(f"_v{i}") for i, c in enumerate(given)]).schema.fields]
         checked = [typed.misfit(F.col(f"_v{i}"), have, f.dataType) for i, (f, have) in enumerate(zip(fields, types))]
