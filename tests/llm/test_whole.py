@@ -215,3 +215,38 @@ def test_texts_that_repeat_themselves_are_alike_as_a_whole():
     q = p.copy()
     q[::2] = noise(30)  # half of the tokens differ: not alike, whole or in parts
     assert substring.shared_stretches(np.tile(p, 50), np.tile(q, 50)) == []
+
+
+def test_edited_passages_of_frequent_lines_are_found(spark):
+    """Three lines that many documents hold, side by side in two of them only, with one word changed."""
+    rng = random.Random(1)
+    lines = [" ".join(f"l{i}w{k}" for k in range(24)) for i in range(30)]
+    rows = [(i, " ".join(" ".join([lines[j], f"u{i}x{n}"]) for n, j in enumerate(rng.sample(range(30), 12)))) for i in range(120)]
+    for k in range(40):
+        whole = " ".join(lines[j] for j in rng.sample(range(30), 3)).split()
+        edited = whole[:]
+        edited[rng.randrange(5, 67)] = f"edit{k}"
+        for side, p in enumerate((whole, edited)):
+            rows.append((1000 + 10 * k + side, " ".join([f"a{k}{side}x{n}" for n in range(30)] + p + [f"b{k}{side}x{n}" for n in range(30)])))
+    cover = {}
+    for r in substring.repeated_passages(frame(spark, rows)).collect():
+        cover.setdefault(r.doc_id, set()).update(range(r.start_word, r.end_word))
+    found = sum(all(1000 + 10 * k + side in cover for side in (0, 1)) for k in range(40))
+    assert found >= 36  # every pair is alike: recall of at least 0.9
+    assert all(min(at) >= 30 and max(at) < 102 for i, at in cover.items() if i >= 1000)  # and nothing but the passages
+
+
+def test_twins_equal_all_pairs_of_overlapping_windows():
+    rng = np.random.default_rng(2)
+    c = rng.integers(0, 400, 300)
+    l, r = c - rng.integers(0, 60, 300), c + rng.integers(0, 60, 300)
+    k, sig = rng.integers(0, 4, 300), rng.integers(0, 2**63, 300, dtype=np.uint64)
+    got = sorted((int(w["sig"] & np.uint64(15)), int(w["c"]), int(w["d"]), int(w["l"]), int(w["r"])) for w in substring.twins(k, np.maximum(l, 0), c, r, sig, 20))
+    want = []
+    for x in range(300):
+        for y in range(300):
+            if k[y] == (k[x] + 1) % 4 and l[x] <= c[y] <= r[x] and max(l[y], 0) <= c[x] <= r[y] and c[y] >= max(l[x], 0):
+                a, b = max(l[x], l[y], 0), min(r[x], r[y])
+                if b - a + 1 >= 20:
+                    want.append((int(k[x]), int(c[x]), int(c[y]), int(a), int(b)))
+    assert got == sorted(want) and len(got) > 50
