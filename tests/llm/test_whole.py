@@ -241,7 +241,7 @@ def test_twins_equal_all_pairs_of_overlapping_windows():
     c = rng.integers(0, 400, 300)
     l, r = c - rng.integers(0, 60, 300), c + rng.integers(0, 60, 300)
     k, sig = rng.integers(0, 4, 300), rng.integers(0, 2**63, 300, dtype=np.uint64)
-    got = sorted((int(w["sig"] & np.uint64(15)), int(w["c"]), int(w["d"]), int(w["l"]), int(w["r"])) for w in substring.twins(k, np.maximum(l, 0), c, r, sig, 20))
+    got = sorted((int(w["sig"] & np.uint64(15)), int(w["c"]), int(w["d"]), int(w["l"]), int(w["r"])) for w in substring.twins(k, np.maximum(l, 0), c, r, sig, 20)[0])
     want = []
     for x in range(300):
         for y in range(300):
