@@ -2,7 +2,7 @@
 
 A row that cannot be refined carries a ``_reject`` struct instead of being
 dropped.  It flows through every later stage untouched (stages only fill
-``_reject`` when it is still NULL), and ``split`` finally routes it.
+``_reject`` when it is still NULL), and ``successes`` and ``rejects`` finally part them.
 
 Reject struct: ``payload`` (text of the input), ``error_context``
 (``json_parsing``, ``avro_processing``, ``field_mapping`` or NULL),
@@ -83,15 +83,6 @@ def rejects(df: DataFrame, key_col: str | None = "key") -> DataFrame:
     return df.where(F.col(REJECT_COL).isNotNull()).select(key.alias("key"), F.col(REJECT_COL + ".*"))
 
 
-def split(df: DataFrame, key_col: str | None = "key") -> tuple[DataFrame, DataFrame]:
-    """(success, reject) views of one refined DataFrame.
-
-    Both are lazily derived from the same plan; a sink that writes both should
-    persist ``df`` first (see ``cdcflow.streaming``) so the input is read once.
-    """
-    return successes(df), rejects(df, key_col)
-
-
 def stamp_processed_at(
     df: DataFrame,
     declared: bool,
