@@ -4,11 +4,13 @@ Base kinds (e-mail, IP address, card, phone) are fixed patterns with checks; the
 spans are always kept.  High-recall generators propose further, overlapping
 spans (unsigned phone numbers, national ids, bank accounts, spelled-out
 e-mails, any long digit group).  Boosted trees score those from format and
-context features; they are fitted on a bounded sample, with base matches that
+context features; they are fitted on the candidates of all texts, with base matches that
 pass their checks and proposals that overlap one as positives, and those that
-only fail as negatives.  A threshold is
-set on held-out candidates so that the lower confidence bound of precision
-reaches ``PRECISION``; without enough candidates nothing is added.
+only fail as negatives.  Candidates are counted by their features (numbers above
+255 as 255); trees need the counts only, which are summed by the tasks where there
+are more than ``LOCAL``.  A threshold (a multiple of 1 / ``GRID``) is set on all
+held-out candidates so that the lower confidence bound of precision reaches
+``PRECISION``; without enough candidates nothing is added.
 
 Offsets are code points, ends exclusive.  Null texts are empty and have none.
 Rows repeat as they are, extra columns are ignored, an empty table gives an
@@ -18,20 +20,22 @@ empty result.
 from __future__ import annotations
 
 import hashlib
-import math
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cdcflow.llm.store import carried
-from cdcflow.llm.trees import Model, boost
+from cdcflow.llm.store import carried, stage
+from cdcflow.llm.trees import VALUES, Counted, Model, Tree, boost_counted
 
-SAMPLE_DOCS = 20_000        # about so many documents give training candidates
-SAMPLE_CANDIDATES = 20_000  # at most so many candidates are fitted on
+LOCAL = 1 << 17      # distinct features up to which the driver adds up the counts
+GRID = 1 << 16
 PRECISION = 0.9
 
 BASE = ["email", "ip", "card", "phone"]
@@ -122,47 +126,85 @@ def features(text: str, start: int, end: int) -> list[float]:
     ]
 
 
-def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def labelled(text: str) -> list[tuple[int, int, bool]]:
+    """``(start, end, good)`` of base matches and of the proposals that overlap one."""
+    base = sorted((a, b, good) for _, a, b, good in base_matches(text))
+    starts = [a for a, _, _ in base]
+    reach = list(accumulate((b for _, b, _ in base), max))
+    passing = list(accumulate((b if good else -1 for _, b, good in base), max))
+    near = [(a, b, bisect_left(starts, b) - 1) for _, a, b in proposals(text)]  # the last that starts before its end
+    return base + [(a, b, passing[i] > a) for a, b, i in near if i >= 0 and reach[i] > a]
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Labelled candidates of texts, counted by features; a third of the ids is held out."""
     for batch in batches:
-        docs, y, x = [], [], []
+        n, good = Counter(), Counter()
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             text = text.as_py() or ""
-            base = base_matches(text)
-            labelled = [(a, b, good) for _, a, b, good in base]
-            for _, a, b in proposals(text):
-                if near := [good for _, c, d, good in base if c < b and a < d]:
-                    labelled.append((a, b, any(near)))
-            for a, b, good in labelled:
-                docs.append(doc)
-                y.append(int(good))
-                x.append(features(text, a, b))
-        yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(y, pa.int64()), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "good", "x"])
-
-
-def threshold(score: np.ndarray, good: np.ndarray, precision: float = PRECISION) -> float | None:
-    """The lowest score from which the Wilson lower bound of precision reaches ``precision``."""
+            if found := labelled(text):
+                held = hashlib.sha256(str(doc).encode()).digest()[0] % 3 == 0
+                for a, b, ok in found:
+                    key = held, bytes(min(int(v), VALUES - 1) for v in features(text, a, b))
+                    n[key] += 1
+                    good[key] += ok
+        held, x = zip(*n) if n else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.bool_()), pa.array(x, pa.binary()), pa.array(n.values(), pa.int64()), pa.array([good[k] for k in n], pa.int64())],
+                                         names=["held", "x", "n", "good"])
+
+
+def _rows(batch: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    x = b"".join(batch.column(0).to_pylist())
+    return np.frombuffer(x, np.uint8).reshape(batch.num_rows, -1), *(np.asarray(batch.column(i).to_numpy()) for i in (1, 2))
+
+
+def threshold(score: np.ndarray, good: np.ndarray, precision: float = PRECISION, n: np.ndarray | None = None) -> float | None:
+    """The lowest score from which the Wilson lower bound of precision reaches ``precision``;
+    ``n`` candidates of each score, ``good`` of them so."""
     at = np.argsort(-score, kind="stable")
-    hits, n = np.cumsum(good[at]), np.arange(1, len(at) + 1)
+    hits, n = np.cumsum(good[at]), np.cumsum(np.ones(len(at)) if n is None else n[at])
     z, p = 1.96, hits / n
     low = (p + z * z / (2 * n) - z * np.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
     ends = np.flatnonzero((low >= precision) & np.append(np.diff(score[at]) != 0, True))
     return float(score[at][ends[-1]]) if len(ends) else None
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> tuple[Model, float] | None:
-    """Boosted trees and their threshold from about ``sample_docs`` documents; ``None`` without two classes."""
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", local: int = LOCAL) -> tuple[Model, float] | None:
+    """Boosted trees and their threshold from the candidates of all texts; ``None`` without two classes."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    share = min(1.0, sample_docs / max(1, d.count()))
-    some = d.where((F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1 << 20)) < math.ceil(share * (1 << 20))) & F.col("text").rlike("[0-9@]"))
-    rows = some.mapInArrow(_sampled, "doc_id long, good long, x array<double>").limit(SAMPLE_CANDIDATES).toPandas()
-    rows = rows.sort_values(["doc_id", "good"], kind="stable", na_position="first")
-    held = np.array([hashlib.sha256(str(i).encode()).digest()[0] % 3 == 0 for i in rows["doc_id"]], bool)
-    y = rows["good"].to_numpy(float)
-    if not len(rows) or len(set(y[~held])) < 2 or not held.any():
+    counts = d.where(F.col("text").rlike("[0-9@]")).mapInArrow(_counted, "held boolean, x binary, n long, good long")
+    counts = stage(counts.groupBy("held", "x").agg(F.sum("n").alias("n"), F.sum("good").alias("good")), "candidates")
+    size = {r.held: r for r in counts.groupBy("held").agg(F.count("*").alias("rows"), F.sum("n").alias("n"), F.sum("good").alias("good")).collect()}
+    if len(size) < 2 or not 0 < size[False].good < size[False].n:
         return None
-    x = np.array(rows["x"].tolist())
-    model = boost(x[~held], y[~held])
-    cut = threshold(model.score(x[held]), y[held])
+    mine, held = (counts.where(F.col("held") == side).select("x", "n", "good") for side in (False, True))
+    width = len(features("", 0, 0))
+
+    def total(model: Model, tree: Tree) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    g, h = Counted(*_rows(batch)).sums(model, tree).reshape(2, -1)
+                    at = np.flatnonzero(h)
+                    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(g[at]), pa.array(h[at])], names=["at", "g", "h"])
+
+        out = np.zeros((2, len(tree.value), width, VALUES), np.int64)
+        parts = mine.mapInArrow(run, "at long, g long, h long").groupBy("at").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow()
+        out.reshape(2, -1)[:, parts.column(0).to_numpy()] = parts.column(1).to_numpy(), parts.column(2).to_numpy()
+        return out
+
+    if size[False].rows <= local:
+        total = Counted(*_rows(mine.toArrow())).sums
+    model = boost_counted(total, width, size[False].good / size[False].n)
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, n, good = _rows(batch) if batch.num_rows else (np.zeros((0, width), np.uint8), *[np.zeros(0, np.int64)] * 2)
+            yield pa.RecordBatch.from_arrays([pa.array(np.floor(model.score(x) * GRID).astype(np.int64)), pa.array(n), pa.array(good)], names=["score", "n", "good"])
+
+    cells = held.mapInArrow(scored, "score long, n long, good long").groupBy("score").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).toArrow()  # GRID rows at most
+    score, n, good = (cells.column(i).to_numpy() for i in range(3))
+    cut = threshold(score / GRID, good, n=n)
     return None if cut is None else (model, cut)
 
 

@@ -1,7 +1,8 @@
 """Small histogram trees: gradient boosting and random forests in numpy.
 
-Fitted on bounded labelled samples; a model is a few thousand numbers that
-travel with the scoring function.
+Fitted on bounded labelled samples, or on counted rows of any number
+(``boost_counted``); a model is a few thousand numbers that travel with the scoring
+function.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from dataclasses import dataclass
 import numpy as np
 
 BINS = 32
+VALUES = 256     # counted rows hold whole numbers below this
+UNIT = 1 << 20   # sums of counted rows are in such parts of one, so that they do not depend on their order
 
 
 @dataclass
@@ -21,13 +24,16 @@ class Tree:
     value: np.ndarray
     depth: int
 
-    def predict(self, binned: np.ndarray) -> np.ndarray:
+    def leaf(self, binned: np.ndarray) -> np.ndarray:
         at = np.zeros(len(binned), np.int64)
         for _ in range(self.depth):
             inner = self.left[at] > 0
             right = binned[np.arange(len(at)), self.feature[at]] > self.split[at]
             at = np.where(inner, self.left[at] + right, at)
-        return self.value[at]
+        return at
+
+    def predict(self, binned: np.ndarray) -> np.ndarray:
+        return self.value[self.leaf(binned)]
 
 
 def _grow(binned, g, h, depth, least, lam, rng, share) -> Tree:
@@ -106,6 +112,51 @@ def boost(x: np.ndarray, y: np.ndarray, rounds: int = 40, depth: int = 3, rate:
     return Model(edges, trees, base, True)
 
 
+class Counted:
+    """Rows ``x`` (bytes), ``n`` times each, ``good`` of those positive."""
+
+    def __init__(self, x: np.ndarray, n: np.ndarray, good: np.ndarray):
+        self.x, self.n, self.good = x, n, good
+        self.f, self.trees = np.zeros(len(x)), 0
+
+    def sums(self, model: Model, tree: Tree) -> np.ndarray:
+        """``[gradient or hessian, node, feature, value]`` over the rows in every node of a tree to come after the model's."""
+        for t in model.trees[self.trees :]:
+            self.f += t.predict(self.x)
+        self.trees = len(model.trees)
+        q = 1 / (1 + np.exp(-(model.base + self.f)))
+        both = np.rint((self.n * q - self.good) * UNIT), np.rint(self.n * np.maximum(q * (1 - q), 1e-6) * UNIT)
+        at, nodes = tree.leaf(self.x) * VALUES, len(tree.value)
+        return np.stack([np.stack([np.bincount(at + column, w, nodes * VALUES).reshape(nodes, VALUES) for column in self.x.T], 1) for w in both]).astype(np.int64)
+
+
+def boost_counted(total, features: int, share: float, rounds: int = 40, depth: int = 3, rate: float = 0.3, least: float = 1e-3, lam: float = 1.0) -> Model:
+    """Gradient-boosted trees for logistic loss over counted rows, ``share`` of them positive;
+    ``total(model, tree)`` adds up the ``sums`` of all."""
+    p = np.clip(share, 1e-6, 1 - 1e-6)
+    model = Model([np.arange(VALUES - 1)] * features, [], float(np.log(p / (1 - p))), True)
+    for _ in range(rounds):
+        tree = Tree(np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1), 0)
+        for level in range(depth):
+            g, h = total(model, tree) / UNIT
+            gl, hl = np.cumsum(g, 2), np.cumsum(h, 2)
+            gs, hs = gl[:, 0, -1, None, None], hl[:, 0, -1, None, None]
+            if level == 0:
+                tree.value[0] = -gs[0, 0, 0] / (hs[0, 0, 0] + lam)
+            ok = (hl >= least) & (hs - hl >= least)
+            gain = np.where(ok, gl**2 / (hl + lam) + (gs - gl) ** 2 / (hs - hl + lam) - gs**2 / (hs + lam), -1)
+            for node in np.flatnonzero(gain.max((1, 2)) > 1e-9):
+                f, v = np.unravel_index(gain[node].argmax(), gain[node].shape)
+                a, b = gl[node, f, v], hl[node, f, v]
+                tree.feature[node], tree.split[node], tree.left[node] = f, v, len(tree.value)
+                tree.feature, tree.split, tree.left = (np.append(e, [0, 0]) for e in (tree.feature, tree.split, tree.left))
+                tree.value = np.append(tree.value, [-a / (b + lam), -(gs[node, 0, 0] - a) / (hs[node, 0, 0] - b + lam)])
+            tree.depth += 1
+        tree.value *= rate
+        model.trees.append(tree)
+    return model
+
+
 def forest(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 8, seed: int = 7) -> Model:
     """Random forest of variance-splitting trees on bootstrap rows."""
     rng = np.random.default_rng(seed)

@@ -127,6 +127,29 @@ def test_pii_boosting_adds_spans_and_holds_its_precision(spark):
     score = np.array([0.9, 0.8, 0.2, 0.1] * 50)
     assert pii.threshold(score, np.array([1, 1, 0, 0] * 50)) == pytest.approx(0.8)
     assert pii.threshold(score, np.zeros(200)) is None
+    assert pii.threshold(np.array([0.9, 0.8, 0.2]), np.array([50, 50, 0]), n=np.array([50, 50, 100])) == pytest.approx(0.8)
+
+
+def test_pii_fits_on_the_candidates_of_all_texts(spark):
+    # more than 20,000 of the first come before the others
+    rows = [(i, f"part 999.{i}.300.4 lot 999.{i}.301.4") for i in range(30000)] + [(30000 + i, f"please call +1 (212) {100 + i % 900}-{1000 + i} today") for i in range(3000)]
+    rows += [(40000, "please call (212) 555-0187 today")]
+    docs = frame(spark, rows)
+    fitted = pii.fit(docs)
+    assert fitted is not None
+    assert "phone:12:26" in {r.doc_id: r.spans for r in pii.scan(docs, fitted).where("doc_id = 40000").collect()}[40000]
+    by_tasks = pii.fit(docs, local=0)  # sums of the tasks, not of the driver
+    assert by_tasks[1] == fitted[1] and all((a.value == b.value).all() and (a.feature == b.feature).all() for a, b in zip(fitted[0].trees, by_tasks[0].trees))
+
+
+def test_pii_candidates_near_base_matches():
+    text = "call +1 (202) 555-0143 or 999.1.2.3 (212) 555-0187 4111 1111 1111 1111"
+    base = [(a, b, good) for _, a, b, good in pii.base_matches(text)]
+    want = list(base)
+    for _, a, b in pii.proposals(text):
+        if near := [good for c, d, good in base if c < b and a < d]:
+            want.append((a, b, any(near)))
+    assert sorted(pii.labelled(text)) == sorted(want) and len(want) > len(base)
 
 
 def test_language_accuracy_on_held_out_rows(spark):
