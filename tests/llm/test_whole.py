@@ -8,7 +8,7 @@ import pytest
 from llm_cases import frame
 from pyspark.sql import functions as F
 
-from cdcflow.llm import jaccard, langid, mixing, secret_scan, substring
+from cdcflow.llm import jaccard, langid, mixing, secret_scan, store, substring
 from cdcflow.llm.words import Words, text_buffers
 
 
@@ -250,3 +250,17 @@ def test_twins_equal_all_pairs_of_overlapping_windows():
                 if b - a + 1 >= 20:
                     want.append((int(k[x]), int(c[x]), int(c[y]), int(a), int(b)))
     assert got == sorted(want) and len(got) > 50
+
+
+def test_texts_travel_in_batches_of_bounded_bytes(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    before = spark.conf.get(store.BATCH_CONF)
+    try:
+        texts = store.ship(spark).range(0, 4000, 1, 1).select(F.repeat(F.lit("x"), 10000).alias("text"))
+        got = [r.n for r in texts.mapInArrow(sizes, "n long").collect()]
+    finally:
+        spark.conf.set(store.BATCH_CONF, before)
+    assert sum(got) >= 4000 * 10000 and max(got) <= store.BATCH_BYTES + (1 << 20)
