@@ -8,6 +8,7 @@ import pytest
 from llm_cases import frame
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from cdcflow.llm import jaccard, langid, mixing, secret_scan, store, substring
 from cdcflow.llm.words import Words, text_buffers
 
@@ -264,3 +265,11 @@ def test_texts_travel_in_batches_of_bounded_bytes(spark):
     finally:
         spark.conf.set(store.BATCH_CONF, before)
     assert sum(got) >= 4000 * 10000 and max(got) <= store.BATCH_BYTES + (1 << 20)
+
+
+def test_personal_data_stage_fits_on_all_texts(spark):
+    # more than 20,000 candidates come before those of the other class
+    rows = [(i, f"part 999.{i}.300.4 lot 999.{i}.301.4") for i in range(30000)] + [(30000 + i, f"please call +1 (212) {100 + i % 900}-{1000 + i} today") for i in range(3000)]
+    rows += [(40000, "please call (212) 555-0187 today")]
+    out = corpus_pipeline.personal_data(spark, frame(spark, rows), "")
+    assert out.where("doc_id = 40000").first().text == "please call [PHONE] today"
