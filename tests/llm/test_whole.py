@@ -253,6 +253,37 @@ def test_twins_equal_all_pairs_of_overlapping_windows():
     assert got == sorted(want) and len(got) > 50
 
 
+def test_twins_of_hash_functions_that_are_no_neighbours():
+    rng = np.random.default_rng(4)
+    c = rng.integers(0, 400, 300)
+    l, r = np.maximum(c - rng.integers(0, 60, 300), 0), c + rng.integers(0, 60, 300)
+    k, sig = rng.integers(0, 4, 300), rng.integers(0, 2**63, 300, dtype=np.uint64)
+    w, x, y = substring.twins(k, l, c, r, sig, 20, step=2)
+    want = [(i, j) for i in range(300) for j in range(300)
+            if (k[i], k[j]) in ((0, 2), (1, 3)) and l[i] <= c[j] <= r[i] and l[j] <= c[i] <= r[j] and min(r[i], r[j]) - max(l[i], l[j]) >= 19]
+    assert sorted(zip(x.tolist(), y.tolist())) == want and len(want) > 50
+    assert len({int(s) & 15 for s in w["sig"]} | {int(s) & 15 for s in substring.twins(k, l, c, r, sig, 20)[0]["sig"]}) == 6
+
+
+@pytest.mark.parametrize("few,many", [(0, 1), (0, 2), (3, 1)])
+def test_a_small_and_a_large_meeting_make_a_candidate(few, many):
+    """Two texts agree under one hash function alone, and under another together with seven others."""
+    rows = [(1000 << 4 | many, key, 40 + key, 10, 110) for key in range(1, 10)] + [(2000 << 4 | few, key, 50 + key, 10, 110) for key in (5, 6)]
+    rows += [(3000 << 4 | few, 7, 60, 10, 110)]  # and one that meets none
+    batch = lambda w: [pa.RecordBatch.from_arrays([pa.array([0]), pa.array([w], pa.binary())], names=["bucket", "windows"])]
+    met = [r for b in substring._meet(batch(np.array(rows, substring._WINDOW).tobytes())) for r in b.to_pylist()]
+    pairs, windows = [r for r in met if r["b"] is not None], {}
+    for r in met:
+        if r["b"] is None:
+            windows.setdefault(r["a"], []).append({"l": r["la"], "c": r["ca"], "r": r["ra"], "kind": r["cb"], "k": r["k"], "sig": r["lb"]})
+    fields = pa.struct([(n, pa.int64()) for n in ("l", "c", "r", "kind", "k", "sig")])
+    given = pa.RecordBatch.from_arrays([pa.array(list(windows)), pa.array(list(windows.values()), pa.list_(fields))], names=["key", "windows"])
+    dealt = list(substring._deal_twins(64)([given]))
+    pairs += [r for b in substring._meet_twins(iter(dealt)) for r in b.to_pylist()]
+    mine = np.array([list(r.values())[2:] for r in pairs if {r["a"], r["b"]} == {5, 6}])
+    assert {few, many} == set(mine[:, 0].tolist()) and len(substring.candidates(mine)) == 1
+
+
 def test_texts_travel_in_batches_of_bounded_bytes(spark):
     def sizes(batches):
         for batch in batches:
