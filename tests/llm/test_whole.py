@@ -265,6 +265,22 @@ def test_twins_of_hash_functions_that_are_no_neighbours():
     assert len({int(s) & 15 for s in w["sig"]} | {int(s) & 15 for s in substring.twins(k, l, c, r, sig, 20)[0]["sig"]}) == 6
 
 
+def test_twins_are_made_in_bounded_memory():
+    """A text that repeats itself: every window reaches to its end, so the windows to compare grow with the square."""
+    import tracemalloc
+
+    n = 3000
+    k, c = np.repeat(np.arange(4), n), np.tile(np.arange(n) * 8, 4) + np.repeat(np.arange(4), n)
+    l, r, sig = np.maximum(c - 7, 0), np.full(4 * n, 8 * n), np.arange(4 * n, dtype=np.uint64)
+    tracemalloc.start()
+    try:
+        w = substring.twins(k, l, c, r, sig)[0]
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(w) > 3 * n and most < 64 << 20
+
+
 @pytest.mark.parametrize("few,many", [(0, 1), (0, 2), (3, 1)])
 def test_a_small_and_a_large_meeting_make_a_candidate(few, many):
     """Two texts agree under one hash function alone, and under another together with seven others."""
