@@ -4,9 +4,10 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from cdcflow.queries import all_oracles, all_queries
+from cdcflow.queries import all_oracles, all_queries, fixtures
 from conftest import SF_SMALL
 from tools.compare import rows_of
 
@@ -61,3 +62,15 @@ def test_results_do_not_depend_on_session_settings(spark, con, conf):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_the_user_feed_of_one_file_is_derived_by_several_tasks(spark, tmp_path):
+    n = F.col("id")
+    rows = spark.range(0, 120000, 1, 1).select(n.alias("c_custkey"), F.md5(n.cast("string")).alias("c_name"), F.lit(1).alias("c_nationkey"),
+                                               F.rand(1).alias("c_acctbal"), F.md5(F.reverse(n.cast("string"))).alias("c_mktsegment"))
+    rows.write.parquet(f"{tmp_path}/customer.parquet")
+    spark.sql("SELECT 1 AS n_nationkey, 'N' AS n_name, 1 AS n_regionkey").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.sql("SELECT 1 AS r_regionkey, 'R' AS r_name").write.parquet(f"{tmp_path}/region.parquet")
+    feed = fixtures.user_feed(spark, str(tmp_path)).select(F.spark_partition_id().alias("task"), "value")
+    per = {r.task: r.n for r in feed.where("length(value) > 0").groupBy("task").agg(F.count("value").alias("n")).collect()}
+    assert sum(per.values()) == 120000 and len(per) >= 2
