@@ -300,6 +300,46 @@ def test_a_small_and_a_large_meeting_make_a_candidate(few, many):
     assert {few, many} == set(mine[:, 0].tolist()) and len(substring.candidates(mine)) == 1
 
 
+def test_pairs_of_windows_are_packed_small_and_whole():
+    """A pair of windows takes few bytes on its way to the interval join, and comes out as it went in."""
+    rng = np.random.default_rng(6)
+    n = 20000
+    a, b = np.sort(rng.integers(-(2**63), 2**63 - 1, (2, 200)), 0)[:, rng.integers(0, 200, n)]
+    ca, shift = rng.integers(50, 3000, n), a % 1000  # passages of two texts mostly lie side by side
+    la, ra = ca - rng.integers(0, 50, n), ca + rng.integers(0, 50, n)
+    cols = [a, b, rng.integers(0, 5, n), la, ca, ra, la + shift, ca + shift, ra + shift + rng.integers(0, 2, n) * -9]
+    names = ["a", "b", "k", "la", "ca", "ra", "lb", "cb", "rb"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=names)
+    out = list(substring._pack(64, iter)([batch.slice(0, 7000), batch.slice(7000)]))
+    w = substring.unpacked(out, substring._PAIR)
+    m = np.stack([w[x].astype(np.int64) for x in names], 1)
+    m[:, 4:6] += m[:, 3:4]
+    m[:, 6:] += m[:, 3:6]
+    assert sorted(map(tuple, m.tolist())) == sorted(zip(*(c.tolist() for c in cols)))
+    assert sum(len(x) for part in out for x in part.column(3).to_pylist()) < 12 * n
+    where = {}
+    for part in out:
+        for bucket, rows in zip(part.column(1).to_pylist(), range(part.num_rows)):
+            for r in substring.unpacked([part.slice(rows, 1)], substring._PAIR):
+                where.setdefault((int(r["a"]), int(r["b"])), set()).add(bucket)
+    assert all(len(x) == 1 for x in where.values())  # all of two texts in one bucket
+
+
+def test_only_texts_with_open_grams_are_asked_for():
+    """Of two texts one has places that windows of large meetings cover under three hash functions."""
+    wide = [(k, l, 60, 130, kind) for k, l, kind in ((0, 0, 1), (1, 10, 2), (2, 20, 2))]
+    rows = [(7, i, *w) for i, w in enumerate(wide)] + [(8, i, *w) for i, w in enumerate(wide[:2])] + [(9, 0, 0, 0, 60, 130, 0)]
+    key, sig, k, l, c, r, kind = (pa.array(x, pa.int64()) for x in zip(*rows))
+    given = pa.RecordBatch.from_arrays([key, pa.nulls(len(rows), pa.int64()), k, l, c, r, sig, kind, pa.nulls(len(rows), pa.int64())], names=list("abcdefghi"))
+    packed = list(substring._pack(64, iter)([given]))
+    texts = [x for b in substring._by_text(packed) for x in b.to_pylist()]
+    assert {x["key"]: len(x["windows"]) for x in texts} == {7: 3, 8: 2}
+    assert {(w["k"], w["l"], w["c"], w["r"], w["kind"], w["sig"]) for w in texts[0]["windows"]} <= {(w[2], w[3], w[4], w[5], w[6], w[1]) for w in rows}
+    spans = [x for b in substring._open_grams(packed) for x in b.to_pylist()]
+    first, last = max(20, 60 - substring.SPAN + 1), min(60, 130 - substring.SPAN + 1)
+    assert spans == [{"key": 7, "spans": [{"x": first, "y": last + 1, "pivot": True}]}]
+
+
 def test_texts_travel_in_batches_of_bounded_bytes(spark):
     def sizes(batches):
         for batch in batches:
