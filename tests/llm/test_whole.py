@@ -325,6 +325,22 @@ def test_pairs_of_windows_are_packed_small_and_whole():
     assert all(len(x) == 1 for x in where.values())  # all of two texts in one bucket
 
 
+@pytest.mark.parametrize("far", [0, 1 << 20])
+def test_candidates_are_the_same_from_either_text(far):
+    """Spans of the first text that come again and again in the other one, whose windows are nearer each other there."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for at in range(0, 2000, 200):
+        for k in range(4):
+            for c in at + rng.integers(60, 100, 3):
+                for shift in (at, 0, 300):
+                    a, b = far + int(c), int(c) - at + shift
+                    rows.append((k, a - 60, a, a + 60, max(0, b - 60), b, b + 60))
+    m = np.array(rows)
+    one, other = substring.candidates(m), substring.candidates(m[:, [0, 4, 5, 6, 1, 2, 3]])
+    assert len(one) > 5 and sorted(one) == sorted((x, y, u, v) for u, v, x, y in other)
+
+
 def test_only_texts_with_open_grams_are_asked_for():
     """Of two texts one has places that windows of large meetings cover under three hash functions."""
     wide = [(k, l, 60, 130, kind) for k, l, kind in ((0, 0, 1), (1, 10, 2), (2, 20, 2))]
