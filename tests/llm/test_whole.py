@@ -376,3 +376,30 @@ def test_personal_data_stage_fits_on_all_texts(spark):
     rows += [(40000, "please call (212) 555-0187 today")]
     out = corpus_pipeline.personal_data(spark, frame(spark, rows), "")
     assert out.where("doc_id = 40000").first().text == "please call [PHONE] today"
+
+
+def test_classes_that_share_too_little_are_no_pair():
+    """Linked classes share three leading shingles or more, and are of like sizes; points of others are never asked for."""
+    rows = {1: (100, [7, 8, 9, 50]), 2: (120, [7, 8, 9]), 3: (110, [50]), 4: (300, [7, 8, 9]), 5: (100, [60, 61, 62])}
+    parts = [[np.array(t, np.uint64).tobytes() for _, t in rows.values()], [np.full(len(t), k, np.int64).tobytes() for k, (_, t) in rows.items()],
+             [np.full(len(t), jaccard.size_step(n), np.uint8).tobytes() for n, t in rows.values()]]
+    batch = pa.RecordBatch.from_arrays([pa.array([0] * len(rows)), *(pa.array(x, pa.binary()) for x in parts)], names=["bucket", "tokens", "keys", "steps"])
+    met = [tuple(r.values()) for b in jaccard._meet(iter([batch])) for r in b.to_pylist()]
+    assert sorted(met) == [(1, 2, jaccard.PAIR, 3), (1, 3, jaccard.PAIR, 1)]
+    for a, b in ((3, 4), (75, 100), (1000, 1333), (1 << 20, (1 << 20) * 4 // 3)):
+        assert abs(jaccard.size_step(a) - jaccard.size_step(b)) <= jaccard.APART
+
+
+def test_shuffles_of_a_written_table_are_gone_when_it_is_written(spark):
+    import glob
+    import time
+
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f for d in manager.localDirs() for f in glob.glob(f"{d}/*/shuffle_*")}
+    before, conf = files(), spark.conf.get(store.CLEANUP_CONF)
+    rows = store.stage(spark.range(20000).selectExpr("id % 977 AS k").repartition(5, "k").groupBy("k").count(), "test-shuffles")
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert rows.count() == 977 and spark.conf.get(store.CLEANUP_CONF) == conf
